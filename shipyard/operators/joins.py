@@ -1,0 +1,19 @@
+"""Join helpers: broadcast only a side whose size was checked."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A broadcast side above this many rows is joined by shuffle instead.
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``.
+
+    The row count is an action on the (small, dimension-sized) input; above the
+    bound the join falls back to a shuffle join chosen by Catalyst/AQE.
+    """
+    n = df.count()
+    return F.broadcast(df) if n <= max_rows else df
