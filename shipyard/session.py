@@ -24,6 +24,7 @@ DEFAULT_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "static",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
