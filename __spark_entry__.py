@@ -233,7 +233,7 @@ def _rate_pairs(spark, sf):
     norm = _normalized_feeds(spark, sf)
     life = normalize_parcel_events(an.lifecycle_rows(spark, sf))
     return [
-        ("bronze.carrier_a", rows.where(F.col("error").isNull()), rows.where(F.col("error").isNotNull())),
+        ("bronze.carrier_a", rows, F.col("error").isNotNull()),
         ("silver.tracking_events", tracking_good(norm), tracking_bad(norm)),
         ("silver.parcel_events", parcel_good(life), parcel_bad(life)),
     ]
