@@ -351,11 +351,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: on-time rate per carrier for heavy parcels (gold shipments
     built from the sf0.001 tables, then the report)."""
-    return q_worst_on_time(spark, FLAGSHIP_SF)
+    return queries()["worst_on_time"](spark, FLAGSHIP_SF)
+
+
+def _prepared(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Apply the session settings the library relies on (UTC session zone,
+    variant duplicate keys) to whatever session the caller passes in."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        prepare(spark)
+        return fn(spark, sf_dir)
+
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    return {name: _prepared(fn) for name, fn in QUERIES.items()}
 
 
 # ====================================================================== oracle

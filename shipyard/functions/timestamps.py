@@ -19,6 +19,11 @@ ISO_PATTERN = (
     r"(Z|[+-]\d{2}(?::?\d{2})?)?)?$"
 )
 
+# The common full form, parsed in one step: date, 'T', time to the second, an
+# optional fraction of one to six digits, then Z or +HH:MM.
+ISO_FULL_PATTERN = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,6})?(Z|[+-]\d{2}:\d{2})$"
+ISO_FULL_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX"
+
 # carrier_b's naive "YYYY-MM-DD HH:MM:SS" as strptime reads it:
 # four-digit year, one- or two-digit other parts, blanks between date and time.
 NAIVE_PATTERN = r"^(\d{4})-(\d{1,2})-(\d{1,2})\s+(\d{1,2}):(\d{1,2}):(\d{1,2})$"
@@ -33,7 +38,17 @@ def _g(value: Column, idx: int, pattern: str) -> Column:
 
 
 def parse_iso8601_utc(value: Column) -> Column:
-    """ISO-8601 text -> UTC timestamp; naive text counts as UTC."""
+    """ISO-8601 text -> UTC timestamp; naive text counts as UTC.
+
+    The full ``...THH:MM:SS[.f]Z`` form (nearly every feed line) takes one
+    regex test and one parse; other accepted shapes go through the general
+    path, which rebuilds a canonical string from the regex groups.
+    """
+    fast = F.try_to_timestamp(value, F.lit(ISO_FULL_FORMAT)).cast("timestamp_ntz")
+    return F.when(value.rlike(ISO_FULL_PATTERN), fast).otherwise(_parse_iso8601_general(value))
+
+
+def _parse_iso8601_general(value: Column) -> Column:
     p = ISO_PATTERN
     ok = value.rlike(p)
     hour = F.when(_g(value, 4, p) == "", F.lit("00")).otherwise(_g(value, 4, p))
@@ -56,7 +71,15 @@ def parse_iso8601_utc(value: Column) -> Column:
 
 
 def parse_naive_utc(value: Column) -> Column:
-    """Naive ``YYYY-MM-DD HH:MM:SS`` -> timestamp, taken as UTC."""
+    """Naive ``YYYY-MM-DD HH:MM:SS`` -> timestamp, taken as UTC. Zero-padded
+    text parses in one step; unpadded parts or repeated blanks go through the
+    general path."""
+    fast = F.try_to_timestamp(value, F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz")
+    padded = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
+    return F.when(value.rlike(padded), fast).otherwise(_parse_naive_general(value))
+
+
+def _parse_naive_general(value: Column) -> Column:
     p = NAIVE_PATTERN
     canonical = F.concat_ws(
         " ",

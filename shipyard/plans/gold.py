@@ -32,21 +32,28 @@ class TransformResult:
     rows_loaded: int
 
 
-def build_carriers(spark: SparkSession, wh: Warehouse, reference_dir: str) -> TransformResult:
+def build_carriers(spark: SparkSession, wh: Warehouse, reference_dir: str, file_name: str = "carriers.json") -> TransformResult:
+    """``file_name`` may be a glob (e.g. ``*.json`` for a folder of part files)."""
     prepare(spark)
-    wh.overwrite(load_carriers(spark, reference_dir), CARRIERS_TABLE)
+    wh.overwrite(load_carriers(spark, reference_dir, file_name), CARRIERS_TABLE)
     return TransformResult(dim_carriers(spark, wh).count())
 
 
-def build_organisations(spark: SparkSession, wh: Warehouse, reference_dir: str) -> TransformResult:
+def build_organisations(
+    spark: SparkSession, wh: Warehouse, reference_dir: str, file_name: str = "organisations.json"
+) -> TransformResult:
     prepare(spark)
-    wh.overwrite(load_organisations(spark, reference_dir), ORGANISATIONS_TABLE)
+    wh.overwrite(load_organisations(spark, reference_dir, file_name), ORGANISATIONS_TABLE)
     return TransformResult(dim_organisations(spark, wh).count())
 
 
-def build_dimensions(spark: SparkSession, wh: Warehouse, reference_dir: str) -> TransformResult:
-    c = build_carriers(spark, wh, reference_dir)
-    o = build_organisations(spark, wh, reference_dir)
+def build_dimensions(spark: SparkSession, wh: Warehouse, reference_dir: str, files: dict | None = None) -> TransformResult:
+    """``files`` optionally maps ``carriers`` / ``organisations`` to (folder, glob)."""
+    files = files or {}
+    c_dir, c_glob = files.get("carriers", (reference_dir, "carriers.json"))
+    o_dir, o_glob = files.get("organisations", (reference_dir, "organisations.json"))
+    c = build_carriers(spark, wh, c_dir, c_glob)
+    o = build_organisations(spark, wh, o_dir, o_glob)
     return TransformResult(c.rows_loaded + o.rows_loaded)
 
 
