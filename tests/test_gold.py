@@ -149,3 +149,16 @@ def test_gold_gate_passes_and_reports_problems(spark, wh, tmp_path):
         gates.check_gold_shipments(spark, wh)
     msg = str(e.value)
     assert "negative transit_hours" in msg and "delivered and lost/returned" in msg and "parcel_id=1" in msg
+
+
+def test_table_written_before_a_column_was_added_reads_it_as_null(spark, wh):
+    old_columns = [c for c in gold.SHIPMENTS_STORED.names if c not in ("is_lost", "is_returned")]
+    row = {c: None for c in old_columns}
+    row.update(parcel_id=1, tracking_number="T", organisation_id=1, carrier_code="c", is_delivered=False, _gold_loaded_at=NOW)
+    from pyspark.sql.types import StructType
+
+    old_schema = StructType([f for f in gold.SHIPMENTS_STORED.fields if f.name in old_columns])
+    df = spark.createDataFrame([tuple(row[c] for c in old_columns)], old_schema)
+    wh.overwrite(df, gold.SHIPMENTS_TABLE, ["handed_over_month"])
+    r = gold.shipments(spark, wh).first()
+    assert r.parcel_id == 1 and r.is_lost is None and r.is_returned is None
