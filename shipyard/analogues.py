@@ -88,7 +88,19 @@ def select_sql(cols: list[tuple[str, str]], source: str, where: str | None = Non
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core on an input that scans as fewer tasks than the cluster
+    has slots (a test table is one small Parquet file with a single row group,
+    so its scan is one task). Large inputs already have more splits than
+    slots and pass through untouched, so this never adds a shuffle at scale.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= slots:
+        return df
+    return df.repartition(slots)
 
 
 def project(df: DataFrame, cols: list[tuple[str, str]]) -> DataFrame:
