@@ -336,11 +336,22 @@ def lineitem_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_parcel_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both lifecycle events of each order from one scan and one join: the
+    order row is exploded into its created / handed-over events."""
     orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
     joined = orders.join(customer, orders["o_custkey"] == customer["c_custkey"])
-    created = project(joined, order_parcel_columns(SPARK, "created"))
-    handed = project(joined.where(HANDED_OVER_FILTER), order_parcel_columns(SPARK, "handed"))
-    return created.unionByName(handed)
+    created = dict(order_parcel_columns(SPARK, "created"))
+    handed = dict(order_parcel_columns(SPARK, "handed"))
+    varying = ["event_id", "event_type", "occurred_at", "source_file"]
+
+    def event(cols: dict[str, str]) -> str:
+        return "named_struct(" + ", ".join(f"'{k}', {cols[k]}" for k in varying) + ")"
+
+    both = f"CASE WHEN {HANDED_OVER_FILTER} THEN array({event(created)}, {event(handed)}) ELSE array({event(created)}) END"
+    names = [n for n, _ in order_parcel_columns(SPARK, "created")]
+    return joined.selectExpr(f"explode({both}) AS _e", *[f"{created[n]} AS {n}" for n in names if n not in varying]).select(
+        *[f"_e.{n}" if n in varying else n for n in names]
+    )
 
 
 def carriers(spark: SparkSession, sf_dir: str) -> DataFrame:
