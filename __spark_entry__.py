@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
+from urllib.parse import unquote
 from datetime import date, datetime
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -37,9 +39,10 @@ from shipyard.plans import reports  # noqa: E402
 from shipyard.plans.gold import shipments_frame  # noqa: E402
 from shipyard.plans.silver import normalized_tracking, parcel_bad, parcel_good, tracking_bad, tracking_good  # noqa: E402
 from shipyard.plans.sql_access import capped_frame, open_query_session  # noqa: E402
-from shipyard.session import prepare  # noqa: E402
+from shipyard.session import checkpoint_dir, prepare  # noqa: E402
 from shipyard.sources.bronze import known_files, load_totals, parse_feed_lines, remaining_files  # noqa: E402
 from shipyard.sources.feeds import CARRIER_A  # noqa: E402
+from shipyard.sources.raw_files import scan_lines  # noqa: E402
 from shipyard.warehouse import fixed_time, replaced_partitions  # noqa: E402
 
 FLAGSHIP_SF = "/root/testdata/sf0.001"
@@ -82,6 +85,32 @@ def q_skip_ingested(spark, sf):
     return remaining_files(listed, known_files(loaded, quarantined))
 
 
+def _line_text(d) -> str:
+    return (
+        "CASE WHEN event_id % 97 = 0 THEN '' WHEN event_id % 89 = 0 THEN '   ' "
+        f"ELSE '{{\"id\": ' || CAST(event_id AS STRING) || ', \"at\": \"' || {d.iso('ts')} || '\"}}' END"
+    )
+
+
+def q_line_numbers(spark, sf):
+    """SRC-2 on real gzip files: ``events`` written as one gzip file per day
+    (rows in ``event_id`` order, some lines blank) into a fresh folder under
+    the checkpoint dir, then scanned back with 1-based physical line numbers."""
+    out = f"{checkpoint_dir(spark).rstrip('/')}/line-numbers-{uuid.uuid4().hex}"
+    ev = an.table(spark, sf, "events").selectExpr(f"{an.SPARK.day('ts')} AS day", "event_id", f"{_line_text(an.SPARK)} AS value")
+    (
+        ev.repartition("day")
+        .sortWithinPartitions("day", "event_id")
+        .select("day", "value")
+        .write.partitionBy("day")
+        .text(out, compression="gzip")
+    )
+    paths = [unquote(u) for u in spark.read.text(out).inputFiles()]
+    lines = scan_lines(spark, paths, keep_path=True)
+    day = F.regexp_extract(F.col("source_path"), r"day=(\d{8})/", 1)
+    return lines.select(day.alias("day"), "source_line_no", "line")
+
+
 def q_partition_replace(spark, sf):
     ev = an.table(spark, sf, "events")
     day = F.date_format("ts", "yyyyMMdd")
@@ -320,6 +349,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_good": q_bronze_good,
     "bronze_quarantine": q_bronze_quarantine,
     "skip_ingested": q_skip_ingested,
+    "line_numbers": q_line_numbers,
     "partition_replace": q_partition_replace,
     "load_totals": q_load_totals,
     "parse_iso": q_parse_iso,
@@ -411,6 +441,13 @@ SELECT DISTINCT source_file FROM l
 WHERE NOT EXISTS (SELECT 1 FROM known k WHERE k.source_file = l.source_file)"""
 
 
+def o_line_numbers() -> str:
+    return f"""
+SELECT {D.day('ts')} AS day, CAST(row_number() OVER (PARTITION BY {D.day('ts')} ORDER BY event_id) AS INT) AS source_line_no,
+       {_line_text(D)} AS line
+FROM events"""
+
+
 def o_partition_replace() -> str:
     day = D.day("ts")
     return f"""
@@ -727,6 +764,7 @@ ORACLES: dict[str, Callable[[], str]] = {
     "bronze_good": o_bronze_good,
     "bronze_quarantine": o_bronze_quarantine,
     "skip_ingested": o_skip_ingested,
+    "line_numbers": o_line_numbers,
     "partition_replace": o_partition_replace,
     "load_totals": o_load_totals,
     "parse_iso": o_parse_iso,

@@ -32,7 +32,9 @@ def raw_line_stream(spark: SparkSession, raw_dir: str, glob_pattern: str, max_fi
     reader = spark.readStream.format("text").option("pathGlobFilter", glob_pattern)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.load(raw_dir).select(decoded_file_name().alias("source_file"), F.col("value").alias("line"))
+    return reader.load(raw_dir).select(
+        decoded_file_name().alias("source_file"), F.col("_metadata.file_path").alias("_path"), F.col("value").alias("line")
+    )
 
 
 def start_bronze_stream(
