@@ -8,6 +8,7 @@ aggregation are rounded to 6 decimals on both sides; everything else is exact.
 
 from __future__ import annotations
 
+import dataclasses
 import os
 import sys
 import uuid
@@ -35,15 +36,16 @@ from shipyard.operators.dedup import keep_first  # noqa: E402
 from shipyard.operators.milestones import carrier_milestones, parcel_rows  # noqa: E402
 from shipyard.operators.quality import breach_details, quarantine_rates, shipment_checks  # noqa: E402
 from shipyard.operators.validate import normalize_parcel_events  # noqa: E402
-from shipyard.plans import reports  # noqa: E402
+from shipyard.plans import gold, reports  # noqa: E402
+from shipyard.plans.run import run_all  # noqa: E402
 from shipyard.plans.gold import shipments_frame  # noqa: E402
 from shipyard.plans.silver import normalized_tracking, parcel_bad, parcel_good, tracking_bad, tracking_good  # noqa: E402
 from shipyard.plans.sql_access import capped_frame, open_query_session  # noqa: E402
 from shipyard.session import checkpoint_dir, prepare  # noqa: E402
 from shipyard.sources.bronze import known_files, load_totals, parse_feed_lines, remaining_files  # noqa: E402
-from shipyard.sources.feeds import CARRIER_A  # noqa: E402
+from shipyard.sources.feeds import CARRIER_A, FEEDS  # noqa: E402
 from shipyard.sources.raw_files import scan_lines  # noqa: E402
-from shipyard.warehouse import fixed_time, replaced_partitions  # noqa: E402
+from shipyard.warehouse import Warehouse, fixed_time, replaced_partitions  # noqa: E402
 
 FLAGSHIP_SF = "/root/testdata/sf0.001"
 LOADED_AT = datetime(2026, 1, 1)
@@ -111,6 +113,21 @@ def q_line_numbers(spark, sf):
     return lines.select(day.alias("day"), "source_line_no", "line")
 
 
+def q_end_to_end_run(spark, sf):
+    """PL-1 and the whole file path: gzipped feeds and reference files derived
+    from the tables are written to a fresh folder under the checkpoint dir,
+    then bronze x4, gate, silver x2, gate, dimensions, shipments, gate run on
+    them; the result is the stored ``gold.shipments``."""
+    scratch = f"{checkpoint_dir(spark).rstrip('/')}/end-to-end-{uuid.uuid4().hex}"
+    raw = f"{scratch}/raw"
+    an.write_raw_feeds(spark, sf, raw)
+    feeds = [dataclasses.replace(f, glob="*.txt.gz") for f in FEEDS]
+    refs = {"carriers": (f"{raw}/reference/carriers", "*.json"), "organisations": (f"{raw}/reference/organisations", "*.json")}
+    wh = Warehouse(f"{scratch}/warehouse")
+    run_all(spark, wh, raw, f"{raw}/reference", feeds=feeds, reference_files=refs)
+    return gold.shipments(spark, wh).drop("_gold_loaded_at")
+
+
 def q_partition_replace(spark, sf):
     ev = an.table(spark, sf, "events")
     day = F.date_format("ts", "yyyyMMdd")
@@ -350,6 +367,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_quarantine": q_bronze_quarantine,
     "skip_ingested": q_skip_ingested,
     "line_numbers": q_line_numbers,
+    "end_to_end_run": q_end_to_end_run,
     "partition_replace": q_partition_replace,
     "load_totals": q_load_totals,
     "parse_iso": q_parse_iso,
@@ -448,6 +466,52 @@ SELECT {D.day('ts')} AS day, CAST(row_number() OVER (PARTITION BY {D.day('ts')}
 FROM events"""
 
 
+def o_end_to_end_run() -> str:
+    created = (
+        "(TIMESTAMP '2026-01-01 00:00:00' + to_days(CAST(o_orderkey % 182 AS INTEGER)) "
+        "+ to_minutes(CAST(o_orderkey % 1440 AS BIGINT)))"
+    )
+    carrier = an.CARRIER_OF_KEY.format(k="l_orderkey")
+    facility = (
+        f"CASE {carrier} WHEN 'carrier_a' THEN 'H' || CAST(l_linenumber AS VARCHAR) "
+        "WHEN 'carrier_b' THEN 'D' || CAST(l_linenumber AS VARCHAR) END"
+    )
+    return f"""
+WITH o AS (SELECT o_orderkey, o_orderpriority, o_custkey, {created} AS created FROM orders),
+li AS (SELECT l_orderkey, l_linenumber, created, max(l_linenumber) OVER (PARTITION BY l_orderkey) AS last_line
+       FROM lineitem JOIN o ON l_orderkey = o_orderkey),
+t AS (SELECT DISTINCT {carrier} AS carrier_code, 'T' || CAST(l_orderkey AS VARCHAR) AS tracking_number,
+             {an.E2E_STATUS} AS status, created + to_minutes(CAST(360 + 60 * l_linenumber AS BIGINT)) AS event_time,
+             {an.E2E_WEIGHT} AS weight_kg, {facility} AS facility_code, l_linenumber
+      FROM li),
+m AS (SELECT carrier_code, tracking_number,
+             min(event_time) FILTER (WHERE status = 'ACCEPTED') AS accepted_at,
+             min(event_time) FILTER (WHERE status = 'DELIVERED') AS delivered_at,
+             arg_max(weight_kg, event_time) AS weight_kg,
+             arg_max(status, event_time) AS latest_carrier_status,
+             arg_max(facility_code, event_time) AS facility_code
+      FROM t GROUP BY carrier_code, tracking_number),
+p AS (SELECT CAST(o_orderkey AS INTEGER) AS parcel_id, 'T' || CAST(o_orderkey AS VARCHAR) AS tracking_number,
+             CAST(c_nationkey AS INTEGER) AS organisation_id, {an.CARRIER_OF_KEY.format(k='o_orderkey')} AS carrier_code,
+             o_orderpriority AS service_level, c_mktsegment AS destination_country,
+             CAST(NULL AS VARCHAR) AS destination_postcode, created AS created_at,
+             created + to_minutes(360) AS handed_over_at
+      FROM o JOIN customer ON o_custkey = c_custkey),
+sla AS (SELECT {an.E2E_CARRIER_OF_REGION} AS carrier_code, {an.E2E_SLA} AS sla_hours FROM region WHERE r_regionkey < 3),
+sj AS (SELECT p.*, m.accepted_at, m.delivered_at, m.latest_carrier_status, m.weight_kg, m.facility_code, sla.sla_hours,
+              CASE WHEN m.delivered_at IS NOT NULL
+                   THEN (epoch_us(m.delivered_at) - epoch_us(p.handed_over_at)) / 1000000.0 / 3600 END AS transit_hours
+       FROM p LEFT JOIN m ON p.carrier_code = m.carrier_code AND p.tracking_number = m.tracking_number
+              LEFT JOIN sla ON p.carrier_code = sla.carrier_code)
+SELECT parcel_id, tracking_number, organisation_id, carrier_code, service_level, destination_country,
+       destination_postcode, created_at, handed_over_at, accepted_at, delivered_at, latest_carrier_status,
+       weight_kg, facility_code, sla_hours, transit_hours, delivered_at IS NOT NULL AS is_delivered,
+       transit_hours <= sla_hours AS is_on_time,
+       coalesce(latest_carrier_status = 'LOST', false) AS is_lost,
+       coalesce(latest_carrier_status = 'RETURNED', false) AS is_returned
+FROM sj"""
+
+
 def o_partition_replace() -> str:
     day = D.day("ts")
     return f"""
@@ -765,6 +829,7 @@ ORACLES: dict[str, Callable[[], str]] = {
     "bronze_quarantine": o_bronze_quarantine,
     "skip_ingested": o_skip_ingested,
     "line_numbers": o_line_numbers,
+    "end_to_end_run": o_end_to_end_run,
     "partition_replace": o_partition_replace,
     "load_totals": o_load_totals,
     "parse_iso": o_parse_iso,

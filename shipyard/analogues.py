@@ -378,32 +378,29 @@ def write_raw_feeds(spark: SparkSession, sf_dir: str, out_root: str, files_per_f
     files derived from the test tables, for a file-based end-to-end run.
 
     Orders are parcels (carrier by order key), created within one half-year
-    (parcel data spans months, not the seven years of the order dates), and
-    lineitems are their carrier scans after hand-over: line 1 ACCEPTED, later
-    lines IN_TRANSIT, the last line terminal (DELIVERED, or LOST / RETURNED for
-    some orders). Every line is valid, so all gates pass. Files are Spark's
-    part files (``*.txt.gz``).
+    (parcel data spans months, not the seven years of the order dates).
+    Lineitems are their carrier scans after hand-over: line 1 ACCEPTED, later
+    lines IN_TRANSIT, the last line terminal (DELIVERED, or LOST / RETURNED
+    for some orders), one hour per line number. Scan contents depend only on
+    (order, line number), so repeated lineitem rows become webhook retries and
+    the result does not depend on how rows fall into files. Every line is
+    valid, so all gates pass. Files are Spark's part files (``*.txt.gz``).
     """
     from pyspark.sql import Window
     from pyspark.sql import functions as F
 
-    orders = table(spark, sf_dir, "orders")
+    orders = table(spark, sf_dir, "orders").withColumn("created", F.expr(E2E_CREATED))
     customer = table(spark, sf_dir, "customer")
     lineitem = table(spark, sf_dir, "lineitem")
     root = out_root.rstrip("/")
 
-    created = (
-        "timestampadd(MINUTE, CAST(o_orderkey % 1440 AS INT), "
-        "timestampadd(DAY, CAST(o_orderkey % 182 AS INT), TIMESTAMP_NTZ'2026-01-01 00:00:00'))"
-    )
-    orders = orders.withColumn("o_orderdate", F.expr(created))
     parcels = orders.join(customer, orders["o_custkey"] == customer["c_custkey"]).selectExpr(
-        "o_orderkey", "o_orderdate", "c_nationkey", "c_mktsegment", "o_orderpriority",
+        "o_orderkey", "created", "c_nationkey", "c_mktsegment", "o_orderpriority",
         f"{CARRIER_OF_KEY.format(k='o_orderkey')} AS carrier_code",
     )
     life = parcels.selectExpr(
-        "explode(array(named_struct('t', 'parcel_created', 'at', o_orderdate), "
-        "named_struct('t', 'parcel_handed_over', 'at', timestampadd(MINUTE, 360, o_orderdate)))) AS e",
+        "explode(array(named_struct('t', 'parcel_created', 'at', created), "
+        "named_struct('t', 'parcel_handed_over', 'at', timestampadd(MINUTE, 360, created)))) AS e",
         "o_orderkey", "c_nationkey", "c_mktsegment", "o_orderpriority", "carrier_code",
     ).selectExpr(
         "to_json(named_struct("
@@ -417,32 +414,29 @@ def write_raw_feeds(spark: SparkSession, sf_dir: str, out_root: str, files_per_f
 
     last = Window.partitionBy("l_orderkey")
     scans = (
-        lineitem.join(orders.select("o_orderkey", "o_orderdate"), lineitem["l_orderkey"] == orders["o_orderkey"])
+        lineitem.join(orders.select("o_orderkey", "created"), lineitem["l_orderkey"] == orders["o_orderkey"])
         .withColumn("last_line", F.max("l_linenumber").over(last))
         .selectExpr(
-            "l_orderkey", "l_linenumber", "l_quantity", "l_suppkey",
-            f"{CARRIER_OF_KEY.format(k='l_orderkey')} AS carrier_code",
-            "'T' || CAST(l_orderkey AS STRING) AS tn",
-            "CASE WHEN l_linenumber = 1 THEN 'ACCEPTED' WHEN l_linenumber < last_line THEN 'IN_TRANSIT' "
-            "WHEN l_orderkey % 50 = 0 THEN 'LOST' WHEN l_orderkey % 70 = 0 THEN 'RETURNED' ELSE 'DELIVERED' END AS status",
-            "timestampadd(MINUTE, 360 + 60 * (l_linenumber + abs(datediff(l_shipdate, o_orderdate)) % 96), o_orderdate) AS at",
+            "l_linenumber", f"{CARRIER_OF_KEY.format(k='l_orderkey')} AS carrier_code",
+            "'T' || CAST(l_orderkey AS STRING) AS tn", f"{E2E_STATUS} AS status", f"{E2E_SCAN_TIME} AS at",
+            f"{E2E_WEIGHT} AS weight",
         )
     )
     a = scans.where("carrier_code = 'carrier_a'").selectExpr(
         "to_json(named_struct('tracking_no', tn, 'status', status, "
-        f"'ts', {SPARK.iso('at')} || 'Z', 'weight_kg', l_quantity, 'hub', 'H' || CAST(l_suppkey AS STRING), '_ingested_at', 'x')) AS value"
+        f"'ts', {SPARK.iso('at')} || 'Z', 'weight_kg', weight, 'hub', 'H' || CAST(l_linenumber AS STRING), '_ingested_at', 'x')) AS value"
     )
     b_code = "CASE status WHEN 'ACCEPTED' THEN 10 WHEN 'IN_TRANSIT' THEN 20 WHEN 'DELIVERED' THEN 45 WHEN 'RETURNED' THEN 60 ELSE 99 END"
     b = scans.where("carrier_code = 'carrier_b'").selectExpr(
         f"to_json(named_struct('barcode', tn, 'event', named_struct('code', {b_code}, 'desc', lower(status)), "
-        f"'event_time', {SPARK.naive('at')}, 'weight_g', l_quantity * 1000, 'depot', 'D' || CAST(l_suppkey AS STRING), "
+        f"'event_time', {SPARK.naive('at')}, 'weight_g', weight * 1000, 'depot', 'D' || CAST(l_linenumber AS STRING), "
         "'_ingested_at', 'x')) AS value"
     )
     c_code = "CASE status WHEN 'ACCEPTED' THEN 0 WHEN 'IN_TRANSIT' THEN 1 WHEN 'DELIVERED' THEN 3 WHEN 'RETURNED' THEN 5 ELSE 9 END"
     c_head = f"to_json(named_struct('ref', tn, 'st', {c_code}, 't', {SPARK.millis('at')}, '_ingested_at', 'x'))"
     dims = (
-        "CASE WHEN l_linenumber % 2 = 0 THEN '{\"weight\": ' || CAST(l_quantity AS STRING) || '}' "
-        "ELSE '{\"weight\": {\"v\": ' || CAST(l_quantity AS STRING) || ', \"u\": \"kg\"}}' END"
+        "CASE WHEN l_linenumber % 2 = 0 THEN '{\"weight\": ' || CAST(weight AS STRING) || '}' "
+        "ELSE '{\"weight\": {\"v\": ' || CAST(weight AS STRING) || ', \"u\": \"kg\"}}' END"
     )
     c = scans.where("carrier_code = 'carrier_c'").selectExpr(
         f"substring({c_head}, 1, length({c_head}) - 1) || ', \"dims\": ' || {dims} || '}}' AS value"
@@ -450,11 +444,25 @@ def write_raw_feeds(spark: SparkSession, sf_dir: str, out_root: str, files_per_f
     for name, df in (("carrier_a", a), ("carrier_b", b), ("carrier_c", c)):
         df.repartition(files_per_feed).write.mode("overwrite").text(f"{root}/{name}", compression="gzip")
 
-    region = table(spark, sf_dir, "region").where("r_regionkey < 3")
-    region.selectExpr(
-        "CASE r_regionkey WHEN 0 THEN 'carrier_a' WHEN 1 THEN 'carrier_b' ELSE 'carrier_c' END AS carrier_code",
-        "r_name AS carrier_name", "CAST(24 * (r_regionkey + 2) AS INT) AS sla_hours", "array('NL', 'DE') AS countries_served",
+    table(spark, sf_dir, "region").where("r_regionkey < 3").selectExpr(
+        f"{E2E_CARRIER_OF_REGION} AS carrier_code", "r_name AS carrier_name", f"{E2E_SLA} AS sla_hours",
+        "array('NL', 'DE') AS countries_served",
     ).coalesce(1).write.mode("overwrite").json(f"{root}/reference/carriers")
     table(spark, sf_dir, "nation").selectExpr(
         "CAST(n_nationkey AS INT) AS organisation_id", "n_name AS name", "'NL' AS country", "'growth' AS plan",
     ).coalesce(1).write.mode("overwrite").json(f"{root}/reference/organisations")
+
+
+# Fixed shapes of the end-to-end feeds (also read by the oracle).
+E2E_CREATED = (
+    "timestampadd(MINUTE, CAST(o_orderkey % 1440 AS INT), "
+    "timestampadd(DAY, CAST(o_orderkey % 182 AS INT), TIMESTAMP '2026-01-01 00:00:00'))"
+)
+E2E_STATUS = (
+    "CASE WHEN l_linenumber = 1 THEN 'ACCEPTED' WHEN l_linenumber < last_line THEN 'IN_TRANSIT' "
+    "WHEN l_orderkey % 50 = 0 THEN 'LOST' WHEN l_orderkey % 70 = 0 THEN 'RETURNED' ELSE 'DELIVERED' END"
+)
+E2E_SCAN_TIME = "timestampadd(MINUTE, 360 + 60 * l_linenumber, created)"
+E2E_WEIGHT = "CAST(l_orderkey % 40 AS DOUBLE) + l_linenumber / 4.0"
+E2E_CARRIER_OF_REGION = "CASE r_regionkey WHEN 0 THEN 'carrier_a' WHEN 1 THEN 'carrier_b' ELSE 'carrier_c' END"
+E2E_SLA = "CAST(r_regionkey + 3 AS INT)"
