@@ -35,16 +35,14 @@ class TransformResult:
 def build_carriers(spark: SparkSession, wh: Warehouse, reference_dir: str, file_name: str = "carriers.json") -> TransformResult:
     """``file_name`` may be a glob (e.g. ``*.json`` for a folder of part files)."""
     prepare(spark)
-    wh.overwrite(load_carriers(spark, reference_dir, file_name), CARRIERS_TABLE)
-    return TransformResult(dim_carriers(spark, wh).count())
+    return TransformResult(wh.overwrite(load_carriers(spark, reference_dir, file_name), CARRIERS_TABLE))
 
 
 def build_organisations(
     spark: SparkSession, wh: Warehouse, reference_dir: str, file_name: str = "organisations.json"
 ) -> TransformResult:
     prepare(spark)
-    wh.overwrite(load_organisations(spark, reference_dir, file_name), ORGANISATIONS_TABLE)
-    return TransformResult(dim_organisations(spark, wh).count())
+    return TransformResult(wh.overwrite(load_organisations(spark, reference_dir, file_name), ORGANISATIONS_TABLE))
 
 
 def build_dimensions(spark: SparkSession, wh: Warehouse, reference_dir: str, files: dict | None = None) -> TransformResult:
@@ -80,8 +78,8 @@ def build_shipments(spark: SparkSession, wh: Warehouse, loaded_at: datetime | No
     frame = frame.withColumn("_gold_loaded_at", at).withColumn(
         "handed_over_month", F.trunc(F.to_date("handed_over_at"), "MM")
     )
-    wh.overwrite(frame.select(*SHIPMENTS_STORED.names), SHIPMENTS_TABLE, partition_by=["handed_over_month"])
-    return TransformResult(shipments(spark, wh).count())
+    rows = wh.overwrite(frame.select(*SHIPMENTS_STORED.names), SHIPMENTS_TABLE, partition_by=["handed_over_month"])
+    return TransformResult(rows)
 
 
 def dim_carriers(spark: SparkSession, wh: Warehouse) -> DataFrame:
