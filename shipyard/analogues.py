@@ -410,7 +410,6 @@ def write_raw_feeds(spark: SparkSession, sf_dir: str, out_root: str, files_per_f
         "'recipient_email', 'p' || CAST(o_orderkey AS STRING) || '@example.com', "
         f"'occurred_at', {SPARK.iso('e.at')} || 'Z', '_ingested_at', {SPARK.iso('e.at')} || 'Z')) AS value"
     )
-    life.repartition(files_per_feed).write.mode("overwrite").text(f"{root}/parcel_events", compression="gzip")
 
     last = Window.partitionBy("l_orderkey")
     scans = (
@@ -441,9 +440,15 @@ def write_raw_feeds(spark: SparkSession, sf_dir: str, out_root: str, files_per_f
     c = scans.where("carrier_code = 'carrier_c'").selectExpr(
         f"substring({c_head}, 1, length({c_head}) - 1) || ', \"dims\": ' || {dims} || '}}' AS value"
     )
-    for name, df in (("carrier_a", a), ("carrier_b", b), ("carrier_c", c)):
+    from concurrent.futures import ThreadPoolExecutor
+
+    def write_feed(item):
+        name, df = item
         df.repartition(files_per_feed).write.mode("overwrite").text(f"{root}/{name}", compression="gzip")
 
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        list(pool.map(write_feed, (("carrier_a", a), ("carrier_b", b), ("carrier_c", c), ("parcel_events", life))))
+
     table(spark, sf_dir, "region").where("r_regionkey < 3").selectExpr(
         f"{E2E_CARRIER_OF_REGION} AS carrier_code", "r_name AS carrier_name", f"{E2E_SLA} AS sla_hours",
         "array('NL', 'DE') AS countries_served",
