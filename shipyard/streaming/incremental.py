@@ -52,7 +52,10 @@ def start_bronze_stream(
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         loaded_at = fixed_time(datetime.now(timezone.utc).replace(tzinfo=None))
-        numbered = number_lines(batch.withColumn("_mid", F.monotonically_increasing_id()))
+        files = len(batch.inputFiles())
+        numbered = number_lines(batch.withColumn("_mid", F.monotonically_increasing_id()), files_bound=files)
+        if files < spark.sparkContext.defaultParallelism:
+            numbered = numbered.hint("rebalance")  # as in the batch ingest: spread the parse
         rows = parse_feed_lines(numbered, feed, loaded_at)
         wh.replace_partitions(rows, feed.table, ["source_file"])
 
