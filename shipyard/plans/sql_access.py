@@ -213,3 +213,37 @@ def run_query(session: SparkSession, sql: str, row_limit: int = DEFAULT_ROW_LIMI
 def describe_view(session: SparkSession, view: str) -> list[tuple[str, str, str]]:
     """(column, type, comment) of a registered view - the schema documentation."""
     return [(f.name, f.dataType.simpleString(), f.metadata.get("comment", "")) for f in session.table(view).schema.fields]
+
+
+# Short notes shown with the schema document (the rules the reports follow).
+SCHEMA_NOTES = (
+    "`transit_hours` and `is_on_time` run from `handed_over_at` (carrier possession) to "
+    "`delivered_at`; `accepted_at` is the carrier's own first scan and is informational only.",
+    "Count shipments by `handed_over_at` or `created_at`. Parcels without carrier scans keep null "
+    "transit and on-time values: count them for volume, filter `is_on_time IS NOT NULL` for rates.",
+    "Lost and returned parcels never become on-time or late; report `is_lost` / `is_returned` "
+    "rates beside the on-time rate.",
+    "Join keys: `shipments.carrier_code = dim_carriers.carrier_code`, "
+    "`shipments.organisation_id = dim_organisations.organisation_id`.",
+)
+
+
+def schema_markdown() -> str:
+    """The gold views documented from their declared schemas (column, type,
+    nullable, meaning), followed by the query notes."""
+    from shipyard import schemas
+
+    out = [f"# Gold views (read-only, at most {DEFAULT_ROW_LIMIT} rows per query)", ""]
+    for view, schema in (
+        ("shipments", schemas.SHIPMENTS),
+        ("dim_carriers", schemas.DIM_CARRIERS),
+        ("dim_organisations", schemas.DIM_ORGANISATIONS),
+    ):
+        out += [f"## `{view}`", "", "| column | type | nullable | meaning |", "|---|---|---|---|"]
+        for f in schema.fields:
+            out.append(
+                f"| {f.name} | {f.dataType.simpleString()} | {'yes' if f.nullable else 'no'} | {f.metadata.get('comment', '')} |"
+            )
+        out.append("")
+    out += ["## Notes", ""] + [f"- {n}" for n in SCHEMA_NOTES]
+    return "\n".join(out) + "\n"
