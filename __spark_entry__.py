@@ -38,13 +38,14 @@ from shipyard.operators.quality import breach_details, quarantine_rates, shipmen
 from shipyard.operators.validate import normalize_parcel_events  # noqa: E402
 from shipyard.plans import gold, reports  # noqa: E402
 from shipyard.plans.run import run_all  # noqa: E402
-from shipyard.plans.gold import shipments_frame  # noqa: E402
+from shipyard.plans.gold import shipments_frame, sla_lookup  # noqa: E402
 from shipyard.plans.silver import normalized_tracking, parcel_bad, parcel_good, tracking_bad, tracking_good  # noqa: E402
 from shipyard.plans.sql_access import capped_frame, open_query_session  # noqa: E402
 from shipyard.session import checkpoint_dir, prepare  # noqa: E402
 from shipyard.sources.bronze import known_files, load_totals, parse_feed_lines, remaining_files  # noqa: E402
 from shipyard.sources.feeds import CARRIER_A, FEEDS  # noqa: E402
 from shipyard.sources.raw_files import scan_lines  # noqa: E402
+from shipyard.sources.reference import load_carriers, load_organisations  # noqa: E402
 from shipyard.warehouse import Warehouse, fixed_time, replaced_partitions  # noqa: E402
 
 FLAGSHIP_SF = "/root/testdata/sf0.001"
@@ -128,6 +129,31 @@ def q_end_to_end_run(spark, sf):
     return gold.shipments(spark, wh).drop("_gold_loaded_at")
 
 
+def q_reference_dims(spark, sf):
+    """SRC-8/9 and the SLA rule of JN-2 on real files: a carriers file where
+    codes repeat (the last line must win) and an organisations file with
+    optional ISO ``created_at``, written from ``region`` / ``nation`` in a
+    known line order, loaded by the reference loaders."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/reference-{uuid.uuid4().hex}"
+    carriers = an.table(spark, sf, "region").selectExpr(
+        "r_regionkey AS k",
+        "to_json(named_struct('carrier_code', 'carrier_' || CAST(r_regionkey % 3 AS STRING), 'carrier_name', r_name, "
+        "'sla_hours', CAST((r_regionkey + 1) * 10 AS INT), 'countries_served', array('NL'))) AS value",
+    )
+    orgs = an.table(spark, sf, "nation").selectExpr(
+        "n_nationkey AS k",
+        "to_json(named_struct('organisation_id', n_nationkey, 'name', n_name, 'plan', 'growth', 'created_at', "
+        "CASE WHEN n_nationkey % 5 = 0 THEN NULL ELSE '2020-01-' || lpad(CAST(n_nationkey + 1 AS STRING), 2, '0') || 'T06:30:00Z' END)) AS value",
+    )
+    for name, df in (("carriers", carriers), ("organisations", orgs)):
+        df.orderBy("k").coalesce(1).select("value").write.text(f"{root}/{name}")
+    sla = sla_lookup(load_carriers(spark, f"{root}/carriers", "part-*"))
+    org = load_organisations(spark, f"{root}/organisations", "part-*")
+    return org.join(F.broadcast(sla), org["organisation_id"] % 3 == F.substring(sla["carrier_code"], 9, 1).cast("int"), "left").select(
+        "organisation_id", "name", "plan", "created_at", "carrier_code", "sla_hours"
+    )
+
+
 def q_partition_replace(spark, sf):
     ev = an.table(spark, sf, "events")
     day = F.date_format("ts", "yyyyMMdd")
@@ -368,6 +394,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "skip_ingested": q_skip_ingested,
     "line_numbers": q_line_numbers,
     "end_to_end_run": q_end_to_end_run,
+    "reference_dims": q_reference_dims,
     "partition_replace": q_partition_replace,
     "load_totals": q_load_totals,
     "parse_iso": q_parse_iso,
@@ -512,6 +539,18 @@ SELECT parcel_id, tracking_number, organisation_id, carrier_code, service_level,
 FROM sj"""
 
 
+def o_reference_dims() -> str:
+    return """
+WITH sla AS (SELECT 'carrier_' || CAST(r_regionkey % 3 AS VARCHAR) AS carrier_code,
+                    arg_max(CAST((r_regionkey + 1) * 10 AS INTEGER), r_regionkey) AS sla_hours
+             FROM region GROUP BY 1)
+SELECT CAST(n_nationkey AS INTEGER) AS organisation_id, n_name AS name, 'growth' AS plan,
+       CASE WHEN n_nationkey % 5 = 0 THEN NULL
+            ELSE TIMESTAMP '2020-01-01 06:30:00' + to_days(CAST(n_nationkey AS INTEGER)) END AS created_at,
+       sla.carrier_code, sla.sla_hours
+FROM nation LEFT JOIN sla ON n_nationkey % 3 = CAST(substring(sla.carrier_code, 9, 1) AS INTEGER)"""
+
+
 def o_partition_replace() -> str:
     day = D.day("ts")
     return f"""
@@ -830,6 +869,7 @@ ORACLES: dict[str, Callable[[], str]] = {
     "skip_ingested": o_skip_ingested,
     "line_numbers": o_line_numbers,
     "end_to_end_run": o_end_to_end_run,
+    "reference_dims": o_reference_dims,
     "partition_replace": o_partition_replace,
     "load_totals": o_load_totals,
     "parse_iso": o_parse_iso,
