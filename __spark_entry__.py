@@ -279,8 +279,15 @@ def q_dedup_keep_first(spark, sf):
     return keep_first(ev, ["user_id", "event_type", "hour"], ["event_id"])
 
 
+LINEITEM_ORDER = [
+    "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
+    "l_shipdate",
+]
+
+
 def q_dedup_id(spark, sf):
-    return keep_first(an.table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey"])
+    # Every other column orders the copies, so "first" is total (identical rows are interchangeable).
+    return keep_first(an.table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], LINEITEM_ORDER)
 
 
 def q_milestones(spark, sf):
@@ -680,9 +687,9 @@ SELECT event_id, ts, user_id, event_type, value, props, hour FROM (
 
 
 def o_dedup_id() -> str:
-    return """
+    return f"""
 SELECT * EXCLUDE (rn) FROM (
-  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey) AS rn
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {", ".join(LINEITEM_ORDER)}) AS rn
   FROM lineitem) WHERE rn = 1"""
 
 

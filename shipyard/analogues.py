@@ -82,6 +82,14 @@ B_CODE_OF_TYPE = "CASE event_type WHEN 'signup' THEN 10 WHEN 'purchase' THEN 45
 C_CODE_OF_TYPE = "CASE event_type WHEN 'signup' THEN 0 WHEN 'purchase' THEN 3 WHEN 'view' THEN 1 WHEN 'click' THEN 4 ELSE 9 END"
 
 
+# Lineage file name of a lineitem-derived row: every column the derived
+# payloads read, so rows that tie on (time, file, line) carry equal payloads.
+LINEITEM_FILE = (
+    "'li_' || lpad(CAST(l_partkey AS STRING), 8, '0') || '_' || l_returnflag || l_linestatus "
+    "|| '_' || lpad(CAST(CAST(l_quantity AS INT) AS STRING), 3, '0')"
+)
+
+
 def select_sql(cols: list[tuple[str, str]], source: str, where: str | None = None) -> str:
     body = ",\n       ".join(f"{expr} AS {name}" for name, expr in cols)
     return f"SELECT {body}\nFROM {source}" + (f"\nWHERE {where}" if where else "")
@@ -258,7 +266,7 @@ def lineitem_scan_columns(d: Dialect) -> list[tuple[str, str]]:
         ("weight_kg", "CASE WHEN l_linenumber % 4 = 0 THEN NULL ELSE l_quantity END"),
         ("facility_code", "CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE 'F' || CAST(l_suppkey AS STRING) END"),
         ("raw_status", "l_returnflag"),
-        ("source_file", "'li_' || lpad(CAST(l_partkey AS STRING), 8, '0')"),
+        ("source_file", LINEITEM_FILE),
         ("source_line_no", "CAST(l_suppkey * 1000 + l_linenumber AS INT)"),
     ]
 
@@ -276,7 +284,7 @@ def lineitem_lifecycle_columns(d: Dialect) -> list[tuple[str, str]]:
         ("destination_country", "'N' || CAST(l_linenumber AS STRING)"),
         ("destination_postcode", "'P' || CAST(l_suppkey AS STRING)"),
         ("occurred_at", "l_shipdate"),
-        ("source_file", "'li_' || lpad(CAST(l_partkey AS STRING), 8, '0')"),
+        ("source_file", LINEITEM_FILE),
         ("source_line_no", "CAST(l_suppkey * 1000 + l_linenumber AS INT)"),
     ]
 
