@@ -43,6 +43,8 @@ from shipyard.plans.silver import normalized_tracking, parcel_bad, parcel_good,
 from shipyard.plans.sql_access import capped_frame, open_query_session  # noqa: E402
 from shipyard.session import checkpoint_dir, prepare  # noqa: E402
 from shipyard.sources.bronze import known_files, load_totals, parse_feed_lines, remaining_files  # noqa: E402
+from shipyard.sources.bronze import table as bronze_table  # noqa: E402
+from shipyard.streaming.incremental import start_bronze_stream  # noqa: E402
 from shipyard.sources.feeds import CARRIER_A, FEEDS  # noqa: E402
 from shipyard.sources.raw_files import scan_lines  # noqa: E402
 from shipyard.sources.reference import load_carriers, load_organisations  # noqa: E402
@@ -154,6 +156,26 @@ def q_reference_dims(spark, sf):
     )
 
 
+def q_stream_bronze(spark, sf):
+    """The Structured Streaming bronze load on real files: carrier-A lines built
+    from ``events`` (bad and blank lines included) written as one gzip file per
+    day, loaded by ``start_bronze_stream`` with an availableNow trigger into a
+    fresh warehouse; the good rows with their line numbers."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/stream-bronze-{uuid.uuid4().hex}"
+    lines = an.table(spark, sf, "events").selectExpr(f"{an.SPARK.day('ts')} AS day", *[f"{e} AS {n}" for n, e in an.feed_a_line_columns(an.SPARK)])
+    (
+        lines.repartition("day")
+        .sortWithinPartitions("day", "event_id")
+        .selectExpr("day", "line AS value")
+        .write.partitionBy("day")
+        .text(f"{root}/raw", compression="gzip")
+    )
+    wh = Warehouse(f"{root}/warehouse")
+    feed = dataclasses.replace(CARRIER_A, glob="*.txt.gz")
+    start_bronze_stream(spark, wh, feed, f"{root}/raw", checkpoint_location=f"{root}/checkpoint").awaitTermination()
+    return bronze_table(spark, wh, feed).select(*CARRIER_A.payload_columns, "source_line_no")
+
+
 def q_partition_replace(spark, sf):
     ev = an.table(spark, sf, "events")
     day = F.date_format("ts", "yyyyMMdd")
@@ -402,6 +424,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "line_numbers": q_line_numbers,
     "end_to_end_run": q_end_to_end_run,
     "reference_dims": q_reference_dims,
+    "stream_bronze": q_stream_bronze,
     "partition_replace": q_partition_replace,
     "load_totals": q_load_totals,
     "parse_iso": q_parse_iso,
@@ -558,6 +581,15 @@ SELECT CAST(n_nationkey AS INTEGER) AS organisation_id, n_name AS name, 'growth'
 FROM nation LEFT JOIN sla ON n_nationkey % 3 = CAST(substring(sla.carrier_code, 9, 1) AS INTEGER)"""
 
 
+def o_stream_bronze() -> str:
+    return f"""
+WITH l AS (SELECT *, CAST(row_number() OVER (PARTITION BY {D.day('ts')} ORDER BY event_id) AS INT) AS n FROM events)
+SELECT CAST(user_id AS VARCHAR) AS tracking_no, upper(event_type) AS status, {ISO} || 'Z' AS ts,
+       CAST({K} AS DOUBLE) + 0.25 AS weight_kg, 'H' || CAST(event_id % 7 AS VARCHAR) AS hub,
+       {ISO} || 'Z' AS source_ingested_at, n AS source_line_no
+FROM l WHERE {GOOD_A}"""
+
+
 def o_partition_replace() -> str:
     day = D.day("ts")
     return f"""
@@ -877,6 +909,7 @@ ORACLES: dict[str, Callable[[], str]] = {
     "line_numbers": o_line_numbers,
     "end_to_end_run": o_end_to_end_run,
     "reference_dims": o_reference_dims,
+    "stream_bronze": o_stream_bronze,
     "partition_replace": o_partition_replace,
     "load_totals": o_load_totals,
     "parse_iso": o_parse_iso,

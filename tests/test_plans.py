@@ -8,7 +8,7 @@ from shipyard.sources.raw_files import scan_lines
 from tests.conftest import write_gz
 
 SF = "/root/testdata/sf0.001"
-WRITES_FILES = {"line_numbers", "end_to_end_run"}
+WRITES_FILES = {"line_numbers", "end_to_end_run", "reference_dims", "stream_bronze"}
 
 
 def plan_of(df) -> str:
