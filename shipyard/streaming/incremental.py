@@ -9,6 +9,11 @@ through the same line numbering, parsing and per-file partition replace as
 the batch job, so re-running a failed micro-batch rewrites the same file
 partitions.
 
+The stream's file log remembers paths, so a corrected file re-delivered under
+the same name is not read again; reload such a file with the batch
+``sources.bronze.ingest_paths`` (or ``ingest(..., force=True)``), which
+replaces its rows the same way.
+
 The data has no event-time state: silver and gold recompute from bronze, so
 there is no watermark or stateful operator here.
 """
