@@ -4,6 +4,11 @@ Every query runs the library's operators over whole driver tables re-shaped as
 parcel data (see ``shipyard/analogues.py``); its oracle computes the expected
 rows in DuckDB straight from the source columns. Doubles that come out of an
 aggregation are rounded to 6 decimals on both sides; everything else is exact.
+
+Four queries exercise the file-based paths: ``line_numbers``,
+``reference_dims``, ``stream_bronze`` and ``end_to_end_run`` write files
+derived from the tables into a fresh folder under the session's
+``spark.checkpoint.dir`` and read them back through the library.
 """
 
 from __future__ import annotations
