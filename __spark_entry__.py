@@ -14,6 +14,7 @@ derived from the tables into a fresh folder under the session's
 from __future__ import annotations
 
 import dataclasses
+import importlib.util
 import os
 import sys
 import uuid
@@ -477,8 +478,26 @@ def _prepared(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
     return run
 
 
+def _added() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
+    """Queries and oracles of the ``llm`` subpackage and of ``corpus_pipeline``;
+    none of them where these are not installed."""
+    found, oracles = {}, {}
+    if importlib.util.find_spec("shipyard.llm") and importlib.util.find_spec("shipyard.llm.queries"):
+        from shipyard.llm import queries as llm
+
+        found |= llm.QUERIES
+        oracles |= llm.ORACLES
+        if importlib.util.find_spec("corpus_pipeline"):
+            import corpus_pipeline
+
+            found["pipeline"] = corpus_pipeline.run
+            if corpus_pipeline.ORACLE_SQL:
+                oracles["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, oracles
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _prepared(fn) for name, fn in QUERIES.items()}
+    return {name: _prepared(fn) for name, fn in {**QUERIES, **_added()[0]}.items()}
 
 
 # ====================================================================== oracle
@@ -944,4 +963,4 @@ ORACLES: dict[str, Callable[[], str]] = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: f() for k, f in ORACLES.items()}
+    return {k: f() for k, f in ORACLES.items()} | _added()[1]
