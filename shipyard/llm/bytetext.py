@@ -88,12 +88,17 @@ def gather(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 def same_spans(buf: np.ndarray, a: np.ndarray, b: np.ndarray, lengths_a: np.ndarray, lengths_b: np.ndarray) -> np.ndarray:
     """Whether the bytes of span k of ``a`` equal those of span k of ``b``."""
     same = lengths_a == lengths_b
-    n = np.where(same, lengths_a, 0)
-    if n.sum():
-        differs = buf[gather(a, n)] != buf[gather(b, n)]
+    look = np.flatnonzero(same & (a != b) & (lengths_a > 0))
+    sums = np.cumsum(lengths_a[look])
+    i = 0
+    while i < len(look):  # a million bytes at a time
+        j = max(i + 1, int(np.searchsorted(sums, (sums[i - 1] if i else 0) + (1 << 20), "right")))
+        part = look[i:j]
+        n = lengths_a[part]
+        differs = buf[gather(a[part], n)] != buf[gather(b[part], n)]
         if differs.any():
-            owner = np.repeat(np.arange(len(n)), n)
-            same[owner[differs]] = False
+            same[part[np.repeat(np.arange(len(n)), n)[differs]]] = False
+        i = j
     return same
 
 

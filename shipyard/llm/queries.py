@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from shipyard.llm.common import table
 from shipyard.llm.packing import pack, token_pieces
+from shipyard.llm.quality import quality_scores
 from shipyard.llm.simhash import near_duplicates
+from shipyard.llm.substring_dedup import remove_repeats
 from shipyard.llm.token_counts import token_counts
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -25,12 +27,23 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without passages of 13 words that an earlier one has."""
+    found = remove_repeats(table(spark, sf_dir, "documents"), width=13)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The SimHash component of every document."""
     found = near_duplicates(table(spark, sf_dir, "documents"), words=3, distance=3, seed=42)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document."""
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document."""
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), limit=512)
@@ -38,7 +51,9 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op3_substring_dedup": op3_substring_dedup,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op7_quality_classifier": op7_quality_classifier,
     "op10_token_counts": op10_token_counts,
 }
 
