@@ -9,14 +9,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shipyard.llm.common import table
+from shipyard.llm import oracles
+from shipyard.llm.line_dedup import remove_repeated_chunks
+from shipyard.llm.mixing import mix
 from shipyard.llm.packing import pack, token_pieces
 from shipyard.llm.quality import quality_scores
+from shipyard.llm.secrets_scan import KINDS, scan, spans_text
 from shipyard.llm.simhash import near_duplicates
 from shipyard.llm.substring_dedup import remove_repeats
 from shipyard.llm.token_counts import token_counts
 
 BYTE_BPE = "byte_bpe_50k.json"
 
+#: The mix that op4 draws: whole-number weights of siblings; others weigh 10.
+MIX_WEIGHTS = {
+    "domain": {"d0": 40, "d1": 30, "d2": 20, "d3": 10},
+    "language": {"en": 50, "de": 20, "fr": 20, "es": 10},
+    "source": {"src0": 30},
+}
+MIX_SHARE, MIX_EPOCHS, MIX_SEED, MIX_DEFAULT = (4, 5), 2, 17, 10
+
+
+def mix_domain() -> F.Column:
+    """The tables have no domain: sources are dealt to four by their number."""
+    number = F.regexp_extract("source", "([0-9]+)$", 1)
+    return F.when(number != "", F.concat(F.lit("d"), (number.try_cast("bigint") % 4).cast("string")))
+
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 1024 tokens, one row per piece."""
@@ -33,17 +51,48 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents of the mix, once for each epoch that takes them."""
+    docs = table(spark, sf_dir, "documents")
+    mixed = mix(docs, mix_domain(), F.col("lang"), F.col("source"), MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS, MIX_SEED, MIX_DEFAULT)
+    return mixed.select("doc_id", "epoch", "domain", "lang", "source", "n_tokens")
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The SimHash component of every document."""
     found = near_duplicates(table(spark, sf_dir, "documents"), words=3, distance=3, seed=42)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without multi-line chunks that an earlier place has."""
+    left = remove_repeated_chunks(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_chunks", "n_removed_chunks", F.length("text").cast("long").alias("kept_chars"), F.md5("text").alias("kept_md5"))
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quality score of every document."""
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document; sources are the owners, sources by language their repositories."""
+    found = scan(table(spark, sf_dir, "documents"), F.col("source"), F.concat_ws("/", "source", "lang"))
+    base = F.filter("spans", lambda x: x["base"])
+
+    def count(field: str, value: str) -> F.Column:
+        return F.size(F.filter("spans", lambda x: x[field] == value)).cast("long")
+
+    return found.select(
+        "doc_id",
+        *[count("kind", k.name).alias(f"n_{k.name}") for k in KINDS if k.base],
+        F.sha2(spans_text(base), 256).alias("base_sha256"),
+        spans_text(F.col("spans")).alias("spans"),
+        count("verdict", "live").alias("n_live"),
+        count("verdict", "example").alias("n_example"),
+    )
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document."""
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), limit=512)
@@ -52,9 +101,16 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_mixing": op4_mixing,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op6_line_dedup": op6_line_dedup,
     "op7_quality_classifier": op7_quality_classifier,
+    "op8_secret_scan": op8_secret_scan,
     "op10_token_counts": op10_token_counts,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_mixing": oracles.mixing(MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS, MIX_SEED, MIX_DEFAULT),
+    "op6_line_dedup": oracles.line_dedup(),
+    "op8_secret_scan": oracles.secret_scan(),
+}
