@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shipyard.llm.common import table
 from shipyard.llm import oracles
+from shipyard.llm.common import table
+from shipyard.llm.embedding_dedup import near_duplicates as near_duplicate_vectors
 from shipyard.llm.line_dedup import remove_repeated_chunks
 from shipyard.llm.mixing import mix
 from shipyard.llm.packing import pack, token_pieces
@@ -18,6 +19,7 @@ from shipyard.llm.secrets_scan import KINDS, scan, spans_text
 from shipyard.llm.simhash import near_duplicates
 from shipyard.llm.substring_dedup import remove_repeats
 from shipyard.llm.token_counts import token_counts
+from shipyard.llm.topk import top_k
 
 BYTE_BPE = "byte_bpe_50k.json"
 
@@ -45,6 +47,11 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector at a cosine of 0.95."""
+    return near_duplicate_vectors(table(spark, sf_dir, "embeddings"), limit=0.95)
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without passages of 13 words that an earlier one has."""
     found = remove_repeats(table(spark, sf_dir, "documents"), width=13)
@@ -93,6 +100,11 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best inner products of every twentieth vector over all others."""
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20, scale=64.0)
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document."""
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), limit=512)
@@ -100,12 +112,14 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_embedding_near_dedup": op2_embedding_near_dedup,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_mixing": op4_mixing,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_line_dedup": op6_line_dedup,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_secret_scan": op8_secret_scan,
+    "op9_exact_topk": op9_exact_topk,
     "op10_token_counts": op10_token_counts,
 }
 
