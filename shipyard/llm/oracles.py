@@ -120,3 +120,54 @@ text_of AS (
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
 FROM t LEFT JOIN text_of USING (doc_id)"""
+
+
+def embedding_dedup(limit: float = 0.95) -> str:
+    """op2: all pairs, then the smallest id over the closure of the links."""
+    return f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e,
+         embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+           AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS fine FROM embeddings),
+ok AS (SELECT vec_id, list_transform(e, lambda x: x / sqrt(list_inner_product(e, e))) AS u FROM v WHERE fine),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.vec_id <> b.vec_id AND len(a.u) = len(b.u)
+  AND list_inner_product(a.u, b.u) >= {limit}),
+reached AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION
+  SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+least AS (SELECT a AS vec_id, min(b) AS component_id FROM reached GROUP BY a)
+SELECT m.vec_id, (SELECT count(*) FROM links l WHERE l.a = m.vec_id) AS n_links, component_id, m.vec_id = component_id AS kept
+FROM least m"""
+
+
+def substring_dedup(width: int = 13) -> str:
+    """op3 over all windows as text."""
+    return f"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+windows AS (
+  SELECT doc_id, unnest(range(1, len(words) - {width} + 2)) AS i,
+         unnest(list_transform(range(1, len(words) - {width} + 2), lambda x: array_to_string(words[x:x + {width - 1}], ' '))) AS text FROM w),
+firsts AS (SELECT text, min(doc_id) AS first FROM windows GROUP BY text),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + {width})) AS pos FROM windows JOIN firsts USING (text) WHERE first < doc_id),
+kept AS (
+  SELECT e.doc_id, e.pos, e.word FROM (SELECT doc_id, unnest(range(1, len(words) + 1)) AS pos, unnest(words) AS word FROM w) e
+  ANTI JOIN gone g ON e.doc_id = g.doc_id AND e.pos = g.pos),
+joined AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY pos) AS text FROM kept GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(j.text, '')) AS kept_sha256
+FROM w LEFT JOIN joined j USING (doc_id)"""
+
+
+def exact_topk(every: int = 20, k: int = 20, scale: int = 64) -> str:
+    """op9: the stated queries against all rows."""
+    return f"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor({scale} * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % {every} = 0 AND c.vec_id <> q.vec_id AND len(q.e) = len(c.e)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scored)
+SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <= {k}"""

@@ -243,6 +243,20 @@ def scores(stats: DataFrame, model: Model) -> DataFrame:
     return stats.mapInArrow(apply, schema)
 
 
+def scored(docs: DataFrame, model: Model, text_col: str = "text", name: str = "score") -> DataFrame:
+    """All rows and columns of ``docs`` with their score, in one pass without a shuffle;
+    a column called ``name`` is replaced."""
+    ready(docs.sparkSession)
+    plain = docs.drop(name)
+    schema = StructType([*plain.schema.fields, StructField(name, DoubleType())])
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in text_chunks(batches, text_col):
+            yield from rows.append_column(name, pa.array(model.score(statistics(*flat(rows[text_col]))))).to_batches()
+
+    return plain.mapInArrow(apply, schema)
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per document: its id, ``keep``, ``held_out``, ``score``, ``predicted``."""
     stats = written(document_statistics(docs, id_col, text_col, keep), "statistics")

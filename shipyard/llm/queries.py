@@ -124,7 +124,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_embedding_near_dedup": oracles.embedding_dedup(),
+    "op3_substring_dedup": oracles.substring_dedup(),
     "op4_mixing": oracles.mixing(MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS, MIX_SEED, MIX_DEFAULT),
     "op6_line_dedup": oracles.line_dedup(),
     "op8_secret_scan": oracles.secret_scan(),
+    "op9_exact_topk": oracles.exact_topk(),
 }
