@@ -37,9 +37,11 @@ from shipyard.llm.common import ready, text_chunks, written
 #: A word is common if it makes up this share of all words: at most 1 / COMMON of them.
 COMMON = 1e-3
 #: Words of the longest prefix.
-LONGEST_PREFIX = 5
+LONGEST_PREFIX = 4
 #: Text bytes of a batch and of a group's share of the corpus.
 BATCH_BYTES = 4 << 20
+#: Compression level of the stretches on their way to the groups.
+LEVEL = 3
 NO_ID = np.iinfo(np.int64).max
 
 
@@ -142,7 +144,7 @@ def _ids(column: pa.ChunkedArray) -> np.ndarray:
 def _sealed(**columns: np.ndarray | pa.Array) -> bytes:
     batch = pa.record_batch([c if isinstance(c, pa.Array) else pa.array(c) for c in columns.values()], names=list(columns))
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=LEVEL))) as out:
         out.write_batch(batch)
     return sink.getvalue().to_pybytes()
 

@@ -60,7 +60,7 @@ def test_other_widths_and_small_batches(spark, monkeypatch):
     for width in (6, 8):
         assert result(remove_repeats(documents(spark, [(i, t, "en", "s") for i, t in texts]), width)) == brute(texts, width)
     with pytest.raises(ValueError, match="longer than"):
-        remove_repeats(documents(spark), 5)
+        remove_repeats(documents(spark), 4)
 
 
 def test_deep_nodes():
