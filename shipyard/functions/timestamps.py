@@ -10,14 +10,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accepted ISO-8601 shape. Extended calendar date, then an
-# optional time (T or one blank), hours with optional minutes, seconds and a
-# fraction of up to six digits, then an optional zone: Z, +HH, +HHMM, +HH:MM.
-ISO_PATTERN = (
-    r"^(\d{4})-(\d{2})-(\d{2})"
-    r"(?:[T ](\d{2})(?::(\d{2})(?::(\d{2})(?:[.,](\d{1,6}))?)?)?"
-    r"(Z|[+-]\d{2}(?::?\d{2})?)?)?$"
-)
+# Accepted ISO-8601 shapes. A calendar date (extended or basic)
+# or a week date, then an optional time after any one character: hours with
+# optional minutes, seconds and a fraction (extended or basic), then an optional
+# zone: Z, or an offset with optional minutes, seconds and a fraction.
+ISO_DATE = r"(?:(\d{4})-(\d{2})-(\d{2})|(\d{4})(\d{2})(\d{2})|(\d{4})-?W(\d{2})(?:-?([1-7]))?)"
+ISO_TIME = r"(\d{2})(?::?(\d{2})(?::?(\d{2})(?:[.,](\d+|(?=[Z+-])))?)?)?"
+ISO_ZONE = r"(Z| ?[+-]\d{2}(?::?\d{2}(?::?\d{2}(?:\.\d+)?)?)?)"
+ISO_PATTERN = f"^{ISO_DATE}(?:.{ISO_TIME}{ISO_ZONE}?)?$"
+# Mixtures of the extended and the basic form within a date, a time or an offset,
+# and a blank between a fraction and an offset (one is accepted elsewhere).
+ISO_MIXED = r"^(?:\d{4}-W\d{2}[1-7]|\d{4}W\d{2}-|.*[.,]\d+ [+-]|.{7,10}?[^0-9-](?:\d{2}:\d{4}|\d{4}:)|.*[+-](?:\d{2}:\d{4}|\d{4}:\d{2})(?:\.\d+)?$)"
 
 # The common full form, parsed in one step: date, 'T', time to the second, an
 # optional fraction of one to six digits, then Z or +HH:MM.
@@ -45,29 +48,60 @@ def parse_iso8601_utc(value: Column) -> Column:
     path, which rebuilds a canonical string from the regex groups.
     """
     fast = F.try_to_timestamp(value, F.lit(ISO_FULL_FORMAT)).cast("timestamp_ntz")
+    fast = F.when(F.year(fast).between(1, 9999), fast)
     return F.when(value.rlike(ISO_FULL_PATTERN), fast).otherwise(_parse_iso8601_general(value))
 
 
 def _parse_iso8601_general(value: Column) -> Column:
-    p = ISO_PATTERN
-    ok = value.rlike(p)
-    hour = F.when(_g(value, 4, p) == "", F.lit("00")).otherwise(_g(value, 4, p))
-    minute = F.when(_g(value, 5, p) == "", F.lit("00")).otherwise(_g(value, 5, p))
-    second = F.when(_g(value, 6, p) == "", F.lit("00")).otherwise(_g(value, 6, p))
-    frac = F.rpad(_g(value, 7, p), 6, "0")
-    zone = _g(value, 8, p)
-    zone_digits = F.regexp_replace(zone, ":", "")
-    offset = (
-        F.when((zone == "") | (zone == "Z"), F.lit("+00:00"))
-        .when(F.length(zone_digits) == 3, F.concat(zone_digits, F.lit(":00")))
-        .otherwise(F.concat(F.substring(zone_digits, 1, 3), F.lit(":"), F.substring(zone_digits, 4, 2)))
+    ok = value.rlike(ISO_PATTERN) & ~value.rlike(ISO_MIXED)
+    # One regex pass gives all parts; the rest works on them.
+    parts = F.split(F.regexp_replace(value, ISO_PATTERN, "|".join(f"${k}" for k in range(1, 15))), "[|]", -1)
+    return F.when(ok, F.element_at(F.transform(F.array(parts), _instant_of), 1))
+
+
+def _instant_of(parts: Column) -> Column:
+    """The UTC timestamp of the 14 parts of ``ISO_PATTERN``; null for impossible values."""
+
+    def part(idx: int, missing: str = "00") -> Column:
+        return F.when(parts[idx - 1] == "", F.lit(missing)).otherwise(parts[idx - 1])
+
+    date = (
+        F.when(parts[0] != "", F.try_to_date(F.concat_ws("-", *[parts[k] for k in (0, 1, 2)]), "yyyy-MM-dd"))
+        .when(parts[3] != "", F.try_to_date(F.concat_ws("-", *[parts[k] for k in (3, 4, 5)]), "yyyy-MM-dd"))
+        .otherwise(_week_date(parts[6], parts[7], part(9, "1")))
     )
-    canonical = F.concat(
-        _g(value, 1, p), F.lit("-"), _g(value, 2, p), F.lit("-"), _g(value, 3, p), F.lit(" "),
-        hour, F.lit(":"), minute, F.lit(":"), second, F.lit("."), frac, offset,
+    fraction = F.rpad(F.substring(parts[12], 1, 6), 6, "0")  # digits beyond the sixth are cut off
+    local = F.try_to_timestamp(
+        F.concat(F.date_format(date, "yyyy-MM-dd"), F.lit(" "), F.concat_ws(":", part(10), part(11), part(12)), F.lit("."), fraction),
+        F.lit("yyyy-MM-dd HH:mm:ss.SSSSSS"),
+    ).cast("timestamp_ntz")
+    instant = F.timestamp_add("MICROSECOND", -_offset_micros(parts[13]), local)
+    return F.when(F.year(instant).between(1, 9999), instant)
+
+
+def _week_date(year: Column, week: Column, day: Column) -> Column:
+    """The date of an ISO week date: week 1 holds 4 January; null for a week that
+    the year does not have."""
+    fourth = F.try_to_date(F.concat(year, F.lit("-01-04")), "yyyy-MM-dd")
+    date = F.date_add(F.trunc(fourth, "week"), (week.try_cast("int") - 1) * 7 + day.try_cast("int") - 1)
+    return F.when((week != "00") & (F.weekofyear(date) == week.try_cast("int")), date)
+
+
+def _offset_micros(zone: Column) -> Column:
+    """Microseconds of ``Z`` or ``+HH[[:]MM[[:]SS[.f]]]``; null for an offset of a day or more."""
+    sign = F.substring(F.ltrim(zone), 1, 1)
+    digits = F.regexp_replace(F.substring(F.ltrim(zone), 2, 30), ":", "")
+
+    def number(start: int) -> Column:
+        return F.coalesce(F.substring(digits, start, 2).try_cast("long"), F.lit(0))
+
+    fraction = F.rpad(F.substring(F.regexp_extract(digits, r"\.(\d+)", 1), 1, 6), 6, "0").try_cast("long")
+    seconds = number(1) * 3600 + number(3) * 60 + number(5)
+    micros = seconds * 1_000_000 + F.coalesce(fraction, F.lit(0))
+    return (
+        F.when((zone == "") | (zone == "Z"), F.lit(0).cast("long"))
+        .when(micros < 86_400_000_000, F.when(sign == "-", -micros).otherwise(micros))
     )
-    instant = F.try_to_timestamp(canonical, F.lit("yyyy-MM-dd HH:mm:ss.SSSSSSXXX"))
-    return F.when(ok, instant.cast("timestamp_ntz"))
 
 
 def parse_naive_utc(value: Column) -> Column:
