@@ -1,14 +1,15 @@
-"""Guarded, capped, read-only Spark SQL over the three gold views.
+"""Guarded, read-only Spark SQL over the three gold views.
 
 Only ``shipments``, ``dim_carriers`` and ``dim_organisations`` are registered,
 in a fresh session (``spark.newSession()``) that has no other temp views and
 cannot read files by path. A query must be one read-only statement: it is
 parsed by Spark's own SQL parser, and every node of the parsed plan - subquery
-plans included - must be a query operator; relations must be the views or
-CTE names; functions that run JVM code are refused.
+plans included - must be a query operator; relations must be the views or names
+of a WITH clause that are in scope where they are used; functions that run JVM
+code are refused.
 
-Results are capped: ``cap + 1`` rows are fetched, ``cap`` returned, and
-``truncated`` tells whether more existed.
+``query_frame`` is the whole result. Where somebody reads the rows, the caller
+names a row limit, and ``truncated`` tells whether there were more.
 """
 
 from __future__ import annotations
@@ -17,7 +18,8 @@ import json
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from shipyard.plans import gold
 from shipyard.warehouse import Warehouse
@@ -127,16 +129,50 @@ def count_statements(spark: SparkSession, sql: str) -> int | None:
     return n
 
 
-def _nodes(tree):
-    stack = [tree]
-    while stack:
-        x = stack.pop()
-        if isinstance(x, dict):
-            if "class" in x:
-                yield x
-            stack.extend(x.values())
-        elif isinstance(x, list):
-            stack.extend(x)
+def _subtree(nodes: list[dict], at: int) -> tuple[dict, list, int]:
+    """A plan is described as its nodes in pre-order: (node, subtrees of its
+    children, place after it)."""
+    node, children, at = nodes[at], [], at + 1
+    for _ in range(int(node.get("num-children", 0))):
+        child, below, at = _subtree(nodes, at)
+        children.append((child, below))
+    return node, children, at
+
+
+def _used(described, scope: frozenset):
+    """(node, names of WITH clauses in scope there) of all nodes of a described
+    plan. A query of a WITH clause sees the earlier names of its clause, its own
+    only if the clause is recursive; the statement below sees them all."""
+    if isinstance(described, list) and described and isinstance(described[0], dict) and "class" in described[0]:
+        at = 0
+        while at < len(described):
+            node, children, at = _subtree(described, at)
+            yield from _used_in_node(node, children, scope)
+    elif isinstance(described, list):
+        for x in described:
+            yield from _used(x, scope)
+    elif isinstance(described, dict):
+        if "class" in described:
+            yield from _used_in_node(described, [], scope)
+        else:
+            for x in described.values():
+                yield from _used(x, scope)
+
+
+def _used_in_node(node: dict, children: list, scope: frozenset):
+    yield node, scope
+    inner = scope
+    for name, value in node.items():
+        if name == "cteRelations" and node["class"].endswith(".UnresolvedWith"):
+            recursive = str(node.get("allowRecursion", "false")).lower() == "true"
+            for relation in value:
+                own = str(relation["_1"]).lower()
+                yield from _used(relation["_2"], inner | {own} if recursive else inner)
+                inner = inner | {own}
+        elif isinstance(value, (list, dict)):
+            yield from _used(value, scope)
+    for child, below in children:
+        yield from _used_in_node(child, below, inner)
 
 
 def _parts(text) -> list[str]:
@@ -148,47 +184,37 @@ def _parts(text) -> list[str]:
 
 def validate_sql(spark: SparkSession, sql: str, relations: set[str]) -> None:
     """Raise ``QueryNotAllowedError`` unless ``sql`` is one read-only query
-    that reads only ``relations`` (and its own CTEs)."""
-    if not sql or not sql.strip():
-        raise QueryNotAllowedError("SQL statement is empty")
+    that reads only ``relations`` (and names of its WITH clauses, in scope)."""
+    if not (sql or "").strip():
+        raise QueryNotAllowedError("there is no statement to run")
     try:
         plan = _parse(spark, sql)
     except Exception as exc:  # noqa: BLE001
         n = count_statements(spark, sql)
         if n is not None and n > 1:
-            raise QueryNotAllowedError(f"exactly one SELECT statement is allowed, got {n}") from None
-        first = str(exc).strip().splitlines()[0] if str(exc).strip() else type(exc).__name__
-        raise QueryNotAllowedError(f"could not parse SQL: {first}") from None
-    root = plan.getClass().getSimpleName()
+            raise QueryNotAllowedError(f"{n} statements given; send one at a time") from None
+        message = str(exc).strip() or type(exc).__name__
+        raise QueryNotAllowedError(f"not valid SQL: {message.splitlines()[0]}") from None
+    refused = QueryNotAllowedError(f"only queries may run here, not {plan.getClass().getSimpleName()}")
     try:
-        tree = json.loads(plan.toJSON())
+        described = json.loads(plan.toJSON())
     except Exception:  # noqa: BLE001 - a plan that cannot be described is refused
-        raise QueryNotAllowedError(f"only SELECT statements are allowed, got {root}") from None
-
-    nodes = list(_nodes(tree))
-    cte_names = set()
-    for node in nodes:
-        if node["class"].endswith(".UnresolvedWith"):
-            for rel in node.get("cteRelations", []):
-                if isinstance(rel, dict) and "_1" in rel:
-                    cte_names.add(str(rel["_1"]).lower())
-    allowed_relations = {r.lower() for r in relations} | cte_names
-    for node in nodes:
+        raise refused from None
+
+    views = {r.lower() for r in relations}
+    for node, scope in _used(described, frozenset()):
         cls = node["class"]
         simple = cls.rsplit(".", 1)[-1]
         if simple == "UnresolvedFunction":
             name = (_parts(node.get("nameParts")) or [""])[-1].lower()
             if name in DENIED_FUNCTIONS:
-                raise QueryNotAllowedError(f"function {name} is not allowed")
-            continue
-        if simple == "UnresolvedRelation":
+                raise QueryNotAllowedError(f"{name}() may not be called")
+        elif simple == "UnresolvedRelation":
             parts = _parts(node.get("multipartIdentifier"))
-            if len(parts) != 1 or parts[0].lower() not in allowed_relations:
-                raise QueryNotAllowedError(f"unknown or unreachable relation {'.'.join(parts)}")
-            continue
-        if cls.startswith(_EXPRESSION_PACKAGE) or simple in QUERY_EXPRESSIONS or simple in QUERY_NODES:
-            continue
-        raise QueryNotAllowedError(f"only SELECT statements are allowed, got {root}")
+            if len(parts) != 1 or parts[0].lower() not in views | scope:
+                raise QueryNotAllowedError(f"there is no view {'.'.join(parts)} here")
+        elif not (cls.startswith(_EXPRESSION_PACKAGE) or simple in QUERY_EXPRESSIONS or simple in QUERY_NODES):
+            raise refused
 
 
 # -------------------------------------------------------------------- query
@@ -196,18 +222,26 @@ def relations_of(session: SparkSession) -> set[str]:
     return {t.name for t in session.catalog.listTables() if t.isTemporary}
 
 
-def capped_frame(session: SparkSession, sql: str, row_limit: int = DEFAULT_ROW_LIMIT) -> DataFrame:
-    """The validated query with at most ``row_limit`` rows, as a DataFrame."""
+def query_frame(session: SparkSession, sql: str) -> DataFrame:
+    """The validated query, complete."""
     validate_sql(session, sql, relations_of(session))
-    return session.sql(sql).limit(row_limit)
+    return session.sql(sql)
+
+
+def first_rows(session: SparkSession, sql: str, row_limit: int) -> DataFrame:
+    """At most ``row_limit`` rows of the query, in its order, each with
+    ``truncated``: whether the query has more."""
+    head = query_frame(session, sql).limit(row_limit + 1).withColumn("_place", F.monotonically_increasing_id())
+    more = Window.partitionBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    counted = head.withColumns({"truncated": F.count("*").over(more) > row_limit, "_n": F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("_place"))})
+    return counted.where(F.col("_n") <= row_limit).orderBy("_place").drop("_place", "_n")
 
 
 def run_query(session: SparkSession, sql: str, row_limit: int = DEFAULT_ROW_LIMIT) -> QueryResult:
-    df = capped_frame(session, sql, row_limit + 1)
-    fetched = [tuple(r) for r in df.collect()]
-    truncated = len(fetched) > row_limit
-    rows = fetched[:row_limit]
-    return QueryResult(columns=list(df.columns), rows=rows, row_count=len(rows), truncated=truncated)
+    """The rows for a reader: the caller's limit, and whether it cut anything off."""
+    shown = first_rows(session, sql, row_limit)
+    found = shown.collect()
+    return QueryResult(shown.columns[:-1], [tuple(r)[:-1] for r in found], len(found), bool(found) and found[0]["truncated"])
 
 
 def describe_view(session: SparkSession, view: str) -> list[tuple[str, str, str]]:
@@ -233,7 +267,7 @@ def schema_markdown() -> str:
     nullable, meaning), followed by the query notes."""
     from shipyard import schemas
 
-    out = [f"# Gold views (read-only, at most {DEFAULT_ROW_LIMIT} rows per query)", ""]
+    out = [f"# Gold views (read-only; {DEFAULT_ROW_LIMIT} rows shown unless the caller asks for more)", ""]
     for view, schema in (
         ("shipments", schemas.SHIPMENTS),
         ("dim_carriers", schemas.DIM_CARRIERS),

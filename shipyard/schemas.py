@@ -177,46 +177,46 @@ PARCEL_EVENTS_QUARANTINE = StructType(
 # ---------------------------------------------------------------- gold
 DIM_CARRIERS = StructType(
     [
-        _f("carrier_code", StringType(), False, "join key"),
+        _f("carrier_code", StringType(), False, "short name of the carrier, unique here; shipments refer to it"),
         _f("carrier_name", StringType(), False),
-        _f("sla_hours", IntegerType(), False, "this carrier's SLA (already denormalized onto shipments.sla_hours)"),
+        _f("sla_hours", IntegerType(), False, "hours the carrier promises from hand-over to delivery; shipments repeat it"),
         _f("countries_served", ArrayType(StringType())),
     ]
 )
 
 DIM_ORGANISATIONS = StructType(
     [
-        _f("organisation_id", IntegerType(), False, "join key"),
+        _f("organisation_id", IntegerType(), False, "number of the sender; shipments refer to it"),
         _f("name", StringType()),
         _f("country", StringType()),
-        _f("plan", StringType(), comment="subscription plan"),
+        _f("plan", StringType(), comment="contract the organisation has with us"),
         _f("created_at", TS),
     ]
 )
 
 SHIPMENTS = StructType(
     [
-        _f("parcel_id", IntegerType(), False, "internal parcel identifier"),
-        _f("tracking_number", StringType(), False, "carrier's tracking number"),
-        _f("organisation_id", IntegerType(), False, "shipping organisation (join to dim_organisations)"),
-        _f("carrier_code", StringType(), False, "carrier (join to dim_carriers)"),
-        _f("service_level", StringType(), comment="carrier service tier"),
+        _f("parcel_id", IntegerType(), False, "our number of the parcel, one row each"),
+        _f("tracking_number", StringType(), False, "number under which the carrier reports scans"),
+        _f("organisation_id", IntegerType(), False, "who sends the parcel, see dim_organisations"),
+        _f("carrier_code", StringType(), False, "who carries the parcel, see dim_carriers"),
+        _f("service_level", StringType(), comment="service that the sender booked"),
         _f("destination_country", StringType()),
         _f("destination_postcode", StringType()),
-        _f("created_at", TS, comment="parcel created in our system; null when no parcel_created event was seen"),
-        _f("handed_over_at", TS, comment="org handed the parcel to the carrier (shipped)"),
-        _f("accepted_at", TS, comment="carrier's first ACCEPTED scan"),
-        _f("delivered_at", TS, comment="carrier's DELIVERED scan"),
-        _f("latest_carrier_status", StringType(), comment="most recent status seen from the carrier"),
+        _f("created_at", TS, comment="time of the parcel_created event, null if none arrived"),
+        _f("handed_over_at", TS, comment="time of the parcel_handed_over event: the carrier has the parcel from here on"),
+        _f("accepted_at", TS, comment="time of the earliest scan with status ACCEPTED"),
+        _f("delivered_at", TS, comment="time of the earliest scan with status DELIVERED"),
+        _f("latest_carrier_status", StringType(), comment="status of the newest scan"),
         _f("weight_kg", DoubleType()),
-        _f("facility_code", StringType(), comment="facility of the latest carrier status"),
-        _f("sla_hours", IntegerType(), comment="carrier's SLA for this parcel, from dim_carriers"),
-        _f("transit_hours", DoubleType(), comment="delivered_at - handed_over_at, in hours"),
-        _f("is_delivered", BooleanType(), False, "delivered_at IS NOT NULL"),
-        _f("is_on_time", BooleanType(), comment="transit_hours <= sla_hours"),
-        _f("_gold_loaded_at", TS, False, "pipeline bookkeeping, not business data"),
-        _f("is_lost", BooleanType(), comment="latest_carrier_status = 'LOST'"),
-        _f("is_returned", BooleanType(), comment="latest_carrier_status = 'RETURNED'"),
+        _f("facility_code", StringType(), comment="place of the newest scan"),
+        _f("sla_hours", IntegerType(), comment="promised hours of the parcel's carrier"),
+        _f("transit_hours", DoubleType(), comment="hours from hand-over to delivery, null until both are known"),
+        _f("is_delivered", BooleanType(), False, "true once a DELIVERED scan arrived"),
+        _f("is_on_time", BooleanType(), comment="true or false for delivered parcels with a promise, else null"),
+        _f("_gold_loaded_at", TS, False, "when this row was built; not for reports"),
+        _f("is_lost", BooleanType(), comment="true if the newest scan says LOST"),
+        _f("is_returned", BooleanType(), comment="true if the newest scan says RETURNED"),
     ]
 )
 
