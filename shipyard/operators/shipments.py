@@ -5,8 +5,8 @@ parcels LEFT JOIN carrier milestones ON (carrier_code, tracking_number)
 
 The milestones side is already hash-partitioned by its grouping key, so only
 the parcels side is shuffled for the first join. The SLA lookup is one row
-per carrier (made unique beforehand, so it never fans out) and is broadcast
-after its size is checked.
+per carrier (made unique beforehand, so it never fans out); Catalyst and AQE
+broadcast it when its size, known at run time, is below their threshold.
 """
 
 from __future__ import annotations
@@ -16,16 +16,14 @@ from pyspark.sql import functions as F
 
 from shipyard import schemas
 from shipyard.functions.timestamps import hours_between
-from shipyard.operators.joins import small_side
 
 
 def transit_hours(handed_over_at: F.Column, delivered_at: F.Column) -> F.Column:
     return hours_between(handed_over_at, delivered_at)
 
 
-def assemble(parcels: DataFrame, milestones: DataFrame, sla: DataFrame, check_sla_size: bool = True) -> DataFrame:
+def assemble(parcels: DataFrame, milestones: DataFrame, sla: DataFrame) -> DataFrame:
     """``sla`` must be unique on ``carrier_code`` with column ``sla_hours``."""
-    sla = small_side(sla) if check_sla_size else sla
     joined = parcels.join(milestones, ["carrier_code", "tracking_number"], "left").join(sla, "carrier_code", "left")
     transit = transit_hours(F.col("handed_over_at"), F.col("delivered_at"))
     latest = F.col("latest_carrier_status")

@@ -1,176 +1,126 @@
-from datetime import datetime
+"""Shipments from events told as hours after a start; a parcel's fields follow from its number."""
+
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from shipyard import schemas
-from shipyard.plans import gates, gold, silver
 from shipyard.operators.quality import DataQualityError
+from shipyard.plans import gates, gold, silver
 from shipyard.sources.reference import ReferenceDataError
 from tests.conftest import write_jsonl
 
-NOW = datetime(2026, 7, 5, 12, 0)
-CARRIERS = [
-    {"carrier_code": "carrier_a", "carrier_name": "Alpha Post", "sla_hours": 24, "countries_served": ["NL"]},
-    {"carrier_code": "carrier_b", "carrier_name": "Beta Parcels", "sla_hours": 48, "countries_served": ["NL", "DE", "FR"]},
-]
-ORGS = [{"organisation_id": 4471, "name": "Shop", "country": "NL", "plan": "growth", "created_at": "2025-01-01T00:00:00Z"}]
-
-
-def _pe(event_id, event_type, at, line, **kw):
-    row = dict(
-        event_id=event_id, event_type=event_type, parcel_id=1, tracking_number="A1", organisation_id=4471,
-        carrier_code="carrier_a", service_level="standard", destination_country="NL", destination_postcode="1234AB",
-        occurred_at=at, source_file="parcel_events_2026-07-01.jsonl.gz", source_line_no=line, _silver_loaded_at=NOW,
-    )
-    row.update(kw)
-    return row
-
-
-def _te(status, at, line, **kw):
-    row = dict(
-        tracking_number="A1", carrier_code="carrier_a", status=status, event_time=at, weight_kg=2.5, facility_code="AMS",
-        raw_status=status, source_file="carrier_a_20260701.json.gz", source_line_no=line, _silver_loaded_at=NOW,
-    )
-    row.update(kw)
-    return row
+START = datetime(2025, 3, 10, 5, 20)
+SLA = {"carrier_a": 30, "carrier_c": 90}
+
+
+def at(hours):
+    return START + timedelta(hours=hours)
+
+
+def story(spark, wh, tmp_path, *, life=(), scans=(), carriers=None):
+    """Writes silver and the dimensions. ``life``: (parcel, event, hours); ``scans``:
+    (parcel, status, hours, place in the file, further fields)."""
+    carriers = carriers or [{"carrier_code": c, "carrier_name": c.upper(), "sla_hours": h, "countries_served": ["BE", "LU"]} for c, h in SLA.items()]
+    write_jsonl(tmp_path / "ref" / "carriers.json", carriers)
+    write_jsonl(tmp_path / "ref" / "organisations.json", [{"organisation_id": 12, "name": "Kiosk", "country": "LU", "plan": "basic", "created_at": "2024-06-30T22:15:00+02:00"}])
+    gold.build_dimensions(spark, wh, str(tmp_path / "ref"))
+    events = [(f"{p}:{kind}", kind, p, f"K{p}", 12, "carrier_a" if p % 2 else "carrier_c", "day", "LU", None, at(h), "life", k, START) for k, (p, kind, h) in enumerate(life)]
+    df = spark.createDataFrame(events, schemas.PARCEL_EVENTS)
+    wh.overwrite(df.withColumn("occurred_day", F.to_date("occurred_at")), silver.PARCEL_TABLE, ["occurred_day"])
+    rows = []
+    for p, status, h, place, more in scans:
+        row = dict(tracking_number=f"K{p}", carrier_code="carrier_a" if p % 2 else "carrier_c", status=status, event_time=at(h), weight_kg=None, facility_code=None, raw_status=status.lower(), source_file="scans", source_line_no=place, _silver_loaded_at=START)
+        rows.append(tuple((row | more)[f] for f in schemas.TRACKING_EVENTS.names))
+    df = spark.createDataFrame(rows, schemas.TRACKING_EVENTS)
+    wh.overwrite(df.withColumn("event_day", F.to_date("event_time")), silver.TRACKING_TABLE, ["event_day"])
+    loaded = gold.build_shipments(spark, wh).rows_loaded
+    built = {r.parcel_id: r for r in gold.shipments(spark, wh).collect()}
+    assert loaded == len(built)
+    return built
+
+
+def both(p, created=0, handed=2):
+    return [(p, "parcel_created", created), (p, "parcel_handed_over", handed)]
+
+
+def test_transit_runs_from_hand_over(spark, wh, tmp_path):
+    life = both(1) + both(3) + both(4) + both(5)
+    scans = [
+        (1, "ACCEPTED", 3, 1, {"weight_kg": 7.75}), (1, "DELIVERED", 32, 2, {"facility_code": "door"}),  # just in time
+        (3, "DELIVERED", 32.25, 3, {}),  # late, never accepted
+        (4, "ACCEPTED", 4, 4, {}), (4, "DELIVERED", 60, 5, {}),  # the slower carrier promises less
+    ]
+    got = story(spark, wh, tmp_path, life=life, scans=scans)
+    assert [(p, got[p].transit_hours, got[p].is_on_time) for p in (1, 3, 4, 5)] == [(1, 30.0, True), (3, 30.25, False), (4, 58.0, True), (5, None, None)]
+    assert (got[1].accepted_at, got[1].created_at, got[1].handed_over_at, got[1].sla_hours) == (at(3), at(0), at(2), 30)
+    assert got[1].facility_code == "door" and got[1].weight_kg == 7.75 and got[3].accepted_at is None
+    assert got[5].latest_carrier_status is None and not got[5].is_delivered and not got[5].is_lost
 
 
-def _seed(spark, wh, tmp_path, parcel_events, tracking_events, carriers=CARRIERS):
-    ref = tmp_path / "reference"
-    write_jsonl(ref / "carriers.json", carriers)
-    write_jsonl(ref / "organisations.json", ORGS)
-    gold.build_dimensions(spark, wh, str(ref))
-    pe = spark.createDataFrame([tuple(r[c] for c in schemas.PARCEL_EVENTS.names) for r in parcel_events], schemas.PARCEL_EVENTS)
-    wh.overwrite(pe.withColumn("occurred_day", F.to_date("occurred_at")), silver.PARCEL_TABLE, ["occurred_day"])
-    te = spark.createDataFrame([tuple(r[c] for c in schemas.TRACKING_EVENTS.names) for r in tracking_events], schemas.TRACKING_EVENTS)
-    wh.overwrite(te.withColumn("event_day", F.to_date("event_time")), silver.TRACKING_TABLE, ["event_day"])
-
-
-CREATED = _pe("e1", "parcel_created", datetime(2026, 7, 1, 8, 0), 1)
-HANDED = _pe("e2", "parcel_handed_over", datetime(2026, 7, 1, 8, 30), 2)
+def test_lost_and_returned(spark, wh, tmp_path):
+    life = [(1, "parcel_created", 0), *both(2), *both(3)]
+    scans = [(1, "LOST", 50, 1, {}), (2, "AT_HUB", 9, 2, {}), (2, "RETURNED", 70, 3, {}), (3, "LOST", 20, 4, {}), (3, "IN_TRANSIT", 21, 5, {})]
+    got = story(spark, wh, tmp_path, life=life, scans=scans)
+    flags = {p: (r.is_lost, r.is_returned, r.is_delivered, r.transit_hours, r.is_on_time) for p, r in got.items()}
+    assert flags == {1: (True, False, False, None, None), 2: (False, True, False, None, None), 3: (False, False, False, None, None)}
+    assert got[1].handed_over_at is None
 
 
-def _row(spark, wh):
-    rows = gold.shipments(spark, wh).collect()
-    assert len(rows) == 1
-    return rows[0]
+def test_a_tie_goes_to_the_line_seen_first(spark, wh, tmp_path):
+    scans = [(1, "OUT_FOR_DELIVERY", 8, 9, {"facility_code": "van"}), (1, "AT_HUB", 8, 4, {}), (1, "ACCEPTED", 7, 11, {"weight_kg": 0.5})]
+    got = story(spark, wh, tmp_path, life=both(1), scans=scans)[1]
+    assert (got.latest_carrier_status, got.facility_code, got.weight_kg) == ("AT_HUB", None, 0.5)
 
 
-def test_transit_from_handover(spark, wh, tmp_path):
-    _seed(spark, wh, tmp_path, [CREATED, HANDED], [_te("ACCEPTED", datetime(2026, 7, 1, 9), 1), _te("DELIVERED", datetime(2026, 7, 2, 8), 2)])
+def test_repeated_carriers_do_not_multiply_parcels(spark, wh, tmp_path):
+    carriers = [{"carrier_code": "carrier_a", "carrier_name": n, "sla_hours": h, "countries_served": None} for n, h in (("old", 10), ("new", 33))]
+    got = story(spark, wh, tmp_path, life=both(1), scans=[(1, "DELIVERED", 34, 1, {})], carriers=carriers)
+    assert len(got) == 1 and got[1].sla_hours == 33 and got[1].is_on_time and gold.dim_carriers(spark, wh).count() == 2
     assert gold.build_shipments(spark, wh).rows_loaded == 1
-    r = _row(spark, wh)
-    assert r.accepted_at == datetime(2026, 7, 1, 9)
-    assert r.transit_hours == pytest.approx(23.5)
-    assert r.is_delivered is True and r.is_on_time is True and r.weight_kg == 2.5
-    assert r.sla_hours == 24 and r.created_at == datetime(2026, 7, 1, 8)
-    assert r.latest_carrier_status == "DELIVERED" and r.is_lost is False and r.is_returned is False
-
-
-def test_late_delivery(spark, wh, tmp_path):
-    _seed(spark, wh, tmp_path, [CREATED, HANDED], [_te("ACCEPTED", datetime(2026, 7, 1, 9), 1), _te("DELIVERED", datetime(2026, 7, 3, 0), 2)])
-    gold.build_shipments(spark, wh)
-    r = _row(spark, wh)
-    assert r.transit_hours == pytest.approx(39.5) and r.is_on_time is False
-
-
-def test_delivered_without_accepted(spark, wh, tmp_path):
-    _seed(spark, wh, tmp_path, [CREATED, HANDED], [_te("DELIVERED", datetime(2026, 7, 2, 8), 1)])
-    gold.build_shipments(spark, wh)
-    r = _row(spark, wh)
-    assert r.accepted_at is None and r.transit_hours == pytest.approx(23.5) and r.is_on_time is True
-
-
-def test_never_scanned(spark, wh, tmp_path):
-    _seed(spark, wh, tmp_path, [CREATED, HANDED], [_te("ACCEPTED", datetime(2026, 7, 1, 9), 1, tracking_number="OTHER")])
-    gold.build_shipments(spark, wh)
-    r = [x for x in gold.shipments(spark, wh).collect()][0]
-    assert r.is_delivered is False and r.accepted_at is None and r.transit_hours is None and r.is_on_time is None
-    assert r.is_lost is False and r.is_returned is False and r.latest_carrier_status is None
-
-
-def test_lost_and_returned(spark, wh, tmp_path):
-    _seed(spark, wh, tmp_path, [CREATED], [_te("ACCEPTED", datetime(2026, 7, 1, 9), 1), _te("LOST", datetime(2026, 7, 4, 9), 2, facility_code=None)])
-    gold.build_shipments(spark, wh)
-    r = _row(spark, wh)
-    assert r.is_lost is True and r.is_returned is False and r.is_delivered is False
-    assert r.transit_hours is None and r.is_on_time is None and r.facility_code is None and r.handed_over_at is None
-    _seed(spark, wh, tmp_path, [CREATED, HANDED], [_te("ACCEPTED", datetime(2026, 7, 1, 9), 1), _te("RETURNED", datetime(2026, 7, 4, 9), 2)])
-    gold.build_shipments(spark, wh)
-    r = _row(spark, wh)
-    assert r.is_returned is True and r.is_lost is False and r.is_delivered is False
-
-
-def test_latest_status_tie_goes_to_first_seen(spark, wh, tmp_path):
-    t = datetime(2026, 7, 2, 8)
-    _seed(spark, wh, tmp_path, [CREATED, HANDED], [_te("OUT_FOR_DELIVERY", t, 2, facility_code="X"), _te("AT_HUB", t, 1, facility_code=None), _te("ACCEPTED", datetime(2026, 7, 1, 9), 3, weight_kg=None)])
-    gold.build_shipments(spark, wh)
-    r = _row(spark, wh)
-    assert r.latest_carrier_status == "AT_HUB" and r.facility_code is None and r.weight_kg == 2.5
-
-
-def test_rebuild_and_duplicate_carrier_rows(spark, wh, tmp_path):
-    dup = CARRIERS + [{"carrier_code": "carrier_a", "carrier_name": "Alpha Post", "sla_hours": 30, "countries_served": None}]
-    _seed(spark, wh, tmp_path, [CREATED, HANDED], [_te("DELIVERED", datetime(2026, 7, 2, 8), 1)], carriers=dup)
-    gold.build_shipments(spark, wh)
-    gold.build_shipments(spark, wh)
-    r = _row(spark, wh)
-    assert r.sla_hours == 30  # last line of the reference file wins, no fan-out
-    assert gold.dim_carriers(spark, wh).count() == 3
 
 
 def test_dimensions(spark, wh, tmp_path):
-    _seed(spark, wh, tmp_path, [CREATED], [])
-    c = {r.carrier_code: r for r in gold.dim_carriers(spark, wh).collect()}
-    assert c["carrier_b"].countries_served == ["NL", "DE", "FR"] and c["carrier_a"].sla_hours == 24
-    o = gold.dim_organisations(spark, wh).collect()
-    assert len(o) == 1 and o[0].plan == "growth" and o[0].created_at == datetime(2025, 1, 1)
-
-
-def test_bad_reference_line_raises(spark, wh, tmp_path):
-    ref = tmp_path / "ref"
-    ref.mkdir()
-    (ref / "carriers.json").write_text('{"carrier_code": "x", "carrier_name": "y", "sla_hours": 1}\n{"carrier_code": "x"\n')
+    story(spark, wh, tmp_path)
+    assert {(r.carrier_code, r.sla_hours, tuple(r.countries_served)) for r in gold.dim_carriers(spark, wh).collect()} == {(c, h, ("BE", "LU")) for c, h in SLA.items()}
+    org = gold.dim_organisations(spark, wh).first()
+    assert (org.organisation_id, org.plan, org.created_at) == (12, "basic", datetime(2024, 6, 30, 20, 15))
+
+
+@pytest.mark.parametrize(
+    ("name", "build", "text"),
+    [
+        ("carriers.json", gold.build_carriers, '{"carrier_code": "q", "carrier_name": "Q", "sla_hours": 4}\n{"carrier_code": '),
+        ("carriers.json", gold.build_carriers, '{"carrier_code": "q", "carrier_name": "Q"}'),
+        ("organisations.json", gold.build_organisations, '{"organisation_id": 3, "created_at": "last spring"}'),
+    ],
+)
+def test_bad_reference_lines_raise(spark, wh, tmp_path, name, build, text):
+    (tmp_path / name).write_text(text)
     with pytest.raises(ReferenceDataError):
-        gold.build_carriers(spark, wh, str(ref))
-    (ref / "organisations.json").write_text('{"organisation_id": 1, "created_at": "yesterday"}\n')
-    with pytest.raises(ReferenceDataError):
-        gold.build_organisations(spark, wh, str(ref))
+        build(spark, wh, str(tmp_path))
 
 
-def test_gold_gate_passes_and_reports_problems(spark, wh, tmp_path):
-    _seed(spark, wh, tmp_path, [CREATED, HANDED, _pe("e3", "parcel_created", datetime(2026, 7, 1, 8), 3, parcel_id=2, tracking_number="A2")], [_te("DELIVERED", datetime(2026, 7, 2, 8), 1)])
-    gold.build_shipments(spark, wh)
+def test_gate(spark, wh, tmp_path):
+    story(spark, wh, tmp_path, life=both(1) + both(2), scans=[(1, "DELIVERED", 5, 1, {})])
     assert gates.check_gold_shipments(spark, wh) == {"row_count": 2}
-    _seed(spark, wh, tmp_path, [CREATED, HANDED], [_te("DELIVERED", datetime(2026, 7, 1, 3, 30), 1), _te("LOST", datetime(2026, 7, 2), 2)])
-    gold.build_shipments(spark, wh)
-    with pytest.raises(DataQualityError) as e:
+    story(spark, wh, tmp_path, life=both(7, handed=6), scans=[(7, "DELIVERED", 1, 1, {}), (7, "RETURNED", 9, 2, {})])
+    with pytest.raises(DataQualityError, match=r"earlier than hand-over in 1 rows \(first parcel 7\).*lost or returned in 1 rows"):
+        gates.check_gold_shipments(spark, wh)
+    story(spark, wh, tmp_path)
+    with pytest.raises(DataQualityError, match="no rows"):
         gates.check_gold_shipments(spark, wh)
-    msg = str(e.value)
-    assert "negative transit_hours" in msg and "delivered and lost/returned" in msg and "parcel_id=1" in msg
-
-
-def test_table_written_before_a_column_was_added_reads_it_as_null(spark, wh):
-    old_columns = [c for c in gold.SHIPMENTS_STORED.names if c not in ("is_lost", "is_returned")]
-    row = {c: None for c in old_columns}
-    row.update(parcel_id=1, tracking_number="T", organisation_id=1, carrier_code="c", is_delivered=False, _gold_loaded_at=NOW)
-    from pyspark.sql.types import StructType
-
-    old_schema = StructType([f for f in gold.SHIPMENTS_STORED.fields if f.name in old_columns])
-    df = spark.createDataFrame([tuple(row[c] for c in old_columns)], old_schema)
-    wh.overwrite(df, gold.SHIPMENTS_TABLE, ["handed_over_month"])
-    r = gold.shipments(spark, wh).first()
-    assert r.parcel_id == 1 and r.is_lost is None and r.is_returned is None
 
 
-def test_empty_silver_gives_empty_gold_and_gate_says_so(spark, wh, tmp_path):
-    _seed(spark, wh, tmp_path, [], [])
-    assert gold.build_shipments(spark, wh).rows_loaded == 0
-    with pytest.raises(DataQualityError, match="table is empty"):
-        gates.check_gold_shipments(spark, wh)
+def test_columns_added_later_read_as_null(spark, wh):
+    old = StructType([f for f in gold.SHIPMENTS_STORED.fields if f.name in ("parcel_id", "tracking_number", "is_delivered", "handed_over_month")])
+    wh.overwrite(spark.createDataFrame([(6, "K6", True, None)], old), gold.SHIPMENTS_TABLE, ["handed_over_month"])
+    row = gold.shipments(spark, wh).first()
+    assert (row.parcel_id, row.is_delivered, row.is_lost, row.sla_hours) == (6, True, None, None)
 
 
-def test_missing_parcel_events_raises(spark, wh):
+def test_no_silver(spark, wh):
     with pytest.raises(FileNotFoundError):
         gold.build_shipments(spark, wh)
