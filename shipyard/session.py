@@ -49,14 +49,32 @@ def prepare(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the deployment and must be shared storage. Only
-    when it is unset (local tests) do we create a scratch folder.
+    On a cluster the deployment must set it to storage that all executors share;
+    without it this raises, as a local folder would scatter the files over their
+    disks. A local master (tests, one machine) gets a scratch folder of its own.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
     )
     if not configured:
+        if not is_local_master(spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="shipyard-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     spark.sparkContext.setCheckpointDir(configured)
     return configured
+
+
+def is_local_master(master: str) -> bool:
+    """Driver and executors in one process (not ``local-cluster[...]``)."""
+    return master == "local" or master.startswith("local[")
+
+
+def one_file_per_task(spark: SparkSession) -> SparkSession:
+    """A copy of the session in which a file scan never splits a file and never
+    puts two into one task, as line numbers need it. The catalog and all other
+    settings are those of ``spark``."""
+    copy = SparkSession(spark.sparkContext, spark._jsparkSession.cloneSession())
+    for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
+        copy.conf.set(key, str(1 << 50))
+    return copy

@@ -26,19 +26,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from shipyard.session import checkpoint_dir, prepare
+from shipyard.session import checkpoint_dir, one_file_per_task, prepare
 from shipyard.sources.bronze import parse_feed_lines
 from shipyard.sources.feeds import Feed
-from shipyard.sources.raw_files import decoded_file_name, number_lines
+from shipyard.sources.raw_files import decoded_file_name, line_number
 from shipyard.warehouse import Warehouse, fixed_time
 
 
 def raw_line_stream(spark: SparkSession, raw_dir: str, glob_pattern: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.format("text").option("pathGlobFilter", glob_pattern)
+    reader = one_file_per_task(spark).readStream.format("text").option("pathGlobFilter", glob_pattern)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.load(raw_dir).select(
-        decoded_file_name().alias("source_file"), F.col("_metadata.file_path").alias("_path"), F.col("value").alias("line")
+        decoded_file_name().alias("source_file"), F.col("value").alias("line")
     )
 
 
@@ -57,10 +57,7 @@ def start_bronze_stream(
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         loaded_at = fixed_time(datetime.now(timezone.utc).replace(tzinfo=None))
-        files = len(batch.inputFiles())
-        numbered = number_lines(batch.withColumn("_mid", F.monotonically_increasing_id()), files_bound=files)
-        if files < spark.sparkContext.defaultParallelism:
-            numbered = numbered.hint("rebalance")  # as in the batch ingest: spread the parse
+        numbered = batch.withColumn("source_line_no", line_number()).hint("rebalance", "source_file")
         rows = parse_feed_lines(numbered, feed, loaded_at)
         wh.replace_partitions(rows, feed.table, ["source_file"])
 

@@ -8,14 +8,17 @@ from shipyard.sources.raw_files import scan_lines
 from tests.conftest import write_gz
 
 SF = "/root/testdata/sf0.001"
-WRITES_FILES = {"line_numbers", "end_to_end_run", "reference_dims", "stream_bronze"}
+WRITES_FILES = {
+    "line_numbers", "end_to_end_run", "reference_dims", "stream_bronze", "skip_ingested", "partition_replace", "load_totals",
+    "incremental_after_failed_gate", "schema_evolution",
+}
 
 
 def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - WRITES_FILES))
+@pytest.mark.parametrize("name", sorted(set(E.QUERIES) - WRITES_FILES))
 def test_no_python_evaluation(spark, name):
     plan = plan_of(E.queries()[name](spark, SF))
     for node in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas"):
@@ -33,7 +36,21 @@ def test_sla_lookup_is_broadcast(spark):
     assert "BroadcastExchange" in plan and "LeftOuter" in plan
 
 
-def test_line_numbering_does_not_shuffle_lines(spark, tmp_path):
+def test_line_numbering_reads_a_file_once(spark, tmp_path):
     write_gz(tmp_path / "a.json.gz", ["x", "y"])
     plan = plan_of(scan_lines(spark, [str(tmp_path / "a.json.gz")]))
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Window" not in plan
+    assert plan.count("FileScan text") == 1
+    for node in ("Join", "Exchange", "Window", "Sort"):
+        assert node not in plan
+
+
+def test_a_gate_is_one_query(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame as Classic
+
+    from shipyard.operators.quality import enforce_quarantine_rates, quarantine_rates
+
+    collected = []
+    plain = Classic.collect
+    monkeypatch.setattr(Classic, "collect", lambda self: collected.append(1) or plain(self))
+    enforce_quarantine_rates(quarantine_rates([("t", spark.range(100), spark.range(2))]), ["t"])
+    assert len(collected) == 1

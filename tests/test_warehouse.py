@@ -1,8 +1,10 @@
 from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 
-from shipyard.warehouse import replaced_partitions
+from shipyard.session import checkpoint_dir, is_local_master, one_file_per_task
+from shipyard.warehouse import Warehouse
 
 
 def test_overwrite_counts_rows_also_when_empty_and_partitioned(spark, wh):
@@ -13,16 +15,58 @@ def test_overwrite_counts_rows_also_when_empty_and_partitioned(spark, wh):
     assert wh.read(spark, "silver.t", rows.schema).count() == 0
 
 
-def test_clear_partition_and_replace(spark, wh):
-    rows = spark.createDataFrame([(1, date(2026, 1, 1)), (2, date(2026, 1, 2))], "id int, d date")
+def test_partitions_are_listed_dropped_and_replaced(spark, wh):
+    rows = spark.createDataFrame([(1, "a b+c/d=1"), (2, "x")], "id int, f string")
+    wh.overwrite(rows, "bronze.t", ["f"])
+    assert sorted(wh.partition_values(spark, "bronze.t", "f")) == ["a b+c/d=1", "x"]
+    wh.drop_partitions(spark, "bronze.t", "f", ["a b+c/d=1", "absent"])
+    assert [r.id for r in wh.read(spark, "bronze.t", rows.schema).collect()] == [2]
+    wh.replace_partitions(spark.createDataFrame([(3, "x")], rows.schema), "bronze.t", ["f"])
+    assert [r.id for r in wh.read(spark, "bronze.t", rows.schema).collect()] == [3]
+    wh.drop(spark, "bronze.t")
+    assert wh.partition_values(spark, "bronze.t", "f") == [] and not wh.exists(spark, "bronze.t")
+
+
+def test_a_root_with_pattern_characters(spark, tmp_path):
+    wh = Warehouse(str(tmp_path / "w[1]{a,b}*?"))
+    rows = spark.createDataFrame([(n, date(2025, 1, 1 + n)) for n in range(5)], "id int, d date")
     wh.overwrite(rows, "silver.days", ["d"])
-    wh.clear_partition(spark, "silver.days", "d", "2026-01-01", rows.select("id").schema)
-    assert [r.id for r in wh.read(spark, "silver.days", rows.schema).collect()] == [2]
-    wh.replace_partitions(spark.createDataFrame([(3, date(2026, 1, 2))], rows.schema), "silver.days", ["d"])
-    assert [r.id for r in wh.read(spark, "silver.days", rows.schema).collect()] == [3]
+    assert wh.read(spark, "silver.days", rows.schema).count() == 5
+    assert wh.read(spark, "silver.absent", rows.schema).count() == 0
+
+
+def test_a_read_that_fails_raises(spark, wh, tmp_path):
+    path = tmp_path / "warehouse" / "silver" / "broken"
+    path.mkdir(parents=True)
+    (path / "part-0.parquet").write_text("this is no Parquet file")
+    with pytest.raises(Exception, match="(?i)parquet|footer|magic"):
+        wh.read(spark, "silver.broken", spark.range(1).schema).collect()
+
+
+class FakeContext:
+    def __init__(self, master):
+        self.master = master
+
+    def getConf(self):  # noqa: N802
+        return self
+
+    def get(self, key, default=None):
+        return default
+
+
+class FakeSession:
+    def __init__(self, master):
+        self.sparkContext, self.conf = FakeContext(master), FakeContext(master)
+
+
+def test_a_cluster_needs_a_shared_folder():
+    assert is_local_master("local") and is_local_master("local[4]")
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]", "k8s://x"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            checkpoint_dir(FakeSession(master))
 
 
-def test_replaced_partitions_frame(spark):
-    old = spark.createDataFrame([("a", 1), ("b", 2)], "f string, v int")
-    new = spark.createDataFrame([("b", 20), ("c", 30)], "f string, v int")
-    assert sorted(tuple(r) for r in replaced_partitions(old, new, ["f"]).collect()) == [("a", 1), ("b", 20), ("c", 30)]
+def test_session_copy_keeps_settings(spark):
+    copy = one_file_per_task(spark)
+    assert copy.conf.get("spark.sql.session.timeZone") == spark.conf.get("spark.sql.session.timeZone")
+    assert copy.conf.get("spark.sql.files.openCostInBytes") != spark.conf.get("spark.sql.files.openCostInBytes")
