@@ -29,6 +29,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from shipyard import analogues as an  # noqa: E402
 from shipyard.analogues import DUCK, K, STATUS_OF_TYPE, select_sql  # noqa: E402
+from shipyard import schemas  # noqa: E402
 from shipyard.functions.codes import (  # noqa: E402
     CARRIER_B_STATUS_BY_CODE,
     CARRIER_C_STATUS_BY_CODE,
@@ -40,21 +41,30 @@ from shipyard.functions.timestamps import parse_epoch_millis, parse_iso8601_utc,
 from shipyard.functions.weights import grams_to_kg, weight_kg_from_dims  # noqa: E402
 from shipyard.operators.dedup import keep_first  # noqa: E402
 from shipyard.operators.milestones import carrier_milestones, parcel_rows  # noqa: E402
-from shipyard.operators.quality import breach_details, quarantine_rates, shipment_checks  # noqa: E402
+from shipyard.operators.quality import DataQualityError, breach_details, quarantine_rates, shipment_checks  # noqa: E402
 from shipyard.operators.validate import normalize_parcel_events  # noqa: E402
 from shipyard.plans import gold, reports  # noqa: E402
 from shipyard.plans.run import run_all  # noqa: E402
 from shipyard.plans.gold import shipments_frame, sla_lookup  # noqa: E402
 from shipyard.plans.silver import normalized_tracking, parcel_bad, parcel_good, tracking_bad, tracking_good  # noqa: E402
-from shipyard.plans.sql_access import capped_frame, open_query_session  # noqa: E402
+from shipyard.plans.sql_access import (  # noqa: E402
+    QueryNotAllowedError,
+    describe_view,
+    first_rows,
+    open_query_session,
+    query_frame,
+    relations_of,
+    validate_sql,
+)
 from shipyard.session import checkpoint_dir, prepare  # noqa: E402
-from shipyard.sources.bronze import known_files, load_totals, parse_feed_lines, remaining_files  # noqa: E402
+from shipyard.sources import bronze  # noqa: E402
+from shipyard.sources.bronze import parse_feed_lines  # noqa: E402
 from shipyard.sources.bronze import table as bronze_table  # noqa: E402
 from shipyard.streaming.incremental import start_bronze_stream  # noqa: E402
 from shipyard.sources.feeds import CARRIER_A, FEEDS  # noqa: E402
 from shipyard.sources.raw_files import scan_lines  # noqa: E402
 from shipyard.sources.reference import load_carriers, load_organisations  # noqa: E402
-from shipyard.warehouse import Warehouse, fixed_time, replaced_partitions  # noqa: E402
+from shipyard.warehouse import Warehouse, fixed_time  # noqa: E402
 
 FLAGSHIP_SF = "/root/testdata/sf0.001"
 LOADED_AT = datetime(2026, 1, 1)
@@ -65,6 +75,13 @@ ORG_ID, ORG_MONTH = 3, date(1997, 6, 1)
 HEAVY_KG = 25.0
 SQL_CAP = 200
 
+# Days of ``events``: files up to the first are loaded by name, the second one is
+# delivered again with blank lines only.
+EARLY_DAY, BLANK_DAY = "20240105", "20240107"
+# An eighth of a quarter of the scans: over the gate's limit in three quarters of
+# the lines, under it in all of them.
+FAILED_GATE_NOISE = "((l_orderkey div 4 + l_linenumber) % 8 = 0)"
+
 
 def _r(col: str) -> F.Column:
     return F.round(F.col(col), ROUND).alias(col)
@@ -87,13 +104,50 @@ def q_bronze_quarantine(spark, sf):
     return rows.where(F.col("error").isNotNull()).select("source_file", "source_line_no", "raw_line", "error")
 
 
+def _fresh(spark, name: str) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _feed_a_files(spark, sf, folder: str, second: bool = False) -> None:
+    """Carrier-A lines of ``events`` as one gzip file per day. The second delivery
+    of the same files lacks every third event, and one day holds blank lines only."""
+    day = an.SPARK.day("ts")
+    ev = an.table(spark, sf, "events")
+    columns = dict(an.feed_a_line_columns(an.SPARK))
+    lines = ev.selectExpr(f"{day} AS day", "event_id AS place", f"{columns['line']} AS line")
+    if second:
+        lines = lines.where("place % 3 <> 0").withColumn("line", F.expr(f"CASE WHEN day = '{BLANK_DAY}' THEN '  ' ELSE line END"))
+    an.write_named_files(lines.selectExpr("'feed_a_' || day || '.json.gz' AS name", "place", "line"), folder)
+
+
 def q_skip_ingested(spark, sf):
-    rows = _bronze_rows(spark, sf)
-    listed = an.feed_a_lines(spark, sf).select("source_file").distinct()
-    day = F.substring("source_file", 11, 8)
-    loaded = rows.where(F.col("error").isNull() & (day <= "20240105"))
-    quarantined = rows.where(F.col("error").isNotNull() & day.between("20240104", "20240110"))
-    return remaining_files(listed, known_files(loaded, quarantined))
+    """SRC-11 through ``ingest``: some files are loaded by name, then a run over
+    the whole folder loads the others; what that run loaded."""
+    prepare(spark)
+    root = _fresh(spark, "skip-ingested")
+    _feed_a_files(spark, sf, f"{root}/raw")
+    wh = Warehouse(f"{root}/warehouse")
+    listed = bronze.list_raw_files(spark, f"{root}/raw", CARRIER_A.glob)
+    early = [p for p in listed if bronze.file_name_of(p) <= f"feed_a_{EARLY_DAY}.json.gz"]
+    bronze.ingest_paths(spark, wh, CARRIER_A, early)
+    loaded = bronze.ingest(spark, wh, CARRIER_A, f"{root}/raw")
+    return _load_results(spark, loaded)
+
+
+def _load_results(spark, results) -> DataFrame:
+    rows = [(r.source_file, r.rows_loaded, r.rows_quarantined) for r in results]
+    return spark.createDataFrame(rows, "source_file string, rows_loaded long, rows_quarantined long")
+
+
+def _reloaded(spark, sf, name: str):
+    """The first delivery of all files loaded, then the second with ``force``."""
+    prepare(spark)
+    root = _fresh(spark, name)
+    _feed_a_files(spark, sf, f"{root}/first")
+    _feed_a_files(spark, sf, f"{root}/second", second=True)
+    wh = Warehouse(f"{root}/warehouse")
+    bronze.ingest(spark, wh, CARRIER_A, f"{root}/first")
+    return wh, bronze.ingest(spark, wh, CARRIER_A, f"{root}/second", force=True)
 
 
 def _line_text(d) -> str:
@@ -183,23 +237,83 @@ def q_stream_bronze(spark, sf):
 
 
 def q_partition_replace(spark, sf):
-    ev = an.table(spark, sf, "events")
-    day = F.date_format("ts", "yyyyMMdd")
-    old = ev.select(F.concat(F.lit("d_"), day).alias("source_file"), "event_id", "value")
-    new = ev.where(day.between("20240105", "20240109") & (F.col("event_id") % 2 == 0)).select(
-        F.concat(F.lit("d_"), day).alias("source_file"), "event_id", (F.col("value") * 2).alias("value")
+    """SNK-1 through ``ingest(force=True)``: the stored rows, good and bad, after
+    every file was delivered again with other lines, one with blank lines only."""
+    wh, _ = _reloaded(spark, sf, "partition-replace")
+    return bronze.stored(spark, wh, CARRIER_A).select(
+        "source_file", "source_line_no", "tracking_no", "weight_kg", "raw_line", "error"
     )
-    return replaced_partitions(old, new, ["source_file"])
 
 
 def q_load_totals(spark, sf):
-    return load_totals(_bronze_rows(spark, sf))
+    """SNK-7: the row counts that the forced reload returned."""
+    return _load_results(spark, _reloaded(spark, sf, "load-totals")[1])
+
+
+def q_raw_records(spark, sf):
+    """SNK-6, FN-10 and PRJ-3: the records kept of rejected lifecycle rows. Their
+    keys (all columns, nulls kept, without the personal one) and some values."""
+    prepare(spark)
+    bad = parcel_bad(normalize_parcel_events(an.lifecycle_rows(spark, sf)))
+    record = F.col("raw_record")
+    return bad.select(
+        "source_file",
+        "source_line_no",
+        "reason",
+        F.array_join(F.array_sort(F.json_object_keys(record)), ",").alias("keys"),
+        F.get_json_object(record, "$.service_level").alias("service_level"),
+        F.get_json_object(record, "$.organisation_id").cast("int").alias("organisation_id"),
+        F.get_json_object(record, "$.occurred_at").alias("occurred_at"),
+    )
+
+
+def q_schema_evolution(spark, sf):
+    """SNK-4 and SRC-13: shipments written before two columns were declared read
+    back with these null; a table never written reads as empty."""
+    prepare(spark)
+    wh = Warehouse(_fresh(spark, "evolution[1]"))
+    old = an.table(spark, sf, "orders").selectExpr(
+        "CAST(o_orderkey AS INT) AS parcel_id", "'T' || CAST(o_orderkey AS STRING) AS tracking_number", "o_orderstatus = 'F' AS is_delivered"
+    )
+    wh.overwrite(old, gold.SHIPMENTS_TABLE)
+    kept = wh.read(spark, gold.SHIPMENTS_TABLE, gold.SHIPMENTS_STORED)
+    absent = wh.read(spark, "gold.never_written", gold.SHIPMENTS_STORED)
+    return kept.unionByName(absent).select("parcel_id", "tracking_number", "is_delivered", "is_lost", "is_returned", "sla_hours")
+
+
+def q_incremental_after_failed_gate(spark, sf):
+    """PL-1 with ``incremental_silver``: half of the orders; a delivery whose
+    garbage breaches the bronze gate and stops the run; the rest, which dilutes
+    the garbage. The last run must take in the files of the stopped one, too."""
+    scratch = _fresh(spark, "failed-gate")
+    raw, wh = f"{scratch}/raw", Warehouse(f"{scratch}/warehouse")
+    feeds = [dataclasses.replace(f, glob="*.txt.gz") for f in FEEDS]
+    refs = {"carriers": (f"{raw}/reference/carriers", "*.json"), "organisations": (f"{raw}/reference/organisations", "*.json")}
+
+    def run():
+        return run_all(spark, wh, raw, f"{raw}/reference", feeds=feeds, reference_files=refs, incremental_silver=True)
+
+    an.write_raw_feeds(spark, sf, raw, orders_where="o_orderkey % 4 < 2")
+    run()
+    an.write_raw_feeds(spark, sf, raw, orders_where="o_orderkey % 4 = 2", noise=FAILED_GATE_NOISE, reference=False)
+    try:
+        run()
+        raise AssertionError("the bronze gate let the garbage through")
+    except DataQualityError:
+        pass
+    an.write_raw_feeds(spark, sf, raw, orders_where="o_orderkey % 4 = 3", reference=False)
+    run()
+    return gold.shipments(spark, wh).drop("_gold_loaded_at")
 
 
 def _iso_text():
     d = an.SPARK
     return (
         f"CASE WHEN event_id % 40 = 0 THEN {d.iso('ts')} || 'Q' "
+        f"WHEN event_id % 41 = 0 THEN {d.iso('ts')} || '999Z' "
+        f"WHEN event_id % 42 = 0 THEN lower({d.iso('ts')}) || '+00:00:00' "
+        f"WHEN event_id % 43 = 0 THEN {d.iso(d.add_minutes('ts', '-61'))} || '-01:01:00' "
+        f"WHEN event_id % 44 = 0 THEN replace(replace({d.iso('ts')}, '-', ''), ':', '') || 'Z' "
         f"WHEN event_id % 45 = 0 THEN {d.iso_date('ts')} "
         f"WHEN event_id % 5 = 0 THEN {d.iso('ts')} || 'Z' "
         f"WHEN event_id % 5 = 1 THEN {d.iso(d.add_minutes('ts', '120'))} || '+02:00' "
@@ -412,15 +526,63 @@ def _gold_session(spark, sf) -> SparkSession:
 
 
 def q_sql_capped(spark, sf):
-    return capped_frame(_gold_session(spark, sf), SQL_CAPPED, SQL_CAP)
+    """LIM-1: the rows that a reader gets, and whether there are more."""
+    return first_rows(_gold_session(spark, sf), SQL_CAPPED, SQL_CAP)
 
 
 def q_sql_join(spark, sf):
-    return capped_frame(_gold_session(spark, sf), SQL_JOIN, SQL_CAP)
+    return query_frame(_gold_session(spark, sf), SQL_JOIN)
 
 
 def q_sql_union(spark, sf):
-    return capped_frame(_gold_session(spark, sf), SQL_UNION, SQL_CAP)
+    return query_frame(_gold_session(spark, sf), SQL_UNION)
+
+
+# QRY-2: statement templates and whether they may run; {name} is a region's name.
+SQL_VERDICTS = [
+    ("SELECT count(*) FROM shipments WHERE destination_country = '{name};'", True),
+    ("WITH r AS (SELECT '{name}' AS n), q AS (SELECT n FROM r) SELECT q.n FROM q JOIN dim_carriers c ON c.carrier_name = q.n", True),
+    ("WITH dim_carriers AS (SELECT * FROM dim_carriers) SELECT carrier_name = '{name}' FROM dim_carriers", True),
+    ("SELECT '{name}' IN (WITH i AS (SELECT carrier_name AS n FROM dim_carriers) SELECT n FROM i)", True),
+    ("WITH RECURSIVE t(n) AS (SELECT 1 UNION ALL SELECT n + 1 FROM t WHERE n < 3) SELECT '{name}', n FROM t", True),
+    ("WITH hidden AS (SELECT * FROM hidden) SELECT '{name}', * FROM hidden", False),
+    ("SELECT '{name}', (WITH i AS (SELECT 1 AS x) SELECT max(x) FROM i), * FROM i", False),
+    ("WITH a AS (SELECT * FROM b), b AS (SELECT '{name}' AS n) SELECT * FROM a", False),
+    ("SELECT * FROM `{name}`", False),
+    ("SELECT '{name}'; SELECT 2", False),
+    ("DROP VIEW shipments -- {name}", False),
+    ("CREATE TEMPORARY VIEW v AS SELECT '{name}' AS n", False),
+    ("SELECT java_method('java.lang.System', 'getProperty', '{name}')", False),
+    ("SELECT * FROM csv.`/{name}`", False),
+    ("", False),
+]
+
+
+def q_sql_verdicts(spark, sf):
+    """QRY-2: for each region and statement, whether the guard lets it run."""
+    session = _gold_session(spark, sf)
+    allowed = relations_of(session)
+
+    def verdict(sql: str) -> bool:
+        try:
+            validate_sql(session, sql, allowed)
+        except QueryNotAllowedError:
+            return False
+        return True
+
+    regions = an.table(spark, sf, "region").select("r_regionkey", "r_name").collect()
+    rows = [(int(r[0]), k, verdict(sql.replace("{name}", r[1]))) for r in regions for k, (sql, _) in enumerate(SQL_VERDICTS)]
+    return spark.createDataFrame(rows, "region int, statement int, allowed boolean")
+
+
+def q_schema_document(spark, sf):
+    """QRY-9: the documented columns of the shipments view, each with its number of values."""
+    session = _gold_session(spark, sf)
+    text = {f.name: f.metadata.get("comment") for f in schemas.SHIPMENTS.fields}
+    documented = [(k, name, kind, bool(text[name])) for k, (name, kind, _) in enumerate(describe_view(session, "shipments"))]
+    counts = session.table("shipments").agg(*[F.count(name).alias(name) for _, name, _, _ in documented])
+    columns = ", ".join(f"named_struct('place', {k}, 'column', '{name}', 'type', '{kind}', 'has_text', {str(text).lower()}, 'n', `{name}`)" for k, name, kind, text in documented)
+    return counts.selectExpr(f"inline(array({columns}))").withColumnRenamed("n", "n_values")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -433,6 +595,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_bronze": q_stream_bronze,
     "partition_replace": q_partition_replace,
     "load_totals": q_load_totals,
+    "raw_records": q_raw_records,
+    "schema_evolution": q_schema_evolution,
+    "incremental_after_failed_gate": q_incremental_after_failed_gate,
     "parse_iso": q_parse_iso,
     "parse_naive": q_parse_naive,
     "parse_millis": q_parse_millis,
@@ -456,6 +621,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sql_capped": q_sql_capped,
     "sql_join": q_sql_join,
     "sql_union": q_sql_union,
+    "sql_verdicts": q_sql_verdicts,
+    "schema_document": q_schema_document,
 }
 
 
@@ -529,15 +696,13 @@ WITH l AS ({_lines_cte()})
 SELECT source_file, source_line_no, line AS raw_line, {ERROR_A} AS error FROM l WHERE {BAD_A}"""
 
 
+FILE_A = f"'feed_a_' || {D.day('ts')} || '.json.gz'"
+
+
 def o_skip_ingested() -> str:
     return f"""
-WITH l AS ({_lines_cte()}),
-known AS (
-  SELECT source_file FROM l WHERE {GOOD_A} AND substring(source_file, 11, 8) <= '20240105'
-  UNION
-  SELECT source_file FROM l WHERE {BAD_A} AND substring(source_file, 11, 8) BETWEEN '20240104' AND '20240110')
-SELECT DISTINCT source_file FROM l
-WHERE NOT EXISTS (SELECT 1 FROM known k WHERE k.source_file = l.source_file)"""
+SELECT {FILE_A} AS source_file, count(*) FILTER (WHERE {GOOD_A}) AS rows_loaded, count(*) FILTER (WHERE {BAD_A}) AS rows_quarantined
+FROM events WHERE {D.day('ts')} > '{EARLY_DAY}' GROUP BY 1"""
 
 
 def o_line_numbers() -> str:
@@ -564,7 +729,7 @@ li AS (SELECT l_orderkey, l_linenumber, created, max(l_linenumber) OVER (PARTITI
 t AS (SELECT DISTINCT {carrier} AS carrier_code, 'T' || CAST(l_orderkey AS VARCHAR) AS tracking_number,
              {an.E2E_STATUS} AS status, created + to_minutes(CAST(360 + 60 * l_linenumber AS BIGINT)) AS event_time,
              {an.E2E_WEIGHT} AS weight_kg, {facility} AS facility_code, l_linenumber
-      FROM li),
+      FROM li WHERE NOT {an.E2E_BROKEN}),
 m AS (SELECT carrier_code, tracking_number,
              min(event_time) FILTER (WHERE status = 'ACCEPTED') AS accepted_at,
              min(event_time) FILTER (WHERE status = 'DELIVERED') AS delivered_at,
@@ -578,7 +743,7 @@ p AS (SELECT CAST(o_orderkey AS INTEGER) AS parcel_id, 'T' || CAST(o_orderkey AS
              CAST(NULL AS VARCHAR) AS destination_postcode, created AS created_at,
              created + to_minutes(360) AS handed_over_at
       FROM o JOIN customer ON o_custkey = c_custkey),
-sla AS (SELECT {an.E2E_CARRIER_OF_REGION} AS carrier_code, {an.E2E_SLA} AS sla_hours FROM region WHERE r_regionkey < 3),
+sla AS (SELECT {an.E2E_CARRIER_OF_REGION} AS carrier_code, arg_max({an.E2E_SLA}, r_regionkey) AS sla_hours FROM region GROUP BY 1),
 sj AS (SELECT p.*, m.accepted_at, m.delivered_at, m.latest_carrier_status, m.weight_kg, m.facility_code, sla.sla_hours,
               CASE WHEN m.delivered_at IS NOT NULL
                    THEN (epoch_us(m.delivered_at) - epoch_us(p.handed_over_at)) / 1000000.0 / 3600 END AS transit_hours
@@ -614,26 +779,47 @@ SELECT CAST(user_id AS VARCHAR) AS tracking_no, upper(event_type) AS status, {IS
 FROM l WHERE {GOOD_A}"""
 
 
-def o_partition_replace() -> str:
-    day = D.day("ts")
+def _second_delivery() -> str:
     return f"""
-SELECT 'd_' || {day} AS source_file, event_id, value FROM events WHERE {day} NOT BETWEEN '20240105' AND '20240109'
-UNION ALL
-SELECT 'd_' || {day} AS source_file, event_id, value * 2 AS value FROM events
-WHERE {day} BETWEEN '20240105' AND '20240109' AND event_id % 2 = 0"""
+WITH l AS ({_lines_cte()}),
+d AS (SELECT *, {FILE_A} AS file, {D.day('ts')} = '{BLANK_DAY}' AS blank FROM l WHERE event_id % 3 <> 0),
+n AS (SELECT *, CAST(row_number() OVER (PARTITION BY file ORDER BY event_id) AS INT) AS line_no FROM d)"""
+
+
+def o_partition_replace() -> str:
+    return _second_delivery() + f"""
+SELECT file AS source_file, line_no AS source_line_no,
+       CASE WHEN {GOOD_A} THEN CAST(user_id AS VARCHAR) END AS tracking_no,
+       CASE WHEN {GOOD_A} THEN CAST({K} AS DOUBLE) + 0.25 END AS weight_kg,
+       CASE WHEN {BAD_A} THEN line END AS raw_line, CASE WHEN {BAD_A} THEN {ERROR_A} END AS error
+FROM n WHERE NOT blank AND ({GOOD_A} OR {BAD_A})"""
 
 
 def o_load_totals() -> str:
+    return _second_delivery() + f"""
+SELECT file AS source_file, count(*) FILTER (WHERE NOT blank AND {GOOD_A}) AS rows_loaded,
+       count(*) FILTER (WHERE NOT blank AND {BAD_A}) AS rows_quarantined
+FROM n GROUP BY file"""
+
+
+def o_raw_records() -> str:
+    keys = sorted(c for c, _ in an.lifecycle_columns(D) if c != "recipient_email")
     return f"""
-WITH l AS ({_lines_cte()})
-SELECT source_file, count(*) FILTER (WHERE {GOOD_A}) AS rows_loaded, count(*) FILTER (WHERE {BAD_A}) AS rows_quarantined
-FROM l WHERE event_id % 50 = 0 OR event_id % 97 <> 0
-GROUP BY ROLLUP (source_file)"""
+WITH e AS ({_lifecycle_expected()}), p AS ({select_sql(an.lifecycle_columns(D), "events")})
+SELECT e.source_file, e.source_line_no, reason, '{",".join(keys)}' AS keys, service_level, organisation_id, occurred_at
+FROM e JOIN p ON e.source_file = p.source_file AND e.source_line_no = p.source_line_no WHERE reason IS NOT NULL"""
+
+
+def o_schema_evolution() -> str:
+    return """
+SELECT CAST(o_orderkey AS INTEGER) AS parcel_id, 'T' || CAST(o_orderkey AS VARCHAR) AS tracking_number, o_orderstatus = 'F' AS is_delivered,
+       CAST(NULL AS BOOLEAN) AS is_lost, CAST(NULL AS BOOLEAN) AS is_returned, CAST(NULL AS INTEGER) AS sla_hours FROM orders"""
 
 
 def o_parse_iso() -> str:
     return """
-SELECT event_id, CASE WHEN event_id % 40 = 0 THEN NULL WHEN event_id % 45 = 0 THEN date_trunc('day', ts)
+SELECT event_id, CASE WHEN event_id % 40 = 0 THEN NULL WHEN event_id % 41 = 0 OR event_id % 42 = 0 OR event_id % 43 = 0 OR event_id % 44 = 0 THEN ts
+  WHEN event_id % 45 = 0 THEN date_trunc('day', ts)
   WHEN event_id % 5 = 3 THEN date_trunc('minute', ts) ELSE ts END AS parsed_at
 FROM events"""
 
@@ -648,14 +834,16 @@ SELECT event_id, CASE WHEN event_id % 40 = 0 OR event_id % 41 = 0 THEN NULL ELSE
 FROM events"""
 
 
-def _map_case(expr: str, mapping: dict[int, str]) -> str:
-    whens = " ".join(f"WHEN {k} THEN '{v}'" for k, v in mapping.items())
-    return f"CASE {expr} {whens} END"
-
-
 def o_status_map() -> str:
-    b = _map_case(K, CARRIER_B_STATUS_BY_CODE)
-    c = _map_case(f"{K} % 10", CARRIER_C_STATUS_BY_CODE)
+    # The code lists, written out: not taken from the library.
+    b = (
+        f"CASE {K} WHEN 10 THEN 'ACCEPTED' WHEN 20 THEN 'IN_TRANSIT' WHEN 30 THEN 'AT_HUB' WHEN 40 THEN 'OUT_FOR_DELIVERY' "
+        "WHEN 45 THEN 'DELIVERED' WHEN 50 THEN 'DELIVERY_FAILED' WHEN 60 THEN 'RETURNED' WHEN 99 THEN 'LOST' END"
+    )
+    c = (
+        f"CASE {K} % 10 WHEN 0 THEN 'ACCEPTED' WHEN 1 THEN 'IN_TRANSIT' WHEN 2 THEN 'OUT_FOR_DELIVERY' WHEN 3 THEN 'DELIVERED' "
+        "WHEN 4 THEN 'DELIVERY_FAILED' WHEN 5 THEN 'RETURNED' WHEN 9 THEN 'LOST' END"
+    )
     return f"""
 SELECT event_id, {b} AS b_status, {c} AS c_status,
        CAST({K} AS VARCHAR) || ':' || CASE WHEN event_type = 'error' THEN 'None' ELSE event_type END AS raw_status_b,
@@ -857,8 +1045,8 @@ def o_gate_breach() -> str:
     return (
         _rates_sql()
         + """
-SELECT "table", printf('%s at %s (%d/%d rows)', "table", printf('%.1f%%', rate * 100.0), rows_quarantined,
-       rows_loaded + rows_quarantined) AS detail
+SELECT "table", printf('%s: %d of %d rows rejected, %s', "table", rows_quarantined, rows_loaded + rows_quarantined,
+       printf('%.1f%%', rate * 100.0)) AS detail
 FROM rates WHERE rate > 0.05"""
     )
 
@@ -923,7 +1111,31 @@ def _with_views(sql: str) -> str:
     views = f"""
 dim_carriers AS (SELECT carrier_code, carrier_name, sla_hours, ['NL'] AS countries_served FROM car),
 dim_organisations AS ({select_sql(an.organisation_columns(), "nation")})"""
-    return "WITH " + _shipments_ctes() + "," + views + "\n" + sql + f"\nLIMIT {SQL_CAP}"
+    return "WITH " + _shipments_ctes() + "," + views + "\n" + sql
+
+
+def o_sql_capped() -> str:
+    return _with_views(f"SELECT *, (SELECT count(*) FROM ({SQL_CAPPED})) > {SQL_CAP} AS truncated FROM ({SQL_CAPPED} LIMIT {SQL_CAP})")
+
+
+def o_sql_verdicts() -> str:
+    rows = ", ".join(f"({k}, {str(allowed).lower()})" for k, (_, allowed) in enumerate(SQL_VERDICTS))
+    return f"SELECT CAST(r_regionkey AS INTEGER) AS region, statement, allowed FROM region, (VALUES {rows}) v(statement, allowed)"
+
+
+def o_schema_document() -> str:
+    kinds = (
+        "parcel_id int, tracking_number string, organisation_id int, carrier_code string, service_level string, "
+        "destination_country string, destination_postcode string, created_at timestamp_ntz, handed_over_at timestamp_ntz, "
+        "accepted_at timestamp_ntz, delivered_at timestamp_ntz, latest_carrier_status string, weight_kg double, facility_code string, "
+        "sla_hours int, transit_hours double, is_delivered boolean, is_on_time boolean, is_lost boolean, is_returned boolean"
+    )
+    plain = {"destination_country", "destination_postcode", "weight_kg"}
+    parts = [
+        f"SELECT {k} AS place, '{n}' AS \"column\", '{t}' AS type, {str(n not in plain).lower()} AS has_text, count({n}) AS n_values FROM shipments"
+        for k, (n, t) in enumerate(x.split() for x in kinds.split(", "))
+    ]
+    return _with_shipments("\nUNION ALL ".join(parts))
 
 
 ORACLES: dict[str, Callable[[], str]] = {
@@ -936,6 +1148,9 @@ ORACLES: dict[str, Callable[[], str]] = {
     "stream_bronze": o_stream_bronze,
     "partition_replace": o_partition_replace,
     "load_totals": o_load_totals,
+    "raw_records": o_raw_records,
+    "schema_evolution": o_schema_evolution,
+    "incremental_after_failed_gate": o_end_to_end_run,
     "parse_iso": o_parse_iso,
     "parse_naive": o_parse_naive,
     "parse_millis": o_parse_millis,
@@ -956,9 +1171,11 @@ ORACLES: dict[str, Callable[[], str]] = {
     "monthly_performance": o_monthly_performance,
     "loss_rates": o_loss_rates,
     "volume_vs_resolved": o_volume_vs_resolved,
-    "sql_capped": lambda: _with_views(SQL_CAPPED),
+    "sql_capped": o_sql_capped,
     "sql_join": lambda: _with_views(SQL_JOIN),
     "sql_union": lambda: _with_views(SQL_UNION),
+    "sql_verdicts": o_sql_verdicts,
+    "schema_document": o_schema_document,
 }
 
 

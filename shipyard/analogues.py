@@ -96,19 +96,7 @@ def select_sql(cols: list[tuple[str, str]], source: str, where: str | None = Non
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core on an input that scans as fewer tasks than the cluster
-    has slots (a test table is one small Parquet file with a single row group,
-    so its scan is one task). Large inputs already have more splits than
-    slots and pass through untouched, so this never adds a shuffle at scale.
-    """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
-        return df
-    return df.repartition(slots)
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def project(df: DataFrame, cols: list[tuple[str, str]]) -> DataFrame:
@@ -131,7 +119,7 @@ def feed_a_line_columns(d: Dialect) -> list[tuple[str, str]]:
     line = (
         "CASE WHEN event_id % 97 = 0 AND event_id % 50 <> 0 THEN '   ' "
         f"ELSE CASE WHEN {wrap} THEN '[' ELSE '' END "
-        f"|| substring({core}, 1, CASE WHEN event_id % 50 = 0 THEN 30 ELSE 100000 END) "
+        f"|| CASE WHEN event_id % 50 = 0 THEN substring({core}, 1, 30) ELSE {core} END "
         f"|| CASE WHEN {wrap} THEN ']' ELSE '' END END"
     )
     return [
@@ -381,7 +369,24 @@ def organisations(spark: SparkSession, sf_dir: str) -> DataFrame:
 CARRIER_OF_KEY = "CASE {k} % 3 WHEN 0 THEN 'carrier_a' WHEN 1 THEN 'carrier_b' ELSE 'carrier_c' END"
 
 
-def write_raw_feeds(spark: SparkSession, sf_dir: str, out_root: str, files_per_feed: int = 16) -> None:
+def write_named_files(lines: DataFrame, folder: str) -> None:
+    """``lines`` (``name``, ``place``, ``line``) as one gzip file per name, its
+    lines by place: a folder per name as Spark writes it, then one rename each."""
+    spark = lines.sparkSession
+    staged = f"{folder.rstrip('/')}/_staged"
+    ordered = lines.repartition("name").sortWithinPartitions("name", "place")
+    ordered.selectExpr("name", "line AS value").write.partitionBy("name").text(staged, compression="gzip")
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(staged)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for part in fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{staged}/name=*/*.gz")):
+        name = part.getPath().getParent().getName().split("=", 1)[1]
+        fs.rename(part.getPath(), jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{name}"))
+
+
+def write_raw_feeds(
+    spark: SparkSession, sf_dir: str, out_root: str, orders_where: str = "true", noise: str = "false", reference: bool = True
+) -> None:
     """Write the four raw feeds (gzipped JSON lines) and the two reference
     files derived from the test tables, for a file-based end-to-end run.
 
@@ -391,13 +396,17 @@ def write_raw_feeds(spark: SparkSession, sf_dir: str, out_root: str, files_per_f
     lines IN_TRANSIT, the last line terminal (DELIVERED, or LOST / RETURNED
     for some orders), one hour per line number. Scan contents depend only on
     (order, line number), so repeated lineitem rows become webhook retries and
-    the result does not depend on how rows fall into files. Every line is
-    valid, so all gates pass. Files are Spark's part files (``*.txt.gz``).
+    the result does not depend on how rows fall into files. Scans for which
+    ``E2E_BROKEN`` holds are cut short and so are lost to quarantine; too few
+    for a gate. Where ``noise`` holds, a scan is followed by a line of garbage.
+    ``orders_where`` picks the orders that this delivery holds. The number of
+    files follows the amount of data; they are Spark's part files
+    (``*.txt.gz``), added to what the folders hold.
     """
     from pyspark.sql import Window
     from pyspark.sql import functions as F
 
-    orders = table(spark, sf_dir, "orders").withColumn("created", F.expr(E2E_CREATED))
+    orders = table(spark, sf_dir, "orders").where(orders_where).withColumn("created", F.expr(E2E_CREATED))
     customer = table(spark, sf_dir, "customer")
     lineitem = table(spark, sf_dir, "lineitem")
     root = out_root.rstrip("/")
@@ -426,18 +435,24 @@ def write_raw_feeds(spark: SparkSession, sf_dir: str, out_root: str, files_per_f
         .selectExpr(
             "l_linenumber", f"{CARRIER_OF_KEY.format(k='l_orderkey')} AS carrier_code",
             "'T' || CAST(l_orderkey AS STRING) AS tn", f"{E2E_STATUS} AS status", f"{E2E_SCAN_TIME} AS at",
-            f"{E2E_WEIGHT} AS weight",
+            f"{E2E_WEIGHT} AS weight", f"{E2E_BROKEN} AS broken", f"{noise} AS noise",
         )
     )
+
+    def lines(feed: DataFrame) -> DataFrame:
+        """Broken scans lose their second half; noise adds a line."""
+        cut = "CASE WHEN broken THEN substring(value, 1, length(value) div 2) ELSE value END"
+        return feed.selectExpr(f"explode(CASE WHEN noise THEN array({cut}, '{{garbage') ELSE array({cut}) END) AS value")
+
     a = scans.where("carrier_code = 'carrier_a'").selectExpr(
         "to_json(named_struct('tracking_no', tn, 'status', status, "
-        f"'ts', {SPARK.iso('at')} || 'Z', 'weight_kg', weight, 'hub', 'H' || CAST(l_linenumber AS STRING), '_ingested_at', 'x')) AS value"
+        f"'ts', {SPARK.iso('at')} || 'Z', 'weight_kg', weight, 'hub', 'H' || CAST(l_linenumber AS STRING), '_ingested_at', 'x')) AS value", "broken", "noise"
     )
     b_code = "CASE status WHEN 'ACCEPTED' THEN 10 WHEN 'IN_TRANSIT' THEN 20 WHEN 'DELIVERED' THEN 45 WHEN 'RETURNED' THEN 60 ELSE 99 END"
     b = scans.where("carrier_code = 'carrier_b'").selectExpr(
         f"to_json(named_struct('barcode', tn, 'event', named_struct('code', {b_code}, 'desc', lower(status)), "
         f"'event_time', {SPARK.naive('at')}, 'weight_g', weight * 1000, 'depot', 'D' || CAST(l_linenumber AS STRING), "
-        "'_ingested_at', 'x')) AS value"
+        "'_ingested_at', 'x')) AS value", "broken", "noise",
     )
     c_code = "CASE status WHEN 'ACCEPTED' THEN 0 WHEN 'IN_TRANSIT' THEN 1 WHEN 'DELIVERED' THEN 3 WHEN 'RETURNED' THEN 5 ELSE 9 END"
     c_head = f"to_json(named_struct('ref', tn, 'st', {c_code}, 't', {SPARK.millis('at')}, '_ingested_at', 'x'))"
@@ -446,24 +461,26 @@ def write_raw_feeds(spark: SparkSession, sf_dir: str, out_root: str, files_per_f
         "ELSE '{\"weight\": {\"v\": ' || CAST(weight AS STRING) || ', \"u\": \"kg\"}}' END"
     )
     c = scans.where("carrier_code = 'carrier_c'").selectExpr(
-        f"substring({c_head}, 1, length({c_head}) - 1) || ', \"dims\": ' || {dims} || '}}' AS value"
+        f"substring({c_head}, 1, length({c_head}) - 1) || ', \"dims\": ' || {dims} || '}}' AS value", "broken", "noise"
     )
     from concurrent.futures import ThreadPoolExecutor
 
     def write_feed(item):
         name, df = item
-        df.repartition(files_per_feed).write.mode("overwrite").text(f"{root}/{name}", compression="gzip")
+        df.hint("rebalance").write.mode("append").text(f"{root}/{name}", compression="gzip")
 
     with ThreadPoolExecutor(max_workers=4) as pool:
-        list(pool.map(write_feed, (("carrier_a", a), ("carrier_b", b), ("carrier_c", c), ("parcel_events", life))))
+        list(pool.map(write_feed, (("carrier_a", lines(a)), ("carrier_b", lines(b)), ("carrier_c", lines(c)), ("parcel_events", life))))
 
-    table(spark, sf_dir, "region").where("r_regionkey < 3").selectExpr(
-        f"{E2E_CARRIER_OF_REGION} AS carrier_code", "r_name AS carrier_name", f"{E2E_SLA} AS sla_hours",
-        "array('NL', 'DE') AS countries_served",
-    ).coalesce(1).write.mode("overwrite").json(f"{root}/reference/carriers")
-    table(spark, sf_dir, "nation").selectExpr(
-        "CAST(n_nationkey AS INT) AS organisation_id", "n_name AS name", "'NL' AS country", "'growth' AS plan",
-    ).coalesce(1).write.mode("overwrite").json(f"{root}/reference/organisations")
+    if reference:
+        # One ordered file: where a carrier occurs again, its last line counts.
+        table(spark, sf_dir, "region").orderBy("r_regionkey").selectExpr(
+            f"{E2E_CARRIER_OF_REGION} AS carrier_code", "r_name AS carrier_name", f"{E2E_SLA} AS sla_hours",
+            "array('NL', 'DE') AS countries_served",
+        ).coalesce(1).write.mode("overwrite").json(f"{root}/reference/carriers")
+        table(spark, sf_dir, "nation").selectExpr(
+            "CAST(n_nationkey AS INT) AS organisation_id", "n_name AS name", "'NL' AS country", "'growth' AS plan",
+        ).write.mode("overwrite").json(f"{root}/reference/organisations")
 
 
 # Fixed shapes of the end-to-end feeds (also read by the oracle).
@@ -477,5 +494,6 @@ E2E_STATUS = (
 )
 E2E_SCAN_TIME = "timestampadd(MINUTE, 360 + 60 * l_linenumber, created)"
 E2E_WEIGHT = "CAST(l_orderkey % 40 AS DOUBLE) + l_linenumber / 4.0"
-E2E_CARRIER_OF_REGION = "CASE r_regionkey WHEN 0 THEN 'carrier_a' WHEN 1 THEN 'carrier_b' ELSE 'carrier_c' END"
+E2E_BROKEN = "((l_orderkey * 7 + l_linenumber) % 61 = 0)"
+E2E_CARRIER_OF_REGION = "CASE r_regionkey % 3 WHEN 0 THEN 'carrier_a' WHEN 1 THEN 'carrier_b' ELSE 'carrier_c' END"
 E2E_SLA = "CAST(r_regionkey + 3 AS INT)"
