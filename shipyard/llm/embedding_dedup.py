@@ -39,7 +39,7 @@ from shipyard.llm.simhash import _forest
 
 BLOCKS = 4
 #: Vectors of a chunk; a task holds two.
-CHUNK = 16_384
+CHUNK = 32_768
 TILE = 2048
 SLACK = 1e-5
 
@@ -95,16 +95,21 @@ def cell_links(left: Members, right: Members, same: bool, block: int, limit: flo
     budget = [whole * (p.stop - p.start) / size + 1e-12 for p in left.parts]
     part = left.parts[block]
     x, y = left.turned[:, part], right.turned[:, part]
-    x32, y32 = x.astype(np.float32), y.astype(np.float32)
-    xx, yy = (x32 * x32).sum(axis=1), (y32 * y32).sum(axis=1)
+    # One product holds a pair's half distance: x y - x x / 2 - y y / 2.
+    one = lambda v: (v * v).sum(axis=1, keepdims=True) / 2
+    ones = lambda v: np.ones((len(v), 1))
+    x32 = np.hstack([x, -one(x), ones(x)]).astype(np.float32)
+    y32 = np.ascontiguousarray(np.hstack([y, ones(y), -one(y)]).astype(np.float32).T)
+    least = np.float32(-(budget[block] + SLACK) / 2)
     count_x, count_y = np.zeros(len(x), np.int64), np.zeros(len(y), np.int64)
     label, forest = np.arange(len(x) + (0 if same else len(y))), ([], [])
     for i in range(0, len(x), TILE):
         for j in range(i if same else 0, len(y), TILE):
-            near = xx[i : i + TILE, None] + yy[None, j : j + TILE] - 2 * (x32[i : i + TILE] @ y32[j : j + TILE].T) <= budget[block] + SLACK
-            near &= left.home[i : i + TILE, None] | right.home[None, j : j + TILE]
-            a, b = np.nonzero(near)
+            near = x32[i : i + TILE] @ y32[:, j : j + TILE] >= least
+            a, b = np.divmod(np.flatnonzero(near), near.shape[1])
             a, b = a + i, b + j
+            seen = left.home[a] | right.home[b]
+            a, b = a[seen], b[seen]
             if same:
                 a, b = a[a < b], b[a < b]
             for k in range(0, len(a), 1 << 18):  # verified exactly, a bounded number at a time
