@@ -33,6 +33,8 @@ from shipyard.llm.common import ready, written
 
 #: Rows of a block of candidates and of queries.
 CANDIDATES, QUERIES = 16_384, 2048
+#: Ranges of length at most, whatever the number of rows; a longer range is dealt to more blocks.
+RANGES = 4096
 #: Vectors scored between two looks at the bounds.
 STEP = 1024
 #: Leading share of the rotated coordinates in a partial sum.
@@ -151,7 +153,7 @@ def top_k(
     rows = whole_vectors(vectors, scale, id_col, vector_col)
     turns = rotations(rows)
     total = rows.count()
-    blocks = max(1, -(-total // CANDIDATES))
+    blocks = min(RANGES, max(1, -(-total // CANDIDATES)))
     # Ranges of descending length; a range that one length overfills is dealt by hash.
     edges = sorted(set(rows.approxQuantile("norm", [i / blocks for i in range(1, blocks)], 0.01 / blocks))) if blocks > 1 else []
     at = F.lit(0)
@@ -191,7 +193,7 @@ def top_k(
         return queries.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
 
     head = sizes.agg(F.min("range")).first()[0] or 0
-    ranges = [r.asDict() for r in sizes.orderBy("range").collect()]  # a row a block
+    ranges = [r.asDict() for r in sizes.orderBy("range").collect()]  # at most RANGES
     listed = F.array(*[F.struct(F.lit(r["range"]).alias("range"), F.lit(r["parts"]).alias("parts"), F.lit(r["longest"]).alias("longest")) for r in ranges])
     none = F.lit(float("-inf"))
     if not ranges:
