@@ -56,7 +56,7 @@ def main():
     a = feeds[0]
     paths = list_raw_files(spark, f"{raw}/{a.name}", a.glob)
     print("### bronze ingest (carrier_a): scan, number, parse\n")
-    print(tree(bronze.parse_feed_lines(scan_lines(spark, paths), a, fixed_time(datetime(2026, 1, 1)))))
+    print(tree(bronze.parse_feed_lines(scan_lines(spark, paths).hint("rebalance", "source_file"), a, fixed_time(datetime(2026, 1, 1)))))
     for f in feeds:
         bronze.ingest(spark, wh, f, f"{raw}/{f.name}")
     print("\n### bronze gate\n")
