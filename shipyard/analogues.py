@@ -131,7 +131,8 @@ def feed_a_line_columns(d: Dialect) -> list[tuple[str, str]]:
 
 
 def feed_a_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return project(table(spark, sf_dir, "events"), feed_a_line_columns(SPARK))
+    # As in the ingest: AQE sizes the parse by file from the actual volume.
+    return project(table(spark, sf_dir, "events"), feed_a_line_columns(SPARK)).hint("rebalance", "source_file")
 
 
 # ------------------------------------------------------- carrier feed shapes
@@ -193,7 +194,7 @@ def carrier_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "source_ingested_at", "source_file", "source_line_no",
     )
     c = project(ev.where("event_id % 3 = 2"), carrier_c_rows(SPARK))
-    return {"carrier_a": a, "carrier_b": b, "carrier_c": c}
+    return {k: rows.hint("rebalance", "source_file") for k, rows in (("carrier_a", a), ("carrier_b", b), ("carrier_c", c))}
 
 
 # ------------------------------------------------------------ lifecycle rows
@@ -220,7 +221,7 @@ def lifecycle_columns(d: Dialect) -> list[tuple[str, str]]:
 
 
 def lifecycle_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return project(table(spark, sf_dir, "events"), lifecycle_columns(SPARK))
+    return project(table(spark, sf_dir, "events"), lifecycle_columns(SPARK)).hint("rebalance", "source_file")
 
 
 # ---------------------------------------------------- silver-shaped analogues
