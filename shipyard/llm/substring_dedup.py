@@ -1,11 +1,13 @@
 """Removal of word passages that an earlier document has, by prefix-partitioned suffix trees.
 
-A window is ``width`` consecutive words. The suffixes of all documents are split
-into memory-sized groups by a prefix of variable length: the words up to the
-first uncommon one, so that no frequent word makes a large group. A window goes
-with that suffix inside it whose prefix has the least hash, so equal windows
-always meet in one group, and neighbouring windows mostly travel together as one
-short stretch of text. Each group sorts its suffixes into a subtree (suffix
+A window is ``width`` consecutive words. A window goes with that suffix inside it
+whose prefix, the words up to the first uncommon one, has the least hash, so
+neighbouring windows mostly travel together as one short stretch of text. The
+first words of that suffix name the group, so equal windows always meet. A first
+pass sums the bytes of each group: one above ``GROUP_BYTES`` is split into its
+single windows, dealt to as many parts as its size asks for by the hash of all
+their words. There a window costs its text once a batch and a place in the batch
+for each stretch that holds it. Each group sorts its suffixes into a subtree (suffix
 array and common-prefix lengths, cut off at ``width`` words): the internal nodes
 that deep are the repeated windows, and each learns the smallest id below it.
 
@@ -40,6 +42,8 @@ COMMON = 1e-3
 LONGEST_PREFIX = 4
 #: Text bytes of a batch and of a group's share of the corpus.
 BATCH_BYTES = 4 << 20
+#: Bytes of stretches from which on a group is split; stretches overlap, so a usual group has about three batches.
+GROUP_BYTES = 24 << 20
 #: Compression level of the stretches on their way to the groups.
 LEVEL = 3
 NO_ID = np.iinfo(np.int64).max
@@ -83,7 +87,7 @@ class Stretches:
     """The words of a batch of documents and the stretches of windows that share a
     group; the same documents always give the same stretches in the same order."""
 
-    def __init__(self, texts: pa.ChunkedArray, width: int, common: np.ndarray, groups: int):
+    def __init__(self, texts: pa.ChunkedArray, width: int, common: np.ndarray, groups: int, distinct: bool = True):
         buf, offsets = flat(texts)
         starts, ends, self.first = word_bounds(buf, offsets)
         self.length = ends - starts
@@ -111,15 +115,17 @@ class Stretches:
         cut = np.flatnonzero(head)
         #: Per stretch: its first window (a word index), its windows, its document, its group.
         self.window, self.count, self.owner = at[cut], np.diff(np.r_[cut, len(at)]), owner[cut]
-        self.group = (mix(prefix[anchor[cut]]) % np.uint64(groups)).astype(np.int64)
-        last = self.window + self.count + width - 2
+        first_words = _prefix_hashes(word, np.ones(len(word), bool))
+        self.group = (mix(first_words[anchor[cut]]) % np.uint64(groups)).astype(np.int64)
+        self.last = last = self.window + self.count + width - 2
+        if not distinct:
+            return
         one, place = distinct_spans(self.text, self.begin[self.window], self.end[last])
         # The different stretches in order of their groups; ``place`` numbers them that way.
         by_group = np.argsort(self.group[one], kind="stable")
         rank = np.empty(len(one), np.int64)
         rank[by_group] = np.arange(len(one))
         self.different, self.place = one[by_group], rank[place]
-        self.last = last
 
 
 def _prefix_hashes(word: np.ndarray, common: np.ndarray) -> np.ndarray:
@@ -153,6 +159,88 @@ def _opened(blob: bytes) -> pa.Table:
     return pa.ipc.open_stream(blob).read_all()
 
 
+def _binary(text: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    offsets = np.r_[0, np.cumsum(lengths)].astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(text[gather(starts, lengths)])])
+
+
+# ---------------------------------------------------------------------- groups
+def large_groups(docs: DataFrame, text_col: str, width: int, common: np.ndarray, groups: int, limit: int) -> DataFrame:
+    """``bucket`` and ``parts`` of the groups whose stretches have more than ``limit``
+    bytes; equal stretches count each time, so no other group is larger."""
+    schema = StructType([StructField("bucket", IntegerType()), StructField("bytes", LongType()), StructField("window_bytes", LongType())])
+
+    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in text_chunks(batches, text_col):
+            s = Stretches(rows[text_col], width, common, groups, distinct=False)
+            if not len(s.window):
+                continue
+            at = gather(s.window, s.count)
+            upto = np.r_[0, np.cumsum(s.end[at + width - 1] - s.begin[at])]
+            stop = np.cumsum(s.count)
+            order = np.argsort(s.group, kind="stable")
+            bucket, head = np.unique(s.group[order], return_index=True)
+            size = np.add.reduceat((s.end[s.last] - s.begin[s.window])[order], head)
+            alone = np.add.reduceat((upto[stop] - upto[stop - s.count])[order], head)
+            yield pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), pa.array(size, pa.int64()), pa.array(alone, pa.int64())], names=schema.names)
+
+    each = docs.select(text_col).mapInArrow(sizes, schema)
+    total = each.groupBy("bucket").agg(F.sum("bytes").alias("bytes"), F.sum("window_bytes").alias("alone"))
+    return total.where(F.col("bytes") > limit).select("bucket", F.ceil(F.col("alone") / limit).cast("int").alias("parts"))
+
+
+def split_groups(sent: DataFrame, large: DataFrame, width: int) -> DataFrame:
+    """``sent`` with the ``part`` of each row's group: rows of large groups come as
+    their different windows, each with its smallest id and its places in the row."""
+    schema = StructType([StructField(c, t()) for c, t in (("bucket", IntegerType), ("part", IntegerType), ("batch", IntegerType), ("first", LongType), ("blob", BinaryType))])
+
+    def windows(blob: bytes, parts: int) -> Iterator[tuple[int, bytes]]:
+        rows = _opened(blob)
+        buf, offsets = flat(rows["text"])
+        starts, ends, first = word_bounds(buf, offsets)
+        n = rows["n"].to_numpy().astype(np.int64)
+        at, entry = gather(first[:-1], n), np.repeat(np.arange(len(n)), n)
+        a, b = starts[at], ends[at + width - 1]
+        one, place = distinct_spans(buf, a, b)
+        least = np.full(len(one), NO_ID)
+        np.minimum.at(least, place, rows["id"].to_numpy()[entry])
+        places = np.bincount(place, minlength=len(one))
+        member = np.argsort(place, kind="stable")
+        member_at = np.cumsum(places) - places
+        word_hash = span_hash(buf, starts, ends)
+        path = np.zeros(len(one), np.uint64)
+        for k in range(width):
+            path = mix(path * np.uint64(0x9E3779B97F4A7C15) + word_hash[at[one] + k])
+        part = (path % np.uint64(parts)).astype(np.int64)
+        by_part = np.argsort(part, kind="stable")
+        for some in np.split(by_part, np.flatnonzero(np.diff(part[by_part])) + 1):
+            held = member[gather(member_at[some], places[some])]
+            stops = pa.array(np.r_[0, np.cumsum(places[some])], pa.int32())
+            yield (
+                int(part[some[0]]),
+                _sealed(
+                    text=_binary(buf, a[one[some]], (b - a)[one[some]]),
+                    n=np.ones(len(some), np.uint8),
+                    id=least[some],
+                    entry=pa.ListArray.from_arrays(stops, pa.array(entry[held], pa.int32())),
+                    window=pa.ListArray.from_arrays(stops, pa.array(at[held] - first[entry[held]], pa.uint8())),
+                ),
+            )
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            parts = rows.column("parts")
+            usual = rows.filter(pc.is_null(parts))
+            zero = pa.array(np.zeros(len(usual), np.int32))
+            yield pa.RecordBatch.from_arrays([usual.column("bucket"), zero, *[usual.column(c) for c in schema.names[2:]]], names=schema.names)
+            for row in rows.filter(pc.is_valid(parts)).to_pylist():
+                for part, blob in windows(row["blob"], row["parts"]):
+                    yield pa.RecordBatch.from_pylist([{**row, "part": part, "blob": blob}], schema=sealed_schema)
+
+    sealed_schema = pa.schema([("bucket", pa.int32()), ("part", pa.int32()), ("batch", pa.int32()), ("first", pa.int64()), ("blob", pa.binary())])
+    return sent.join(large, "bucket", "left").select("bucket", "parts", "batch", "first", "blob").mapInArrow(split, schema)
+
+
 # --------------------------------------------------------------------- subtree
 def deep_nodes(words: np.ndarray, at: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """The internal nodes at depth ``width`` of the subtree over the suffixes that
@@ -214,10 +302,7 @@ def remove_repeats(docs: DataFrame, width: int = 13, id_col: str = "doc_id", tex
             cuts = np.r_[np.flatnonzero(np.r_[True, group[1:] != group[:-1]]), len(group)]
             a, b = s.begin[s.window[one]], s.end[s.last[one]]
             for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-                n = (b - a)[i:j]
-                text = pa.Array.from_buffers(
-                    pa.binary(), j - i, [None, pa.py_buffer(np.r_[0, np.cumsum(n)].astype(np.int32)), pa.py_buffer(s.text[gather(a[i:j], n)])]
-                )
+                text = _binary(s.text, a[i:j], (b - a)[i:j])
                 out.append((int(group[i]), batch, i, _sealed(text=text, n=s.count[one[i:j]].astype(np.uint8), id=least[i:j])))
         columns = list(zip(*out, strict=True)) or [[], [], [], []]
         return pa.table([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.binary())], names=sent_schema.names)
@@ -225,7 +310,8 @@ def remove_repeats(docs: DataFrame, width: int = 13, id_col: str = "doc_id", tex
     def answer(rows: pa.Table) -> pa.Table:
         parts = [_opened(b.as_py()) for b in rows["blob"]]
         sizes = np.array([len(p) for p in parts])
-        entries = pa.concat_tables(parts)
+        entries = pa.concat_tables([p.select(["text", "n", "id"]) for p in parts])
+        places = np.concatenate([pc.list_value_length(p["entry"]).to_numpy() if "entry" in p.column_names else np.ones(len(p), np.int32) for p in parts])
         buf, offsets = flat(entries["text"])
         starts, ends, first = word_bounds(buf, offsets)
         _, words = distinct_spans(buf, starts, ends)
@@ -234,19 +320,25 @@ def remove_repeats(docs: DataFrame, width: int = 13, id_col: str = "doc_id", tex
         ids = entries["id"].to_numpy()[entry]
         leaves, node = deep_nodes(words, at, width)
         out = []
+        lowest = ids.copy()
         if len(leaves):
-            least = np.repeat(np.minimum.reduceat(ids[leaves], node), np.diff(np.r_[node, len(leaves)]))
-            later = ids[leaves] > least
-            hit, least = leaves[later], least[later]
-            order = np.argsort(hit)
-            hit, least = hit[order], least[order]
+            lowest[leaves] = np.repeat(np.minimum.reduceat(ids[leaves], node), np.diff(np.r_[node, len(leaves)]))
+        # A window with several places in its row has to be told even what its own row knows.
+        hit = np.flatnonzero((ids > lowest) | (places[entry] > 1))
+        if len(hit):
+            least = lowest[hit]
             base = np.cumsum(sizes) - sizes
             part = np.searchsorted(base, entry[hit], "right") - 1
             cuts = np.searchsorted(part, np.arange(len(parts) + 1))
             for k in np.flatnonzero(np.diff(cuts)):
                 i, j = cuts[k], cuts[k + 1]
                 e = entry[hit[i:j]]
-                blob = _sealed(entry=(e - base[k]).astype(np.int32), window=(at[hit[i:j]] - first[e]).astype(np.uint8), id=least[i:j])
+                there, window, lower = e - base[k], at[hit[i:j]] - first[e], least[i:j]
+                if "entry" in parts[k].column_names:
+                    held = parts[k].select(["entry", "window"]).take(there)
+                    lower = np.repeat(lower, places[e])
+                    there, window = (pc.list_flatten(held[c]).to_numpy() for c in ("entry", "window"))
+                blob = _sealed(entry=there.astype(np.int32), window=window.astype(np.uint8), id=lower)
                 out.append((rows["batch"][int(k)].as_py(), rows["first"][int(k)].as_py(), blob))
         columns = list(zip(*out, strict=True)) or [[], [], []]
         return pa.table([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.binary())], names=back_schema.names)
@@ -287,6 +379,7 @@ def remove_repeats(docs: DataFrame, width: int = 13, id_col: str = "doc_id", tex
         n_words = np.diff(s.first)
         return pa.table([rows["id"].combine_chunks(), pa.array(n_words), pa.array(n_words - np.diff(kept)), out], names=out_schema.names)
 
-    sent = dealt.groupBy("batch").applyInArrow(send, sent_schema)
-    back = sent.groupBy("bucket").applyInArrow(answer, back_schema)
+    large = written(large_groups(plain, "text", width, common, spread, GROUP_BYTES), "large-groups")
+    sent = split_groups(dealt.groupBy("batch").applyInArrow(send, sent_schema), large, width)
+    back = sent.groupBy("bucket", "part").applyInArrow(answer, back_schema)
     return dealt.groupBy("batch").cogroup(back.groupBy("batch")).applyInArrow(cut_out, out_schema)

@@ -69,3 +69,39 @@ def test_deep_nodes():
     words = np.array([1, 2, 3, 9, 1, 2, 3, 8, 1, 2, 4])
     leaves, first = deep_nodes(words, np.array([0, 1, 4, 8]), 3)
     assert sorted(leaves.tolist()) == [0, 2] and first.tolist() == [0]
+
+
+def _crowded(n=300):
+    """Every window has the words 'a b c d' in front of a number of its own; one passage stands in many contexts."""
+    rng = random.Random(4)
+    own = lambda: " ".join(f"a b c d {rng.randrange(4000)}" for _ in range(10))
+    passage = own()
+    return [(i, f"{own()} {passage} {own()}" if i % 3 == 0 else own()) for i in range(n)]
+
+
+def test_split_groups_give_the_same_result(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "GROUP_BYTES", 2000)
+    texts = _crowded(120)
+    got = result(remove_repeats(documents(spark, [(i, t, "en", "s") for i, t in texts]), 13))
+    assert got == brute(texts, 13) and sum(r[2] > 0 for r in got) > 30
+    assert result(remove_repeats(documents(spark), 13)) == brute([(i, t) for i, t, *_ in TEXTS], 13)
+
+
+def test_a_crowded_prefix_is_split(spark, monkeypatch):
+    """What one call of ``answer`` opens stays near the limit, however many windows share a prefix."""
+    limit, opened = 20_000, []
+    monkeypatch.setattr(substring_dedup, "GROUP_BYTES", limit)
+    split = substring_dedup.split_groups
+
+    def kept(*args):
+        opened.append(split(*args))
+        return opened[-1]
+
+    monkeypatch.setattr(substring_dedup, "split_groups", kept)
+    remove_repeats(documents(spark, [(i, t, "en", "s") for i, t in _crowded()]), 13)
+    sizes = {}
+    for r in opened[0].collect():
+        text = substring_dedup._opened(r["blob"])["text"]
+        sizes[r["bucket"], r["part"]] = sizes.get((r["bucket"], r["part"]), 0) + sum(len(t.as_py()) for t in text)
+    assert sum(sizes.values()) > 10 * limit and any(part for _, part in sizes)
+    assert max(sizes.values()) < 2 * limit
