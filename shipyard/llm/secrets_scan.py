@@ -39,6 +39,14 @@ class Kind:
     base: bool
 
 
+#: A private key from header to END line; the group is its body, also as text of a
+#: program (quotes, backslashes), without the header fields of encrypted keys.
+PEM = (
+    r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"
+    r"(?:[\x20\r\n]{0,9}[A-Za-z-]{1,20}:\x20[^\r\n]{0,100}){0,5}"
+    r"""([A-Za-z0-9+/=\\"',.\x20\t\r\n]+)-----END [A-Z ]{0,20}PRIVATE KEY-----"""
+)
+
 #: Order is the order of kinds at one place. Patterns with a minimum length find
 #: the same as the open pattern with short matches dropped, as their runs are maximal.
 KINDS = (
@@ -47,7 +55,7 @@ KINDS = (
     Kind("hex", r"[0-9a-f]{24,}", 0, 24, True),
     Kind("service", r"(?:gh[pousr]_|sk-|xox[abprs]-)[A-Za-z0-9-]{20,}", 0, 20, False),
     Kind("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", 0, 30, False),
-    Kind("pem", r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----", 0, 20, False),
+    Kind("pem", PEM, 1, 20, False),
     Kind("mixed", r"[A-Za-z0-9+/]{32,}", 0, 32, False),
 )
 

@@ -80,3 +80,25 @@ def test_by_brute_force(spark):
     assert got == brute(texts)
     kinds = {(s[0], s[3]) for _, spans in got for s in spans}
     assert {("access", "example"), ("assign", "live"), ("service", "live"), ("mixed", "live")} <= kinds
+
+
+def _key(rng, kind="RSA PRIVATE KEY", fields="", end="\n"):
+    body = "".join("".join(rng.choice("abcXYZ0189+/") for _ in range(28)) + end for _ in range(4))
+    return f"-----BEGIN {kind}-----{end}{fields}{body}-----END {kind}-----"
+
+
+def test_private_keys(spark):
+    rng = random.Random(8)
+    own, shared = _key(rng), _key(rng, "PRIVATE KEY")
+    fields = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B2C3D\n\n"
+    keys = [own, _key(rng, "EC PRIVATE KEY"), _key(rng, fields=fields), _key(rng, end="\\n")]
+    texts = [(i, f"naïve 😀 {key} after", "en", "src0") for i, key in enumerate(keys)]
+    texts += [(10 + i, f"see {shared}", "en", f"src{i}") for i in range(3)]
+    texts += [(20, f"-----BEGIN RSA PRIVATE KEY----- cut off {keys[1]}", "en", "src0"), (21, "-----BEGIN PRIVATE KEY-----", "en", "src1")]
+    got = result(documents(spark, texts))
+    assert got == brute(texts)
+    spans = dict(got)
+    for i, key in enumerate(keys):
+        assert ("pem", 8, 8 + len(key), "live") in spans[i]
+    assert all(s[0] != "pem" for i in (10, 11, 12, 21) for s in spans[i])
+    assert ("pem", len(texts[7][1]) - len(keys[1]), len(texts[7][1]), "live") in spans[20]
