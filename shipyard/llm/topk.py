@@ -67,7 +67,7 @@ def rotations(rows: DataFrame) -> dict[int, np.ndarray]:
             i, j = np.triu_indices(d)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(i), d, np.int32)), pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), pa.array(m[i, j])], names=schema.names)
 
-    out: dict[int, np.ndarray] = {}
+    out: dict[int, np.ndarray] = {0: np.zeros((0, 0))}  # empty vectors have no cell
     for r in rows.select("v").mapInArrow(share, schema).groupBy("d", "i", "j").agg(F.sum("s").alias("s")).collect():
         m = out.setdefault(r["d"], np.zeros((r["d"], r["d"])))
         m[r["i"], r["j"]] = m[r["j"], r["i"]] = r["s"]

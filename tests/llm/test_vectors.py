@@ -87,3 +87,10 @@ def test_top_k_by_brute_force(spark, monkeypatch, block):
             want += [(i, r + 1, j, -s) for r, (s, j) in enumerate(best)]
     got = [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in top_k(frame(spark, rows), top_k_queries()).collect()]
     assert sorted(got) == sorted(want)
+
+
+def test_top_k_of_an_empty_vector(spark):
+    """Empty vectors meet each other, also where one is a query."""
+    rows = [(7, []), (14, [1.0, 2.0]), (20, []), (21, [3.0, 1.0])]
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in top_k(frame(spark, rows), top_k_queries()).collect())
+    assert got == [(7, 1, 20, 0), (14, 1, 21, 5 * 64 * 64), (21, 1, 14, 5 * 64 * 64)]
