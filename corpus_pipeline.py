@@ -58,7 +58,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token pieces of all documents, packed into sequences of 1024 tokens."""
     pieces = token_pieces(docs, public_tokenizers.path(BYTE_BPE), capacity=1024, end_id=2)
-    packed = pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), expected_rows=docs.count(), capacity=1024)
+    digest = written(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), "pieces")
+    packed = pack(digest, expected_rows=digest.count(), capacity=1024)
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shipyard.llm import oracles
-from shipyard.llm.common import table
+from shipyard.llm.common import table, written
 from shipyard.llm.embedding_dedup import near_duplicates as near_duplicate_vectors
 from shipyard.llm.line_dedup import remove_repeated_chunks
 from shipyard.llm.mixing import mix
@@ -43,7 +43,8 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     pieces = token_pieces(docs, public_tokenizers.path(BYTE_BPE), capacity=1024, end_id=2)
     digest = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
-    packed = pack(digest, expected_rows=docs.count(), capacity=1024)
+    digest = written(digest, "pieces")
+    packed = pack(digest, expected_rows=digest.count(), capacity=1024)
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
