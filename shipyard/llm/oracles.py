@@ -171,3 +171,80 @@ scored AS (
   FROM v q JOIN v c ON q.vec_id % {every} = 0 AND c.vec_id <> q.vec_id AND len(q.e) = len(c.e)),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scored)
 SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <= {k}"""
+
+
+def resampling(buckets: int = 10_000, least_words: int = 20, share: tuple[int, int] = (10, 100), seed: int = 2024) -> str:
+    """op13: the CRC byte by byte over each different word."""
+    return f"""
+WITH RECURSIVE steps AS (
+  SELECT i, CAST(i AS BIGINT) AS c, 0 AS k FROM range(256) r(i)
+  UNION ALL SELECT i, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, k + 1 FROM steps WHERE k < 8),
+crc AS (SELECT list(c ORDER BY i) AS t FROM steps WHERE k = 8),
+texts AS (
+  SELECT doc_id AS id, true AS own, text FROM documents UNION ALL SELECT item_id, false, text FROM benchmark),
+split AS (
+  SELECT id, own, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM texts),
+used AS (SELECT id, own, unnest(words) AS word FROM split),
+hashed AS (
+  SELECT word, xor(list_reduce(
+           list_transform(range(strlen(word)), lambda k: CAST('0x' || substr(hex(word), 2 * k + 1, 2) AS BIGINT)),
+           lambda c, b: xor(c // 256, t[1 + xor(c, b) % 256]), CAST(4294967295 AS BIGINT)), 4294967295) % {buckets} AS bucket
+  FROM (SELECT DISTINCT word FROM used), crc),
+placed AS (SELECT id, own, bucket FROM used JOIN hashed USING (word)),
+totals AS (SELECT count(*) FILTER (own) AS s, count(*) FILTER (NOT own) AS t FROM placed),
+counts AS (SELECT bucket, count(*) FILTER (own) AS s, count(*) FILTER (NOT own) AS t FROM placed GROUP BY bucket),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln(CAST(c.t + 1 AS DOUBLE) * CAST(a.s + {buckets} AS DOUBLE)
+    / (CAST(c.s + 1 AS DOUBLE) * CAST(a.t + {buckets} AS DOUBLE)))) AS BIGINT) AS gain FROM counts c, totals a),
+weights AS (SELECT id, sum(gain) AS weight FROM placed JOIN gains USING (bucket) WHERE own GROUP BY id),
+scored AS (
+  SELECT d.id AS doc_id, CAST(len(words) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+         CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('{seed}:' || CAST(d.id AS VARCHAR)), 1, 8) AS BIGINT) + 0.5)
+           / 4294967296.0::DOUBLE))) AS BIGINT) AS score
+  FROM split d LEFT JOIN weights w ON d.id = w.id WHERE own),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= {least_words} ORDER BY score DESC, doc_id) AS place,
+         count(*) OVER (PARTITION BY n_features >= {least_words}) AS n FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= {least_words} AND place <= {share[0]} * n // {share[1]} THEN place END AS rank
+FROM ranked"""
+
+
+def prefix_trie(most: int = 5) -> str:
+    """op11: every prefix of every rebuilt conversation as text, and sums over the
+    prefixes of each. DuckDB has no CRC-32; it is built byte by byte over the digits."""
+    return f"""
+WITH RECURSIVE steps AS (
+  SELECT i, CAST(i AS BIGINT) AS c, 0 AS k FROM range(256) r(i)
+  UNION ALL SELECT i, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, k + 1 FROM steps WHERE k < 8),
+crc AS (SELECT list(c ORDER BY i) AS t FROM steps WHERE k = 8),
+turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         substr(sha256(CAST(length(coalesce(role, '')) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, '')), 1, 32) AS h
+  FROM conversations WHERE conv_id IS NOT NULL),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, h) AS i FROM turns),
+ids AS (
+  SELECT conv_id, xor(list_reduce(
+      list_transform(range(length(CAST(conv_id AS VARCHAR))), lambda k: CAST(ascii(substr(CAST(conv_id AS VARCHAR), CAST(k + 1 AS BIGINT), 1)) AS BIGINT)),
+      lambda c, b: xor(c // 256, t[1 + xor(c, b) % 256]), CAST(4294967295 AS BIGINT)), 4294967295) % {most + 1} AS n_given
+  FROM (SELECT DISTINCT conv_id FROM turns), crc),
+taken AS (
+  SELECT c.conv_id, 0 AS part, i, h, length(text) AS size FROM ids c JOIN numbered b ON b.conv_id = c.conv_id - c.conv_id % 100 AND i <= n_given
+  UNION ALL SELECT conv_id, 1, i, h, length(text) FROM ids JOIN numbered USING (conv_id) WHERE i > n_given),
+placed AS (SELECT conv_id, h, size, row_number() OVER (PARTITION BY conv_id ORDER BY part, i) AS depth FROM taken),
+prefixes AS (
+  SELECT conv_id, depth, size, string_agg(h, '') OVER (PARTITION BY conv_id ORDER BY depth) AS path FROM placed
+  UNION ALL SELECT conv_id, 0, 0, '' FROM ids),
+lengths AS (SELECT conv_id, max(depth) AS n FROM prefixes GROUP BY conv_id),
+nodes AS (
+  SELECT path, min(p.conv_id) AS conv_id, any_value(depth) AS depth, count(*) AS n_convs, any_value(size) AS size,
+         sha256(coalesce(string_agg(CAST(p.conv_id AS VARCHAR), ',' ORDER BY p.conv_id) FILTER (depth = n), '')) AS ends_sha256
+  FROM prefixes p JOIN lengths l USING (conv_id) GROUP BY path),
+children AS (SELECT substr(path, 1, length(path) - 32) AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+whole AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN children USING (path)),
+above AS (
+  SELECT substr(path, 1, CAST(32 * k AS BIGINT)) AS path, n_children = 0 AS leaf, (n_convs - 1) * size AS saved
+  FROM (SELECT *, unnest(range(depth + 1)) AS k FROM whole)),
+sums AS (SELECT path, count(*) FILTER (leaf) AS n_leaves, sum(saved) AS saved_tokens FROM above GROUP BY path)
+SELECT w.conv_id, w.depth, p.conv_id AS parent_conv_id, w.n_convs, w.n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, w.ends_sha256
+FROM whole w JOIN sums s ON s.path = w.path LEFT JOIN nodes p ON w.depth > 0 AND p.path = substr(w.path, 1, length(w.path) - 32)"""

@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 from shipyard.llm import oracles
 from shipyard.llm.common import table, written
 from shipyard.llm.embedding_dedup import near_duplicates as near_duplicate_vectors
+from shipyard.llm.ffd_packing import pack_first_fit
 from shipyard.llm.line_dedup import remove_repeated_chunks
 from shipyard.llm.mixing import mix
 from shipyard.llm.packing import pack, token_pieces
+from shipyard.llm.prefix_trie import prefix_trie, turn_sequences
 from shipyard.llm.quality import quality_scores
+from shipyard.llm.resampling import resample
 from shipyard.llm.secrets_scan import KINDS, scan, spans_text
 from shipyard.llm.simhash import near_duplicates
 from shipyard.llm.substring_dedup import remove_repeats
@@ -22,6 +25,7 @@ from shipyard.llm.token_counts import token_counts
 from shipyard.llm.topk import top_k
 
 BYTE_BPE = "byte_bpe_50k.json"
+WORD_BPE = "word_bpe_49k.json"
 
 #: The mix that op4 draws: whole-number weights of siblings; others weigh 10.
 MIX_WEIGHTS = {
@@ -111,6 +115,34 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), limit=512)
 
 
+def rebuilt_conversations(conversations: DataFrame, most: int = 5) -> DataFrame:
+    """Every conversation c behind the first h turns of conversation c - c % 100, in
+    place of its own first h; h is crc32(c) % (``most`` + 1)."""
+    own = turn_sequences(conversations)
+    base = own.where("conv_id % 100 = 0").select(F.col("conv_id").alias("_base"), F.slice("turns", 1, most).alias("_first"))
+    h = (F.crc32(F.col("conv_id").cast("string")) % (most + 1)).cast("int")
+    given = F.coalesce("_first", F.slice("turns", 1, 0))
+    keyed = own.withColumn("_base", F.col("conv_id") - F.col("conv_id") % 100).join(base, "_base", "left")
+    return keyed.select("conv_id", F.concat(F.slice(given, 1, h), F.slice("turns", h + 1, F.size("turns"))).alias("turns"))
+
+
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nodes of the prefix trie of all rebuilt conversations."""
+    return prefix_trie(rebuilt_conversations(table(spark, sf_dir, "conversations")))
+
+
+def op12_first_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2048 tokens, one row per piece."""
+    packed = pack_first_fit(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), capacity=2048, end_id=1)
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tenth of the documents that is drawn towards the benchmark's words."""
+    drawn = resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), share=(10, 100), buckets=10_000, seed=2024)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
@@ -122,6 +154,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_exact_topk": op9_exact_topk,
     "op10_token_counts": op10_token_counts,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_first_fit_packing": op12_first_fit_packing,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 
 ORACLES: dict[str, str] = {
@@ -131,4 +166,6 @@ ORACLES: dict[str, str] = {
     "op6_line_dedup": oracles.line_dedup(),
     "op8_secret_scan": oracles.secret_scan(),
     "op9_exact_topk": oracles.exact_topk(),
+    "op11_prefix_trie": oracles.prefix_trie(),
+    "op13_importance_resampling": oracles.resampling(),
 }

@@ -16,7 +16,7 @@ FIELDS = ["doc_id", "text", "lang", "source", "n_chars"]
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_queries_equal_their_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "labels"):
+    for t in ("documents", "embeddings", "labels", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     got = QUERIES[name](spark, SF)
     rows = con.execute(ORACLES[name])
