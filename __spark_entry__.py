@@ -14,7 +14,6 @@ derived from the tables into a fresh folder under the session's
 from __future__ import annotations
 
 import dataclasses
-import importlib.util
 import os
 import sys
 import uuid
@@ -62,7 +61,7 @@ from shipyard.sources.bronze import parse_feed_lines  # noqa: E402
 from shipyard.sources.bronze import table as bronze_table  # noqa: E402
 from shipyard.streaming.incremental import start_bronze_stream  # noqa: E402
 from shipyard.sources.feeds import CARRIER_A, FEEDS  # noqa: E402
-from shipyard.sources.raw_files import scan_lines  # noqa: E402
+from shipyard.sources.raw_files import file_name_of, list_raw_files, stage_lines  # noqa: E402
 from shipyard.sources.reference import load_carriers, load_organisations  # noqa: E402
 from shipyard.warehouse import Warehouse, fixed_time  # noqa: E402
 
@@ -78,6 +77,8 @@ SQL_CAP = 200
 # Days of ``events``: files up to the first are loaded by name, the second one is
 # delivered again with blank lines only.
 EARLY_DAY, BLANK_DAY = "20240105", "20240107"
+# Delivered a third time: one with its first lines, one cut off in the middle of the gzip.
+RESTORED_DAY, DAMAGED_DAY = "20240103", "20240104"
 # An eighth of a quarter of the scans: over the gate's limit in three quarters of
 # the lines, under it in all of them.
 FAILED_GATE_NOISE = "((l_orderkey div 4 + l_linenumber) % 8 = 0)"
@@ -108,11 +109,13 @@ def _fresh(spark, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def _feed_a_files(spark, sf, folder: str, second: bool = False) -> None:
-    """Carrier-A lines of ``events`` as one gzip file per day. The second delivery
-    of the same files lacks every third event, and one day holds blank lines only."""
+def _feed_a_files(spark, sf, folder: str, second: bool = False, days: tuple = ()) -> None:
+    """Carrier-A lines of ``events`` as one gzip file per day (of ``days``, if given).
+    The second delivery of the same files lacks every third event, and one day holds
+    blank lines only."""
     day = an.SPARK.day("ts")
     ev = an.table(spark, sf, "events")
+    ev = ev.where(F.expr(day).isin(*days)) if days else ev
     columns = dict(an.feed_a_line_columns(an.SPARK))
     lines = ev.selectExpr(f"{day} AS day", "event_id AS place", f"{columns['line']} AS line")
     if second:
@@ -127,8 +130,8 @@ def q_skip_ingested(spark, sf):
     root = _fresh(spark, "skip-ingested")
     _feed_a_files(spark, sf, f"{root}/raw")
     wh = Warehouse(f"{root}/warehouse")
-    listed = bronze.list_raw_files(spark, f"{root}/raw", CARRIER_A.glob)
-    early = [p for p in listed if bronze.file_name_of(p) <= f"feed_a_{EARLY_DAY}.json.gz"]
+    listed = list_raw_files(spark, f"{root}/raw", CARRIER_A.glob)
+    early = [p for p in listed if file_name_of(p) <= f"feed_a_{EARLY_DAY}.json.gz"]
     bronze.ingest_paths(spark, wh, CARRIER_A, early)
     loaded = bronze.ingest(spark, wh, CARRIER_A, f"{root}/raw")
     return _load_results(spark, loaded)
@@ -160,7 +163,8 @@ def _line_text(d) -> str:
 def q_line_numbers(spark, sf):
     """SRC-2 on real gzip files: ``events`` written as one gzip file per day
     (rows in ``event_id`` order, some lines blank) into a fresh folder under
-    the checkpoint dir, then scanned back with 1-based physical line numbers."""
+    the checkpoint dir, then read back, many files in a task, with 1-based
+    physical line numbers."""
     out = f"{checkpoint_dir(spark).rstrip('/')}/line-numbers-{uuid.uuid4().hex}"
     ev = an.table(spark, sf, "events").selectExpr(f"{an.SPARK.day('ts')} AS day", "event_id", f"{_line_text(an.SPARK)} AS value")
     (
@@ -171,7 +175,7 @@ def q_line_numbers(spark, sf):
         .text(out, compression="gzip")
     )
     paths = [unquote(u) for u in spark.read.text(out).inputFiles()]
-    lines = scan_lines(spark, paths, keep_path=True)
+    lines = stage_lines(spark, paths, _fresh(spark, "line-numbers-staged"))
     day = F.regexp_extract(F.col("source_path"), r"day=(\d{8})/", 1)
     return lines.select(day.alias("day"), "source_line_no", "line")
 
@@ -219,7 +223,7 @@ def q_reference_dims(spark, sf):
 def q_stream_bronze(spark, sf):
     """The Structured Streaming bronze load on real files: carrier-A lines built
     from ``events`` (bad and blank lines included) written as one gzip file per
-    day, loaded by ``start_bronze_stream`` with an availableNow trigger into a
+    day into a folder with pattern characters in its name, loaded by ``start_bronze_stream`` with an availableNow trigger into a
     fresh warehouse; the good rows with their line numbers."""
     root = f"{checkpoint_dir(spark).rstrip('/')}/stream-bronze-{uuid.uuid4().hex}"
     lines = an.table(spark, sf, "events").selectExpr(f"{an.SPARK.day('ts')} AS day", *[f"{e} AS {n}" for n, e in an.feed_a_line_columns(an.SPARK)])
@@ -228,18 +232,26 @@ def q_stream_bronze(spark, sf):
         .sortWithinPartitions("day", "event_id")
         .selectExpr("day", "line AS value")
         .write.partitionBy("day")
-        .text(f"{root}/raw", compression="gzip")
+        .text(f"{root}/raw[1]", compression="gzip")
     )
     wh = Warehouse(f"{root}/warehouse")
     feed = dataclasses.replace(CARRIER_A, glob="*.txt.gz")
-    start_bronze_stream(spark, wh, feed, f"{root}/raw", checkpoint_location=f"{root}/checkpoint").awaitTermination()
+    start_bronze_stream(spark, wh, feed, f"{root}/raw[1]", checkpoint_location=f"{root}/checkpoint").awaitTermination()
     return bronze_table(spark, wh, feed).select(*CARRIER_A.payload_columns, "source_line_no")
 
 
 def q_partition_replace(spark, sf):
     """SNK-1 through ``ingest(force=True)``: the stored rows, good and bad, after
-    every file was delivered again with other lines, one with blank lines only."""
+    every file was delivered again with other lines, one with blank lines only, and
+    two a third time: one whole, and one cut off, which keeps its old rows."""
     wh, _ = _reloaded(spark, sf, "partition-replace")
+    root = _fresh(spark, "third-delivery")
+    _feed_a_files(spark, sf, f"{root}/whole", days=(RESTORED_DAY, DAMAGED_DAY))
+    an.copy_file(spark, f"{root}/whole/feed_a_{RESTORED_DAY}.json.gz", f"{root}/third/feed_a_{RESTORED_DAY}.json.gz")
+    an.copy_file(spark, f"{root}/whole/feed_a_{DAMAGED_DAY}.json.gz", f"{root}/third/feed_a_{DAMAGED_DAY}.json.gz", share=0.5)
+    results = bronze.ingest(spark, wh, CARRIER_A, f"{root}/third", force=True)
+    if [r.source_file for r in results if r.error] != [f"feed_a_{DAMAGED_DAY}.json.gz"]:
+        raise AssertionError("the cut-off file was not reported")
     return bronze.stored(spark, wh, CARRIER_A).select(
         "source_file", "source_line_no", "tracking_no", "weight_kg", "raw_line", "error"
     )
@@ -647,19 +659,19 @@ def _prepared(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
 
 def _added() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
     """Queries and oracles of the ``llm`` subpackage and of ``corpus_pipeline``;
-    none of them where these are not installed."""
-    found, oracles = {}, {}
-    if importlib.util.find_spec("shipyard.llm") and importlib.util.find_spec("shipyard.llm.queries"):
+    none of them where these, or what they import, are not installed."""
+    try:
         from shipyard.llm import queries as llm
-
-        found |= llm.QUERIES
-        oracles |= llm.ORACLES
-        if importlib.util.find_spec("corpus_pipeline"):
-            import corpus_pipeline
-
-            found["pipeline"] = corpus_pipeline.run
-            if corpus_pipeline.ORACLE_SQL:
-                oracles["pipeline"] = corpus_pipeline.ORACLE_SQL
+    except ImportError:
+        return {}, {}
+    found, oracles = dict(llm.QUERIES), dict(llm.ORACLES)
+    try:
+        import corpus_pipeline
+    except ImportError:
+        return found, oracles
+    found["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL:
+        oracles["pipeline"] = corpus_pipeline.ORACLE_SQL
     return found, oracles
 
 
@@ -787,12 +799,15 @@ n AS (SELECT *, CAST(row_number() OVER (PARTITION BY file ORDER BY event_id) AS
 
 
 def o_partition_replace() -> str:
-    return _second_delivery() + f"""
+    return _second_delivery() + f""",
+first AS (SELECT *, {FILE_A} AS file, CAST(row_number() OVER (PARTITION BY {FILE_A} ORDER BY event_id) AS INT) AS line_no
+          FROM l WHERE {D.day('ts')} = '{RESTORED_DAY}'),
+stored AS (SELECT * EXCLUDE (blank) FROM n WHERE NOT blank AND {D.day('ts')} <> '{RESTORED_DAY}' UNION ALL BY NAME SELECT * FROM first)
 SELECT file AS source_file, line_no AS source_line_no,
        CASE WHEN {GOOD_A} THEN CAST(user_id AS VARCHAR) END AS tracking_no,
        CASE WHEN {GOOD_A} THEN CAST({K} AS DOUBLE) + 0.25 END AS weight_kg,
        CASE WHEN {BAD_A} THEN line END AS raw_line, CASE WHEN {BAD_A} THEN {ERROR_A} END AS error
-FROM n WHERE NOT blank AND ({GOOD_A} OR {BAD_A})"""
+FROM stored WHERE {GOOD_A} OR {BAD_A}"""
 
 
 def o_load_totals() -> str:

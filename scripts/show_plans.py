@@ -20,12 +20,12 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import functions as F  # noqa: E402
 
 from shipyard import analogues  # noqa: E402
-from shipyard.operators.quality import quarantine_rates, shipment_checks  # noqa: E402
+from shipyard.operators.quality import rates_of_counts, shipment_checks  # noqa: E402
 from shipyard.plans import gates, gold, silver  # noqa: E402
 from shipyard.session import build_session, checkpoint_dir  # noqa: E402
 from shipyard.sources import bronze  # noqa: E402
 from shipyard.sources.feeds import FEEDS  # noqa: E402
-from shipyard.sources.raw_files import list_raw_files, scan_lines  # noqa: E402
+from shipyard.sources.raw_files import list_raw_files, stage_lines  # noqa: E402
 from shipyard.warehouse import Warehouse, fixed_time  # noqa: E402
 
 
@@ -55,12 +55,12 @@ def main():
 
     a = feeds[0]
     paths = list_raw_files(spark, f"{raw}/{a.name}", a.glob)
-    print("### bronze ingest (carrier_a): scan, number, parse\n")
-    print(tree(bronze.parse_feed_lines(scan_lines(spark, paths).hint("rebalance", "source_file"), a, fixed_time(datetime(2026, 1, 1)))))
+    print("### bronze ingest (carrier_a): number, parse the staged lines\n")
+    print(tree(bronze.parse_feed_lines(stage_lines(spark, paths, f"{scratch}/lines"), a, fixed_time(datetime(2026, 1, 1)))))
     for f in feeds:
         bronze.ingest(spark, wh, f, f"{raw}/{f.name}")
     print("\n### bronze gate\n")
-    print(tree(quarantine_rates(gates.bronze_pairs(spark, wh))))
+    print(tree(rates_of_counts(gates.bronze_counts(spark, wh), [f.table for f in FEEDS])))
     feeds_df = {c: bronze.table(spark, wh, dataclasses.replace(FEEDS[i], glob="*")) for i, c in enumerate(["carrier_a", "carrier_b", "carrier_c"])}
     norm = silver.normalized_tracking(feeds_df)
     print("\n### silver tracking_events (good side, as written)\n")

@@ -385,6 +385,19 @@ def write_named_files(lines: DataFrame, folder: str) -> None:
         fs.rename(part.getPath(), jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{name}"))
 
 
+def copy_file(spark: SparkSession, source: str, target: str, share: float = 1.0) -> None:
+    """The first ``share`` of the bytes of a file, as another file."""
+    jvm = spark.sparkContext._jvm
+    old, new = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    fs = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(new.getParent())
+    size = int(fs.getFileStatus(old).getLen() * share)
+    reader, writer = fs.open(old), fs.create(new)
+    jvm.org.apache.commons.io.IOUtils.copyLarge(reader, writer, 0, size)
+    writer.close()
+    reader.close()
+
+
 def write_raw_feeds(
     spark: SparkSession, sf_dir: str, out_root: str, orders_where: str = "true", noise: str = "false", reference: bool = True
 ) -> None:

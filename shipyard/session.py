@@ -78,3 +78,12 @@ def one_file_per_task(spark: SparkSession) -> SparkSession:
     for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
         copy.conf.set(key, str(1 << 50))
     return copy
+
+
+def few_scan_tasks(spark: SparkSession) -> SparkSession:
+    """A copy of the session for scans that read no content: as many tasks as cores,
+    however large the files are."""
+    copy = SparkSession(spark.sparkContext, spark._jsparkSession.cloneSession())
+    copy.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 60))
+    copy.conf.set("spark.sql.files.openCostInBytes", "1")
+    return copy

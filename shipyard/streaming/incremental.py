@@ -5,9 +5,8 @@ already stored. Here the stream's checkpoint remembers which files were
 processed instead. Each trigger takes the files that arrived since, and
 ``trigger(availableNow=True)`` processes everything present and then stops,
 which gives a scheduled, incremental, exactly-once load. Each micro-batch goes
-through the same line numbering, parsing and per-file partition replace as
-the batch job, so re-running a failed micro-batch rewrites the same file
-partitions.
+through the same line numbering, parsing and publishing as the batch job, the
+ledger's entries included, so a micro-batch that fails changes nothing and is run again.
 
 The stream's file log remembers paths, so a corrected file re-delivered under
 the same name is not read again; reload such a file with the batch
@@ -26,20 +25,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from shipyard.session import checkpoint_dir, one_file_per_task, prepare
-from shipyard.sources.bronze import parse_feed_lines
+from shipyard.session import checkpoint_dir, prepare
+from shipyard.sources.bronze import load_lines
 from shipyard.sources.feeds import Feed
-from shipyard.sources.raw_files import decoded_file_name, line_number
-from shipyard.warehouse import Warehouse, fixed_time
+from shipyard.sources.raw_files import staged_with_numbers, tagged_lines
+from shipyard.warehouse import Warehouse, literal_path
 
 
 def raw_line_stream(spark: SparkSession, raw_dir: str, glob_pattern: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = one_file_per_task(spark).readStream.format("text").option("pathGlobFilter", glob_pattern)
+    # An escaped path counts as a pattern, for which Spark does not look for partition folders by itself.
+    reader = spark.readStream.format("text").option("pathGlobFilter", glob_pattern).option("basePath", raw_dir)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.load(raw_dir).select(
-        decoded_file_name().alias("source_file"), F.col("value").alias("line")
-    )
+    return tagged_lines(reader.load(literal_path(raw_dir)))
 
 
 def start_bronze_stream(
@@ -56,10 +54,12 @@ def start_bronze_stream(
     location = checkpoint_location or f"{checkpoint_dir(spark).rstrip('/')}/bronze_stream/{feed.name}"
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        loaded_at = fixed_time(datetime.now(timezone.utc).replace(tzinfo=None))
-        numbered = batch.withColumn("source_line_no", line_number()).hint("rebalance", "source_file")
-        rows = parse_feed_lines(numbered, feed, loaded_at)
-        wh.replace_partitions(rows, feed.table, ["source_file"])
+        at = datetime.now(timezone.utc).replace(tzinfo=None)
+        wh.recover(spark, feed.table)
+        aside = wh.aside(feed.table)
+        lines = staged_with_numbers(batch.withColumn("row", F.monotonically_increasing_id()), f"{aside}/lines")
+        names = [r[0] for r in lines.select("source_file").distinct().collect()]  # files of this trigger
+        load_lines(spark, wh, feed, lines, aside, names, at)
 
     writer = (
         raw_line_stream(spark, raw_dir, feed.glob, max_files_per_trigger)

@@ -44,6 +44,18 @@ def test_line_numbering_reads_a_file_once(spark, tmp_path):
         assert node not in plan
 
 
+def test_the_bronze_gate_reads_no_bronze(spark, wh, tmp_path):
+    from shipyard.plans import gates
+    from shipyard.sources import bronze
+    from shipyard.sources.feeds import CARRIER_A
+
+    write_gz(tmp_path / "raw" / "a.json.gz", ["{}", "oops"])
+    bronze.ingest(spark, wh, CARRIER_A, str(tmp_path / "raw"))
+    counts = gates.bronze_counts(spark, wh, [CARRIER_A])
+    assert [tuple(r) for r in counts.collect()] == [("bronze.carrier_a", 1, 1)]
+    assert all("_loads/" in f for f in counts.inputFiles()) and counts.inputFiles()
+
+
 def test_a_gate_is_one_query(spark, monkeypatch):
     from pyspark.sql.classic.dataframe import DataFrame as Classic
 
