@@ -399,7 +399,8 @@ def copy_file(spark: SparkSession, source: str, target: str, share: float = 1.0)
 
 
 def write_raw_feeds(
-    spark: SparkSession, sf_dir: str, out_root: str, orders_where: str = "true", noise: str = "false", reference: bool = True
+    spark: SparkSession, sf_dir: str, out_root: str, orders_where: str = "true", noise: str = "false", reference: bool = True,
+    scans_where: str = "true", life: bool = True,
 ) -> None:
     """Write the four raw feeds (gzipped JSON lines) and the two reference
     files derived from the test tables, for a file-based end-to-end run.
@@ -413,7 +414,8 @@ def write_raw_feeds(
     the result does not depend on how rows fall into files. Scans for which
     ``E2E_BROKEN`` holds are cut short and so are lost to quarantine; too few
     for a gate. Where ``noise`` holds, a scan is followed by a line of garbage.
-    ``orders_where`` picks the orders that this delivery holds. The number of
+    ``orders_where`` picks the orders that this delivery holds, ``scans_where`` the
+    scans of these, and ``life`` says whether it has lifecycle events. The number of
     files follows the amount of data; they are Spark's part files
     (``*.txt.gz``), added to what the folders hold.
     """
@@ -429,7 +431,7 @@ def write_raw_feeds(
         "o_orderkey", "created", "c_nationkey", "c_mktsegment", "o_orderpriority",
         f"{CARRIER_OF_KEY.format(k='o_orderkey')} AS carrier_code",
     )
-    life = parcels.selectExpr(
+    lifecycle = parcels.selectExpr(
         "explode(array(named_struct('t', 'parcel_created', 'at', created), "
         "named_struct('t', 'parcel_handed_over', 'at', timestampadd(MINUTE, 360, created)))) AS e",
         "o_orderkey", "c_nationkey", "c_mktsegment", "o_orderpriority", "carrier_code",
@@ -449,8 +451,9 @@ def write_raw_feeds(
         .selectExpr(
             "l_linenumber", f"{CARRIER_OF_KEY.format(k='l_orderkey')} AS carrier_code",
             "'T' || CAST(l_orderkey AS STRING) AS tn", f"{E2E_STATUS} AS status", f"{E2E_SCAN_TIME} AS at",
-            f"{E2E_WEIGHT} AS weight", f"{E2E_BROKEN} AS broken", f"{noise} AS noise",
+            f"{E2E_WEIGHT} AS weight", f"{E2E_BROKEN} AS broken", f"{noise} AS noise", f"{scans_where} AS wanted",
         )
+        .where("wanted")
     )
 
     def lines(feed: DataFrame) -> DataFrame:
@@ -484,7 +487,8 @@ def write_raw_feeds(
         df.hint("rebalance").write.mode("append").text(f"{root}/{name}", compression="gzip")
 
     with ThreadPoolExecutor(max_workers=4) as pool:
-        list(pool.map(write_feed, (("carrier_a", lines(a)), ("carrier_b", lines(b)), ("carrier_c", lines(c)), ("parcel_events", life))))
+        feeds = [("carrier_a", lines(a)), ("carrier_b", lines(b)), ("carrier_c", lines(c)), *([("parcel_events", lifecycle)] if life else [])]
+        list(pool.map(write_feed, feeds))
 
     if reference:
         # One ordered file: where a carrier occurs again, its last line counts.

@@ -10,7 +10,7 @@ from tests.conftest import write_gz
 SF = "/root/testdata/sf0.001"
 WRITES_FILES = {
     "line_numbers", "end_to_end_run", "reference_dims", "stream_bronze", "skip_ingested", "partition_replace", "load_totals",
-    "incremental_after_failed_gate", "schema_evolution",
+    "incremental_after_failed_gate", "incremental_gold", "schema_evolution",
 }
 
 
