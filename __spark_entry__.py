@@ -52,8 +52,6 @@ from shipyard.plans.sql_access import (  # noqa: E402
     first_rows,
     open_query_session,
     query_frame,
-    relations_of,
-    validate_sql,
 )
 from shipyard.session import checkpoint_dir, prepare  # noqa: E402
 from shipyard.sources import bronze  # noqa: E402
@@ -564,41 +562,45 @@ def q_sql_union(spark, sf):
     return query_frame(_gold_session(spark, sf), SQL_UNION)
 
 
-# QRY-2: statement templates and whether they may run; {name} is a region's name.
+# QRY-2: statements, and the columns of those that may run.
 SQL_VERDICTS = [
-    ("SELECT count(*) FROM shipments WHERE destination_country = '{name};'", True),
-    ("WITH r AS (SELECT '{name}' AS n), q AS (SELECT n FROM r) SELECT q.n FROM q JOIN dim_carriers c ON c.carrier_name = q.n", True),
-    ("WITH dim_carriers AS (SELECT * FROM dim_carriers) SELECT carrier_name = '{name}' FROM dim_carriers", True),
-    ("SELECT '{name}' IN (WITH i AS (SELECT carrier_name AS n FROM dim_carriers) SELECT n FROM i)", True),
-    ("WITH RECURSIVE t(n) AS (SELECT 1 UNION ALL SELECT n + 1 FROM t WHERE n < 3) SELECT '{name}', n FROM t", True),
-    ("WITH hidden AS (SELECT * FROM hidden) SELECT '{name}', * FROM hidden", False),
-    ("SELECT '{name}', (WITH i AS (SELECT 1 AS x) SELECT max(x) FROM i), * FROM i", False),
-    ("WITH a AS (SELECT * FROM b), b AS (SELECT '{name}' AS n) SELECT * FROM a", False),
-    ("SELECT * FROM `{name}`", False),
-    ("SELECT '{name}'; SELECT 2", False),
-    ("DROP VIEW shipments -- {name}", False),
-    ("CREATE TEMPORARY VIEW v AS SELECT '{name}' AS n", False),
-    ("SELECT java_method('java.lang.System', 'getProperty', '{name}')", False),
-    ("SELECT * FROM csv.`/{name}`", False),
-    ("", False),
+    ("SELECT carrier_code, count(*) AS n, count(DISTINCT organisation_id) AS senders FROM shipments GROUP BY carrier_code", ["carrier_code", "n", "senders"]),
+    ("SELECT count(*) AS n FROM shipments WHERE destination_country <> ';' OR destination_country = 'DROP VIEW shipments;'", ["n"]),
+    (
+        "WITH late AS (SELECT * FROM shipments WHERE NOT is_on_time), per AS (SELECT organisation_id, count(*) AS n FROM late GROUP BY organisation_id) "
+        "SELECT o.name, per.n FROM per JOIN dim_organisations o ON o.organisation_id = per.organisation_id",
+        ["name", "n"],
+    ),
+    ("WITH shipments AS (SELECT * FROM shipments WHERE is_lost) SELECT carrier_code, count(*) AS n FROM shipments GROUP BY carrier_code", ["carrier_code", "n"]),
+    ("SELECT count(*) AS n, max(parcel_id) AS newest FROM shipments s WHERE EXISTS (SELECT 1 FROM dim_carriers c WHERE c.carrier_code = s.carrier_code)", ["n", "newest"]),
+    ("WITH RECURSIVE t(n) AS (SELECT 1 UNION ALL SELECT n + 1 FROM t WHERE n < 3) SELECT n, (SELECT count(*) FROM shipments WHERE is_returned) AS m FROM t", ["n", "m"]),
+    ("WITH hidden AS (SELECT * FROM hidden) SELECT * FROM hidden", None),
+    ("SELECT (WITH i AS (SELECT 1 AS x) SELECT max(x) FROM i), * FROM i", None),
+    ("WITH a AS (SELECT * FROM b), b AS (SELECT 1 AS n) SELECT * FROM a", None),
+    ("SELECT * FROM orders", None),
+    ("SELECT count(*) FROM shipments; SELECT 2", None),
+    ("DROP VIEW shipments", None),
+    ("CREATE TEMPORARY VIEW v AS SELECT * FROM shipments", None),
+    ("SELECT java_method('java.lang.System', 'getProperty', carrier_code) FROM shipments", None),
+    ("SELECT * FROM csv.`/tmp`", None),
+    ("", None),
 ]
 
 
 def q_sql_verdicts(spark, sf):
-    """QRY-2: for each region and statement, whether the guard lets it run."""
+    """QRY-2: what each statement gives over the whole gold tables, one row per
+    result row with its values as text; one row without text for a refused one."""
     session = _gold_session(spark, sf)
-    allowed = relations_of(session)
-
-    def verdict(sql: str) -> bool:
+    refused, out = [], None
+    for k, (sql, _) in enumerate(SQL_VERDICTS):
         try:
-            validate_sql(session, sql, allowed)
+            found = query_frame(session, sql)
         except QueryNotAllowedError:
-            return False
-        return True
-
-    regions = an.table(spark, sf, "region").select("r_regionkey", "r_name").collect()
-    rows = [(int(r[0]), k, verdict(sql.replace("{name}", r[1]))) for r in regions for k, (sql, _) in enumerate(SQL_VERDICTS)]
-    return spark.createDataFrame(rows, "region int, statement int, allowed boolean")
+            refused.append((k, False, None))
+            continue
+        rows = found.select(F.lit(k).alias("statement"), F.lit(True).alias("allowed"), F.concat_ws("|", *[F.col(c).cast("string") for c in found.columns]).alias("figures"))
+        out = rows if out is None else out.unionByName(rows)
+    return out.unionByName(session.createDataFrame(refused, "statement int, allowed boolean, figures string"))
 
 
 def q_schema_document(spark, sf):
@@ -1149,8 +1151,14 @@ def o_sql_capped() -> str:
 
 
 def o_sql_verdicts() -> str:
-    rows = ", ".join(f"({k}, {str(allowed).lower()})" for k, (_, allowed) in enumerate(SQL_VERDICTS))
-    return f"SELECT CAST(r_regionkey AS INTEGER) AS region, statement, allowed FROM region, (VALUES {rows}) v(statement, allowed)"
+    parts = []
+    for k, (sql, columns) in enumerate(SQL_VERDICTS):
+        if columns:
+            text = ", ".join(f"CAST({c} AS VARCHAR)" for c in columns)
+            parts.append(f"SELECT CAST({k} AS INTEGER) AS statement, true AS allowed, concat_ws('|', {text}) AS figures FROM ({sql})")
+        else:
+            parts.append(f"SELECT CAST({k} AS INTEGER), false, NULL")
+    return _with_views(" UNION ALL ".join(parts))
 
 
 def o_schema_document() -> str:

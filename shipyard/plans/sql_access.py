@@ -1,12 +1,11 @@
 """Guarded, read-only Spark SQL over the three gold views.
 
 Only ``shipments``, ``dim_carriers`` and ``dim_organisations`` are registered,
-in a fresh session (``spark.newSession()``) that has no other temp views and
-cannot read files by path. A query must be one read-only statement: it is
-parsed by Spark's own SQL parser, and every node of the parsed plan - subquery
-plans included - must be a query operator; relations must be the views or names
-of a WITH clause that are in scope where they are used; functions that run JVM
-code are refused.
+in a fresh session (``spark.newSession()``) that has no other temp views, cannot
+read files by path and lacks the functions that run JVM code. Spark parses and
+analyses a statement in that session without running it. The analysed plan,
+subquery plans included, must consist of query operators down to its leaves, and
+the only tables it may reach are the registered views.
 
 ``query_frame`` is the whole result. Where somebody reads the rows, the caller
 names a row limit, and ``truncated`` tells whether there were more.
@@ -14,10 +13,10 @@ names a row limit, and ``truncated`` tells whether there were more.
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -37,29 +36,19 @@ GOLD_TABLES = {
     "dim_organisations": gold.ORGANISATIONS_TABLE,
 }
 
-# Parsed-plan operators a read-only query may contain.
+# Operators of an analysed read-only query, leaves last.
 QUERY_NODES = frozenset(
     {
-        "Project", "Filter", "Aggregate", "Join", "LateralJoin", "Union", "Intersect", "Except",
-        "Distinct", "Deduplicate", "Sort", "GlobalLimit", "LocalLimit", "Offset", "Tail", "Sample",
-        "SubqueryAlias", "UnresolvedWith", "WithCTE", "CTERelationDef", "CTERelationRef",
-        "OneRowRelation", "UnresolvedRelation", "UnresolvedInlineTable", "LocalRelation", "Window",
-        "WithWindowDefinition", "Generate", "Pivot", "Unpivot", "UnresolvedHint", "Expand",
-        "UnresolvedSubqueryColumnAliases", "UnresolvedHaving", "RepartitionByExpression",
+        "Project", "Filter", "Aggregate", "Join", "LateralJoin", "Union", "Intersect", "Except", "Distinct",
+        "Deduplicate", "Sort", "GlobalLimit", "LocalLimit", "Offset", "Tail", "Sample", "SubqueryAlias", "Window",
+        "Generate", "Expand", "Pivot", "ResolvedHint", "RepartitionByExpression", "WithCTE", "CTERelationDef",
+        "UnionLoop", "UnionLoopRef", "CTERelationRef", "OneRowRelation", "LocalRelation",
     }
-)
-# Unresolved expression nodes of a parsed query.
-QUERY_EXPRESSIONS = frozenset(
-    {
-        "UnresolvedAttribute", "UnresolvedStar", "UnresolvedAlias", "UnresolvedFunction",
-        "UnresolvedExtractValue", "UnresolvedRegex", "UnresolvedOrdinal", "UnresolvedNamedLambdaVariable",
-        "UnresolvedStarExceptOrReplace", "UnresolvedGenerator",
-    }
-)
-# Functions refused because they call into the JVM.
-DENIED_FUNCTIONS = frozenset({"java_method", "reflect", "try_reflect"})
-
-_EXPRESSION_PACKAGE = "org.apache.spark.sql.catalyst.expressions."
+)
+# Functions that call into the JVM; a query session lacks them.
+DENIED_FUNCTIONS = ("java_method", "reflect", "try_reflect")
+# Conditions of a failed analysis that mean "not within these views".
+OUT_OF_REACH = {"TABLE_OR_VIEW_NOT_FOUND": "there is no such view here", "UNRESOLVED_ROUTINE": "there is no such function here"}
 
 
 class QueryNotAllowedError(Exception):
@@ -79,6 +68,9 @@ def open_query_session(spark: SparkSession, views: dict[str, Callable[[SparkSess
     """A new session holding only ``views`` (name -> builder taking the session)."""
     session = spark.newSession()
     session.conf.set("spark.sql.runSQLOnFiles", "false")
+    functions = session._jsparkSession.sessionState().functionRegistry()
+    for name in DENIED_FUNCTIONS:
+        functions.dropFunction(session._jvm.org.apache.spark.sql.catalyst.FunctionIdentifier.apply(name))
     for name, build in views.items():
         build(session).createOrReplaceTempView(name)
     return session
@@ -129,92 +121,50 @@ def count_statements(spark: SparkSession, sql: str) -> int | None:
     return n
 
 
-def _subtree(nodes: list[dict], at: int) -> tuple[dict, list, int]:
-    """A plan is described as its nodes in pre-order: (node, subtrees of its
-    children, place after it)."""
-    node, children, at = nodes[at], [], at + 1
-    for _ in range(int(node.get("num-children", 0))):
-        child, below, at = _subtree(nodes, at)
-        children.append((child, below))
-    return node, children, at
-
-
-def _used(described, scope: frozenset):
-    """(node, names of WITH clauses in scope there) of all nodes of a described
-    plan. A query of a WITH clause sees the earlier names of its clause, its own
-    only if the clause is recursive; the statement below sees them all."""
-    if isinstance(described, list) and described and isinstance(described[0], dict) and "class" in described[0]:
-        at = 0
-        while at < len(described):
-            node, children, at = _subtree(described, at)
-            yield from _used_in_node(node, children, scope)
-    elif isinstance(described, list):
-        for x in described:
-            yield from _used(x, scope)
-    elif isinstance(described, dict):
-        if "class" in described:
-            yield from _used_in_node(described, [], scope)
-        else:
-            for x in described.values():
-                yield from _used(x, scope)
-
-
-def _used_in_node(node: dict, children: list, scope: frozenset):
-    yield node, scope
-    inner = scope
-    for name, value in node.items():
-        if name == "cteRelations" and node["class"].endswith(".UnresolvedWith"):
-            recursive = str(node.get("allowRecursion", "false")).lower() == "true"
-            for relation in value:
-                own = str(relation["_1"]).lower()
-                yield from _used(relation["_2"], inner | {own} if recursive else inner)
-                inner = inner | {own}
-        elif isinstance(value, (list, dict)):
-            yield from _used(value, scope)
-    for child, below in children:
-        yield from _used_in_node(child, below, inner)
-
-
-def _parts(text) -> list[str]:
-    text = str(text or "").strip()
-    if text.startswith("[") and text.endswith("]"):
-        text = text[1:-1]
-    return [p.strip() for p in text.split(",") if p.strip()]
-
-
-def validate_sql(spark: SparkSession, sql: str, relations: set[str]) -> None:
-    """Raise ``QueryNotAllowedError`` unless ``sql`` is one read-only query
-    that reads only ``relations`` (and names of its WITH clauses, in scope)."""
+def _analysed(session: SparkSession, parsed):
+    """The analysed plan of a parsed statement; a command is not run."""
+    skip = session._jvm.org.apache.spark.sql.execution.CommandExecutionMode.SKIP()
+    return session._jsparkSession.sessionState().executePlan(parsed, skip).analyzed()
+
+
+def _check(plan, views: set[str]) -> None:
+    """Raise unless all of ``plan`` above the registered views is a query."""
+    kind = plan.getClass().getSimpleName()
+    if kind == "View" and plan.isTempView():
+        if plan.desc().identifier().table().lower() in views:
+            return
+        raise QueryNotAllowedError(f"there is no view {plan.desc().identifier().table()} here")
+    if kind not in QUERY_NODES:
+        raise QueryNotAllowedError(f"only queries of the views may run here, not {kind}")
+    for below in (plan.children(), plan.subqueries()):
+        for i in range(below.size()):
+            _check(below.apply(i), views)
+
+
+def validate_sql(session: SparkSession, sql: str) -> None:
+    """Raise ``QueryNotAllowedError`` unless ``sql`` is one read-only query that
+    reads only the views of ``session`` (``open_query_session``). A query that
+    Spark cannot analyse for another reason (an unknown column, say) raises Spark's error."""
     if not (sql or "").strip():
         raise QueryNotAllowedError("there is no statement to run")
     try:
-        plan = _parse(spark, sql)
+        parsed = _parse(session, sql)
     except Exception as exc:  # noqa: BLE001
-        n = count_statements(spark, sql)
+        n = count_statements(session, sql)
         if n is not None and n > 1:
             raise QueryNotAllowedError(f"{n} statements given; send one at a time") from None
         message = str(exc).strip() or type(exc).__name__
         raise QueryNotAllowedError(f"not valid SQL: {message.splitlines()[0]}") from None
-    refused = QueryNotAllowedError(f"only queries may run here, not {plan.getClass().getSimpleName()}")
+    kinds = session._jvm.java.lang.Class
+    if any(kinds.forName(f"org.apache.spark.sql.catalyst.plans.logical.{kind}").isInstance(parsed) for kind in ("Command", "ParsedStatement")):
+        raise QueryNotAllowedError(f"only queries of the views may run here, not {parsed.getClass().getSimpleName()}")
     try:
-        described = json.loads(plan.toJSON())
-    except Exception:  # noqa: BLE001 - a plan that cannot be described is refused
-        raise refused from None
-
-    views = {r.lower() for r in relations}
-    for node, scope in _used(described, frozenset()):
-        cls = node["class"]
-        simple = cls.rsplit(".", 1)[-1]
-        if simple == "UnresolvedFunction":
-            name = (_parts(node.get("nameParts")) or [""])[-1].lower()
-            if name in DENIED_FUNCTIONS:
-                raise QueryNotAllowedError(f"{name}() may not be called")
-        elif simple == "UnresolvedRelation":
-            parts = _parts(node.get("multipartIdentifier"))
-            if len(parts) != 1 or parts[0].lower() not in views | scope:
-                raise QueryNotAllowedError(f"there is no view {'.'.join(parts)} here")
-        elif not (cls.startswith(_EXPRESSION_PACKAGE) or simple in QUERY_EXPRESSIONS or simple in QUERY_NODES):
-            raise refused
+        plan = _analysed(session, parsed)
+    except AnalysisException as exc:
+        if exc.getCondition() in OUT_OF_REACH:
+            raise QueryNotAllowedError(f"{OUT_OF_REACH[exc.getCondition()]}: {str(exc).splitlines()[0]}") from None
+        raise
+    _check(plan, {name.lower() for name in relations_of(session)})
 
 
 # -------------------------------------------------------------------- query
@@ -224,7 +174,7 @@ def relations_of(session: SparkSession) -> set[str]:
 
 def query_frame(session: SparkSession, sql: str) -> DataFrame:
     """The validated query, complete."""
-    validate_sql(session, sql, relations_of(session))
+    validate_sql(session, sql)
     return session.sql(sql)
 
 

@@ -6,9 +6,16 @@ from pyspark.sql import functions as F
 
 from shipyard import schemas
 from shipyard.plans import gold
-from shipyard.plans.sql_access import QueryNotAllowedError, describe_view, first_rows, gold_query_session, query_frame, run_query, schema_markdown, validate_sql
+from shipyard.plans.sql_access import QueryNotAllowedError, describe_view, first_rows, gold_query_session, open_query_session, query_frame, run_query, schema_markdown, validate_sql
+
+
+
+@pytest.fixture(scope="module")
+def views(spark):
+    """A query session whose views are empty."""
+    shapes = {"shipments": schemas.SHIPMENTS, "dim_carriers": schemas.DIM_CARRIERS, "dim_organisations": schemas.DIM_ORGANISATIONS}
+    return open_query_session(spark, {name: (lambda s, x=shape: s.createDataFrame([], x)) for name, shape in shapes.items()})
 
-VIEWS = {"shipments", "dim_carriers", "dim_organisations"}
 
 ALLOWED = """
 SELECT sla_hours, avg(transit_hours) FROM shipments GROUP BY sla_hours HAVING count(*) > 2
@@ -45,20 +52,33 @@ WITH x AS (SELECT 1 AS n) SELECT * FROM x UNION ALL (WITH y AS (SELECT * FROM y)
 
 
 @pytest.mark.parametrize("sql", ALLOWED.strip().splitlines())
-def test_queries_over_the_views_are_allowed(spark, sql):
-    validate_sql(spark, sql, VIEWS)
+def test_queries_over_the_views_are_allowed(views, sql):
+    validate_sql(views, sql)
 
 
 @pytest.mark.parametrize("sql", REFUSED.strip().splitlines())
-def test_other_statements_and_relations_are_refused(spark, sql):
+def test_other_statements_and_relations_are_refused(views, sql):
     with pytest.raises(QueryNotAllowedError):
-        validate_sql(spark, sql, VIEWS)
+        validate_sql(views, sql)
 
 
 @pytest.mark.parametrize(("sql", "reason"), [("", "no statement"), (" \n ", "no statement"), ("VALUES 1; VALUES 2", "2 statements"), ("CHOOSE * OF shipments", "not valid SQL")])
-def test_reasons(spark, sql, reason):
+def test_reasons(views, sql, reason):
     with pytest.raises(QueryNotAllowedError, match=reason):
-        validate_sql(spark, sql, VIEWS)
+        validate_sql(views, sql)
+
+
+def test_a_refused_command_is_not_run(views):
+    for sql in ("DROP VIEW dim_carriers", "CREATE TEMPORARY VIEW extra AS SELECT 1", "SET a.b = c"):
+        with pytest.raises(QueryNotAllowedError):
+            validate_sql(views, sql)
+    assert views.table("dim_carriers").count() == 0 and views.conf.get("a.b", None) is None
+    with pytest.raises(AnalysisException):
+        views.table("extra")
+
+
+def test_other_sessions_keep_their_functions(spark, views):
+    assert spark.sql("SELECT reflect('java.lang.Math', 'abs', -3) AS x").first().x == "3"
 
 
 def seed(spark, wh, n):
