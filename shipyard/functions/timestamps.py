@@ -19,13 +19,14 @@ ISO_TIME = r"(\d{2})(?::?(\d{2})(?::?(\d{2})(?:[.,](\d+|(?=[Z+-])))?)?)?"
 ISO_ZONE = r"(Z| ?[+-]\d{2}(?::?\d{2}(?::?\d{2}(?:\.\d+)?)?)?)"
 ISO_PATTERN = f"^{ISO_DATE}(?:.{ISO_TIME}{ISO_ZONE}?)?$"
 # Mixtures of the extended and the basic form within a date, a time or an offset,
-# and a blank between a fraction and an offset (one is accepted elsewhere).
-ISO_MIXED = r"^(?:\d{4}-W\d{2}[1-7]|\d{4}W\d{2}-|.*[.,]\d+ [+-]|.{7,10}?[^0-9-](?:\d{2}:\d{4}|\d{4}:)|.*[+-](?:\d{2}:\d{4}|\d{4}:\d{2})(?:\.\d+)?$)"
+# a blank between a fraction and an offset (one is accepted elsewhere), and a dash
+# between a week and digits that may be a day or a time.
+ISO_MIXED = r"^(?:\d{4}-W\d{2}-\d\d.*|\d{4}-W\d{2}[1-7]|\d{4}W\d{2}-|.*[.,]\d+ [+-]|.{7,10}?[^0-9-](?:\d{2}:\d{4}|\d{4}:)|.*[+-](?:\d{2}:\d{4}|\d{4}:\d{2})(?:\.\d+)?$)"
 
-# The common full form, parsed in one step: date, 'T', time to the second, an
-# optional fraction of one to six digits, then Z or +HH:MM.
-ISO_FULL_PATTERN = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,6})?(Z|[+-]\d{2}:\d{2})$"
-ISO_FULL_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX"
+# The common forms, parsed in one step: an extended date, 'T' or a blank, time to the
+# minute or second, a fraction of one to six digits, Z, +HH:MM, +HHMM or no zone.
+ISO_FULL_PATTERN = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:?\d{2})?$"
+ISO_FULL_FORMAT = "yyyy-MM-dd['T'][' ']HH:mm[:ss][.SSSSSS][XXX][XX]"
 
 # carrier_b's naive "YYYY-MM-DD HH:MM:SS" as strptime reads it:
 # four-digit year, one- or two-digit other parts, blanks between date and time.
@@ -43,13 +44,14 @@ def _g(value: Column, idx: int, pattern: str) -> Column:
 def parse_iso8601_utc(value: Column) -> Column:
     """ISO-8601 text -> UTC timestamp; naive text counts as UTC.
 
-    The full ``...THH:MM:SS[.f]Z`` form (nearly every feed line) takes one
-    regex test and one parse; other accepted shapes go through the general
-    path, which rebuilds a canonical string from the regex groups.
+    The common forms (nearly every feed line) take one regex test and one
+    parse; other accepted shapes go through the general path, which rebuilds a
+    canonical string from the regex groups.
     """
     fast = F.try_to_timestamp(value, F.lit(ISO_FULL_FORMAT)).cast("timestamp_ntz")
     fast = F.when(F.year(fast).between(1, 9999), fast)
-    return F.when(value.rlike(ISO_FULL_PATTERN), fast).otherwise(_parse_iso8601_general(value))
+    # Offsets beyond 18 hours are left to the general path, too.
+    return F.coalesce(F.when(value.rlike(ISO_FULL_PATTERN), fast), _parse_iso8601_general(value))
 
 
 def _parse_iso8601_general(value: Column) -> Column:
