@@ -2,8 +2,8 @@
 
 A token budget goes down a tree of domain, language and source. Each node gets
 its share of its parent's budget by weight; a node that has less (its tokens times
-the number of epochs) takes what it has, and what it leaves is shared among its
-siblings first. Only a parent that cannot spend its budget in all its children
+the number of epochs, where no node of weight 0 lies in between) takes what it has,
+and what it leaves is shared among its siblings first. Only a parent that cannot spend its budget in all its children
 leaves something to its own siblings. At a leaf, every full epoch takes all
 documents once; the last epoch takes the documents in an order seeded by the
 epoch, the longest prefix within the rest of the budget. Budgets are whole
@@ -88,11 +88,16 @@ def _matched(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inn
 
 def budgets(leaves: DataFrame, total: int, weights: dict[str, dict[str, int]], epochs: int, default: int = 1) -> DataFrame:
     """``leaves`` (``domain``, ``language``, ``source``, ``tokens``) with ``given``, their tokens of the mix."""
-    tree = leaves.withColumn("capacity", F.col("tokens") * epochs)
+    weight = {level: _weights(level, weights.get(level, {}), default) for level in LEVELS}
     given = None
     for depth, level in enumerate(LEVELS):
         parents = list(LEVELS[:depth])
-        nodes = tree.groupBy(*parents, level).agg(F.sum("capacity").alias("capacity")).withColumn("weight", _weights(level, weights.get(level, {}), default))
+        # What can be spent: leaves that no node of weight 0 below this one shuts off.
+        usable = F.lit(True)
+        for lower in LEVELS[depth + 1 :]:
+            usable = usable & (weight[lower] > 0)
+        spendable = F.when(usable, F.col("tokens") * epochs).otherwise(F.lit(0))
+        nodes = leaves.groupBy(*parents, level).agg(F.sum(spendable).alias("capacity")).withColumn("weight", weight[level])
         if given is not None:
             nodes = _matched(nodes, given.withColumnRenamed("given", "budget"), parents)
         else:

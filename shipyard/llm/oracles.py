@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+#: Private keys as op8 defines them, from header to END line.
+PEM = (
+    r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----(?:[\x20\r\n]{0,9}[A-Za-z-]{1,20}:\x20[^\r\n]{0,100}){0,5}"
+    r"""([A-Za-z0-9+/=\\"',.\x20\t\r\n]+)-----END [A-Z ]{0,20}PRIVATE KEY-----"""
+)
+
 
 def line_dedup(divisor: int = 3) -> str:
     """op6 by windows over exploded lines."""
@@ -40,9 +46,11 @@ def mixing(weights: dict[str, dict[str, int]], share: tuple[int, int], epochs: i
     def level(name: str, column: str, above: list[str], budget: str) -> str:
         keys = ", ".join([*above, column])
         part = f"PARTITION BY {', '.join(above)}" if above else ""
+        below = ["domain", "lang", "source"][len(above) + 1 :]
+        usable = " AND ".join(f"{_case(c, weights.get({'lang': 'language'}.get(c, c), {}), default)} > 0" for c in below) or "true"
         join = f"JOIN {budget} b ON " + " AND ".join(f"n.{c} IS NOT DISTINCT FROM b.{c}" for c in above) if above else "CROSS JOIN total b"
         return f"""
-{name}_nodes AS (SELECT {keys}, sum(tokens) * {epochs} AS capacity, {_case(column, weights.get({'lang': 'language'}.get(column, column), {}), default)} AS weight FROM leaves GROUP BY {keys}),
+{name}_nodes AS (SELECT {keys}, sum(CASE WHEN {usable} THEN tokens ELSE 0 END) * {epochs} AS capacity, {_case(column, weights.get({'lang': 'language'}.get(column, column), {}), default)} AS weight FROM leaves GROUP BY {keys}),
 {name}_open AS (
   SELECT n.*, b.given AS budget, coalesce(sum(capacity) OVER ({part.replace(', ', ', n.').replace('BY ', 'BY n.')} ORDER BY CAST(capacity AS DOUBLE) / weight, n.{column} NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS taken,
          sum(weight) OVER ({part.replace(', ', ', n.').replace('BY ', 'BY n.')} ORDER BY CAST(capacity AS DOUBLE) / weight, n.{column} NULLS FIRST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest
@@ -86,7 +94,7 @@ def secret_scan() -> str:
         ("hex", 2, r"[0-9a-f]+", 0, 24, True),
         ("service", 3, r"(?:gh[pousr]_|sk-|xox[abprs]-)[A-Za-z0-9-]{20,}", 0, 20, False),
         ("jwt", 4, r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", 0, 30, False),
-        ("pem", 5, r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----", 0, 20, False),
+        ("pem", 5, PEM.replace("'", "''"), 1, 20, False),
         ("mixed", 6, r"[A-Za-z0-9+/]{32,}", 0, 32, False),
     ]
     each = " UNION ALL ".join(
@@ -103,10 +111,12 @@ placed AS (
   SELECT *, sum(length(piece) + length(whole)) OVER (PARTITION BY doc_id, kind ORDER BY k) - length(whole) AS a,
             sum(length(piece) + length(whole)) OVER (PARTITION BY doc_id, kind ORDER BY k) AS b FROM matched),
 found AS (SELECT * FROM placed WHERE length(value) >= least),
-owned AS (SELECT value, count(DISTINCT coalesce(source, '')) AS owners FROM found GROUP BY value),
+owned AS (
+  SELECT value, count(DISTINCT coalesce('=' || source, '')) AS owners,
+         count(DISTINCT coalesce('=' || source, '') || ' ' || concat_ws('/', source, lang)) AS repositories FROM found GROUP BY value),
 judged AS (
   SELECT f.*, CASE WHEN owners <= 1 AND len(list_distinct(str_split(f.value, ''))) >= 8 AND regexp_matches(f.value, '[0-9]')
-      AND regexp_matches(f.value, '[A-Za-z]') THEN 'live' WHEN owners >= 3 THEN 'example' ELSE 'unclear' END AS verdict
+      AND regexp_matches(f.value, '[A-Za-z]') THEN 'live' WHEN owners >= 3 OR owners >= 2 AND repositories >= 4 THEN 'example' ELSE 'unclear' END AS verdict
   FROM found f JOIN owned USING (value)),
 shown AS (
   SELECT * FROM judged j WHERE base OR (verdict = 'live' AND NOT EXISTS (

@@ -1,19 +1,27 @@
 """Secret scans with corpus-wide ownership frequency.
 
-Patterns find candidate secrets with their places in the text. The hash of every
-candidate is then counted over the whole corpus by distinct repositories and
-owners: what many owners hold is a copied example, what one owner holds and looks
-random is a live-looking credential. Base kinds are always reported; kinds that
-would be noise by themselves (long mixed strings, tokens of services, private
-keys) are reported as spans only where ownership says they are live.
-
-The scan writes places and hashes, never a value, to a table that both the
-counting and the report read. Counting is two grouped aggregates (hash and owner,
-then hash), combined before each shuffle, so an example in a third of all
-documents costs a row a task.
-
-Only built-in functions, no Python. A null text counts as empty; a null owner or
-repository counts as one more owner of its own; null ids stay null; repeated rows
+Patterns find candidate secrets in the text. The hash of every candidate is then
+counted over the whole corpus by distinct repositories and owners: what several
+owners hold, each in repositories of their own, is a widely copied example; what one
+owner holds, in however many repositories, and looks random is a live-looking
+credential. Base kinds are always reported; kinds that would be noise by themselves
+(long mixed strings, tokens of services, private keys) are reported as spans only
+where ownership says they are live.
+
+A secret is an example if at least ``EXAMPLE_OWNERS`` owners hold it, or
+``COPIED_OWNERS`` in at least ``COPIED_REPOSITORIES`` repositories together; a
+repository counts once for each owner that it is named with.
+
+The scan writes one row per match, lengths and hashes, never a value, to a table that
+counting and report both read. Places are running sums of the lengths of a text's
+matches, so work grows with their number. Counting is two grouped aggregates (hash
+and owner, then hash), combined before each shuffle, so an example in a third of all
+documents costs a row a task; the counts come back to the matches by hash and one of
+``SALTS`` numbers. What lies under a base span is told by the furthest end before it
+and the next start behind it, in one ordered pass.
+
+Only built-in functions, no Python. A null text counts as empty; a null owner counts
+as one more owner of its own, as does an empty one; null ids stay null; repeated rows
 are reported each; an empty table gives an empty table.
 """
 
@@ -21,7 +29,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shipyard.llm.common import written
@@ -62,29 +70,38 @@ KINDS = (
 #: Owners up to which a secret counts as somebody's own, and from which on as an example.
 OWN_OWNERS = 1
 EXAMPLE_OWNERS = 3
+#: Fewer owners make an example if they hold it in so many repositories.
+COPIED_OWNERS, COPIED_REPOSITORIES = 2, 4
+#: Parts in which the matches of one hash meet its counts.
+SALTS = 16
+
+MATCH = "array<struct<k:int,rank:int,skipped:int,size:int,hash:string,random:boolean>>"
 
 
 def _found(text: Column, rank: int, kind: Kind) -> Column:
-    """All matches of a kind: array of (start, rank, end, value), ends exclusive, in code points."""
+    """All matches of a kind in order: array of (k, rank, characters since the match
+    before, characters, hash and look of the value, both null for a short one)."""
 
-    def places(pieces: Column) -> Column:
+    def matches(pieces: Column) -> Column:
         whole = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
         value = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(kind.group)) if kind.group else whole
         zipped = F.arrays_zip(F.slice(pieces, 1, F.size(pieces) - 1).alias("piece"), whole.alias("whole"), value.alias("value"))
-        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,rank:int,end:int,value:string>>").alias("out"))
 
-        def step(state: Column, x: Column) -> Column:
-            begin = state["at"] + F.length(x["piece"])
-            end = begin + F.length(x["whole"])
-            one = F.struct(begin.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), x["value"].alias("value"))
-            keep = F.when(F.length(x["value"]) >= kind.least, F.array(one)).otherwise(F.array().cast("array<struct<start:int,rank:int,end:int,value:string>>"))
-            return F.struct(end.alias("at"), F.concat(state["out"], keep).alias("out"))
+        def one(x: Column, k: Column) -> Column:
+            counts = F.length(x["value"]) >= kind.least
+            return F.struct(
+                k.cast("int").alias("k"),
+                F.lit(rank).alias("rank"),
+                F.length(x["piece"]).alias("skipped"),
+                F.length(x["whole"]).alias("size"),
+                F.when(counts, F.sha2(x["value"], 256)).alias("hash"),
+                F.when(counts, _random_looking(x["value"])).alias("random"),
+            )
 
-        return F.aggregate(zipped, start, step, lambda s: s["out"])
+        return F.transform(zipped, one).cast(MATCH)
 
-    empty = F.array().cast("array<struct<start:int,rank:int,end:int,value:string>>")
-    split = F.element_at(F.transform(F.array(F.split(text, kind.pattern, -1)), places), 1)
-    return F.when(text.rlike(kind.pattern), split).otherwise(empty)
+    split = F.element_at(F.transform(F.array(F.split(text, kind.pattern, -1)), matches), 1)
+    return F.when(text.rlike(kind.pattern), split).otherwise(F.array().cast(MATCH))
 
 
 def _random_looking(value: Column) -> Column:
@@ -93,26 +110,20 @@ def _random_looking(value: Column) -> Column:
 
 
 def candidates(docs: DataFrame, owner: Column, repository: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: ``row``, id, ``owner``, ``repository`` and ``found``
-    (start, rank, end, hash of the value, whether it looks random)."""
+    """One row per match, and one without for a document that has none: ``row``, id,
+    ``owner``, ``repository`` and the fields of ``_found``."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     every = F.concat(*[_found(text, k, kind) for k, kind in enumerate(KINDS)])
-    hashed = F.transform(
-        every,
-        lambda x: F.struct(x["start"], x["rank"], x["end"], F.sha2(x["value"], 256).alias("hash"), _random_looking(x["value"]).alias("random")),
-    )
-    return docs.select(
-        F.monotonically_increasing_id().alias("row"),
-        F.col(id_col).alias("id"),
-        F.coalesce(owner.cast("string"), F.lit("")).alias("owner"),
-        F.coalesce(repository.cast("string"), F.lit("")).alias("repository"),
-        hashed.alias("found"),
-    )
+    # A null owner differs from the empty one.
+    named = F.coalesce(F.concat(F.lit("="), owner.cast("string")), F.lit(""))
+    in_ = F.coalesce(F.concat(F.lit("="), repository.cast("string")), F.lit(""))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), named.alias("owner"), in_.alias("repository"), every.alias("found"))
+    return rows.select("row", "id", "owner", "repository", F.explode_outer("found").alias("x")).select("row", "id", "owner", "repository", "x.*")
 
 
 def ownership(found: DataFrame) -> DataFrame:
     """Per hash the distinct owners and repositories that hold it, over the whole corpus."""
-    each = found.select("owner", "repository", F.explode("found").alias("x")).select(F.col("x.hash").alias("hash"), "owner", "repository")
+    each = found.where("hash IS NOT NULL").select("hash", "owner", "repository")
     by_owner = each.distinct().groupBy("hash", "owner").agg(F.count("*").alias("repositories"))
     return by_owner.groupBy("hash").agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories"))
 
@@ -121,22 +132,35 @@ def scan(
     docs: DataFrame, owner: Column, repository: Column, id_col: str = "doc_id", text_col: str = "text", own: int = OWN_OWNERS, example: int = EXAMPLE_OWNERS
 ) -> DataFrame:
     """One row per document: its id and ``spans``, an array by start and kind of
-    (start, rank, end, kind, base, owners, repositories, verdict). A verdict is
-    ``live`` (at most ``own`` owners, random-looking), ``example`` (at least
-    ``example`` owners) or ``unclear``; spans of kinds that are not base come only
-    as ``live`` and outside of base spans."""
+    (start, rank, end, kind, base, owners, repositories, verdict), ends exclusive, in
+    code points. A verdict is ``live`` (at most ``own`` owners, random-looking),
+    ``example`` (at least ``example`` owners, or fewer with many repositories) or
+    ``unclear``; spans of kinds that are not base come only as ``live`` and outside of
+    base spans."""
     found = written(candidates(docs, owner, repository, id_col, text_col), "secrets")
-    each = found.select("row", "id", F.explode_outer("found").alias("x")).select("row", "id", "x.*")
-    held = each.join(ownership(found), "hash", "left")
-    verdict = F.when((F.col("owners") <= own) & F.col("random"), "live").when(F.col("owners") >= example, "example").otherwise("unclear")
     names, bases = F.array(*[F.lit(k.name) for k in KINDS]), F.array(*[F.lit(k.base) for k in KINDS])
-    span = F.struct("start", "rank", "end", F.get(names, F.col("rank")).alias("kind"), F.get(bases, F.col("rank")).alias("base"), "owners", "repositories", verdict.alias("verdict"))
-    ordered = F.sort_array(F.collect_list(F.when(F.col("start").isNotNull(), span)))
-    rows = held.groupBy("row", "id").agg(ordered.alias("every"))
-    rows = rows.withColumn("sure", F.filter("every", lambda x: x["base"]))
-    covered = lambda x: F.exists("sure", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
-    spans = F.filter("every", lambda x: x["base"] | ((x["verdict"] == "live") & ~covered(x)))
-    return rows.select(F.col("id").alias(id_col), spans.alias("spans"))
+    upto = Window.partitionBy("row", "rank").orderBy("k")
+    placed = found.withColumn("end", F.sum(F.col("skipped") + F.col("size")).over(upto).cast("int"))
+    placed = placed.where("hash IS NOT NULL").select(
+        "row", "rank", (F.col("end") - F.col("size")).alias("start"), "end", "hash", "random",
+        F.get(names, F.col("rank")).alias("kind"), F.get(bases, F.col("rank")).alias("base"),
+    )
+    salted = ownership(found).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    held = placed.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int")).join(salted, ["hash", "salt"])
+    widely = (F.col("owners") >= example) | ((F.col("owners") >= COPIED_OWNERS) & (F.col("repositories") >= COPIED_REPOSITORIES))
+    held = held.withColumn("verdict", F.when((F.col("owners") <= own) & F.col("random"), "live").when(widely, "example").otherwise("unclear"))
+
+    by_start = Window.partitionBy("row").orderBy("start")
+    before = by_start.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    behind = by_start.rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    held = held.withColumns({"_end": F.max(F.when(F.col("base"), F.col("end"))).over(before), "_next": F.min(F.when(F.col("base"), F.col("start"))).over(behind)})
+    covered = (F.coalesce("_end", F.lit(-1)) > F.col("start")) | (F.coalesce("_next", F.col("end")) < F.col("end"))
+    shown = held.where(F.col("base") | ((F.col("verdict") == "live") & ~covered))
+    span = F.struct("start", "rank", "end", "kind", "base", "owners", "repositories", "verdict")
+    spans = shown.groupBy("row").agg(F.sort_array(F.collect_list(span)).alias("spans"))
+    # Every document has a first row: a match of some kind, or none at all.
+    rows = found.groupBy("row").agg(F.first("id").alias("id"))
+    return rows.join(spans, "row", "left").select(F.col("id").alias(id_col), F.coalesce("spans", F.array().cast(spans.schema["spans"].dataType)).alias("spans"))
 
 
 def spans_text(spans: Column) -> Column:

@@ -34,7 +34,9 @@ def plan(leaves, total, epochs, default=1):
         groups = {}
         for key, tokens in rows:
             groups.setdefault(key[level], []).append((key, tokens))
-        nodes = [(k, sum(t for _, t in g) * epochs, WEIGHTS[name].get(k, default)) for k, g in groups.items()]
+        # A node can spend what its leaves hold, unless a weight of 0 lies between it and the leaf.
+        open_ = lambda key: all(WEIGHTS[n].get(key[i], default) for i, n in enumerate(("domain", "language", "source")) if i > level)
+        nodes = [(k, sum(t for key, t in g if open_(key)) * epochs, WEIGHTS[name].get(k, default)) for k, g in groups.items()]
         out = {}
         for k, given in fill(budget, nodes).items():
             out |= down(level + 1, groups[k], given)
@@ -54,6 +56,11 @@ def test_budgets_by_brute_force(spark):
             assert sum(got.values()) <= total
 
 
+def test_nothing_is_left_to_a_node_below_which_all_weighs_nothing(spark):
+    df = spark.createDataFrame([("a", "en", "s3", 100), ("a", "en", "s1", 10), ("b", "en", "s2", 300)], "domain string, language string, source string, tokens long")
+    assert {r["source"]: r["given"] for r in budgets(df, 200, WEIGHTS, 1).collect()} == {"s1": 10, "s2": 190}
+
+
 def words(text):
     return len((text or "").encode().split())
 
