@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, BooleanType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, FloatType, IntegerType, LongType, StructField, StructType
 
 from shipyard.llm.common import ready, written
 from shipyard.llm.graph import components
@@ -68,12 +68,10 @@ def block_columns(size: int, blocks: int) -> list[slice]:
     return [slice(a, b) for a, b in zip(cuts[:-1], cuts[1:], strict=True) if b > a]
 
 
-def _vectors(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    """Rows of equal length as doubles."""
-    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    if isinstance(column, pa.ChunkedArray):
-        column = pa.concat_arrays(column.chunks)
-    return np.frombuffer(b"".join(column.to_pylist()), np.float32 if column.type == pa.binary() else np.float64).reshape(len(column), -1).astype(np.float64)
+def _vectors(column: pa.ChunkedArray | pa.Array, size: int) -> np.ndarray:
+    """Rows of ``size`` floats or doubles each, as doubles."""
+    raw = b"".join(column.to_pylist())
+    return np.frombuffer(raw, np.float64 if len(raw) == 8 * size * len(column) else np.float32).reshape(len(column), -1).astype(np.float64)
 
 
 class Members:
@@ -81,7 +79,7 @@ class Members:
         self.node = rows["node"].to_numpy()
         self.n = rows["n"].to_numpy()
         self.home = rows["home"].to_numpy(zero_copy_only=False) if isinstance(rows["home"], pa.Array) else rows["home"].combine_chunks().to_numpy(zero_copy_only=False)
-        raw = _vectors(rows["v"])
+        raw = _vectors(rows["v"], rows["size"][0].as_py() if len(rows) else 1)
         self.unit = unit_rows(raw)
         self.turned = rotated(self.unit)
         self.parts = block_columns(self.turned.shape[1], blocks)
@@ -135,7 +133,9 @@ def near_duplicates(vectors: DataFrame, limit: float = 0.95, blocks: int = BLOCK
     """One row per vector: its id, ``n_links`` (other vectors with a cosine of at
     least ``limit``), ``component_id`` (smallest id reached) and ``kept``."""
     ready(vectors.sparkSession)
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<float>").alias("v"))
+    # Floats stay floats, which are doubles of fewer bytes; all else is compared as doubles.
+    single = vectors.schema[vector_col].dataType == ArrayType(FloatType(), vectors.schema[vector_col].dataType.containsNull)
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<float>" if single else "array<double>").alias("v"))
     fine = F.col("id").isNotNull() & F.col("v").isNotNull() & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
     rows = rows.withColumn("part", F.coalesce(fine, F.lit(False)))
     grouped = rows.where("part").groupBy("v").agg(F.min("id").alias("least"), F.count("*").alias("n"))
@@ -180,7 +180,7 @@ def _links(classes: DataFrame, limit: float, blocks: int) -> DataFrame:
                 raw = values[starts[pick][:, None] + np.arange(d)]
                 turned = rotated(unit_rows(raw.astype(np.float64)))
                 names, weights = node.take(pa.array(pick)), n.take(pa.array(pick))
-                blob = pa.array([x.tobytes() for x in raw.astype(np.float32)], pa.binary())
+                blob = pa.array([x.tobytes() for x in raw], pa.binary())
                 for b, part in enumerate(block_columns(turned.shape[1], blocks)):
                     width = np.sqrt(whole * (part.stop - part.start) / turned.shape[1]) + SLACK
                     cell = np.floor(turned[:, part.start] / width).astype(np.int32)

@@ -152,6 +152,18 @@ SELECT m.vec_id, (SELECT count(*) FROM links l WHERE l.a = m.vec_id) AS n_links,
 FROM least m"""
 
 
+def embedding_copies() -> str:
+    """``embedding_dedup`` over the vectors and their copies."""
+    many = """
+WITH RECURSIVE source AS (SELECT vec_id AS id, embedding AS e, len(embedding) AS size FROM embeddings),
+many AS (
+  SELECT id * 3 AS vec_id, e AS embedding FROM source
+  UNION ALL SELECT id * 3 + 1, list_transform(e, lambda x, i: CAST(CASE WHEN i - 1 = id % size THEN -x ELSE x END AS FLOAT)) FROM source
+  UNION ALL SELECT id * 3 + 2, list_transform(e, lambda x, i: CAST(CASE WHEN (i - 1) * 2 < size THEN x * 2 ELSE x END AS FLOAT)) FROM source),
+"""
+    return many + embedding_dedup().replace("FROM embeddings", "FROM many").replace("\nWITH RECURSIVE ", "", 1)
+
+
 def substring_dedup(width: int = 13) -> str:
     """op3 over all windows as text."""
     return f"""

@@ -57,6 +57,16 @@ def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_vectors(table(spark, sf_dir, "embeddings"), limit=0.95)
 
 
+def embedding_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links among all ``embeddings`` and, of each, a copy with one component turned
+    about its sign and one whose first half is scaled, so that there are links."""
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("own_id"), "embedding", (F.col("vec_id") % F.size("embedding")).alias("at"))
+    turned = F.transform("embedding", lambda x, i: F.when(i == F.col("at"), -x).otherwise(x).cast("float"))
+    scaled = F.transform("embedding", lambda x, i: F.when(i * 2 < F.size("embedding"), x * F.lit(2.0)).otherwise(x).cast("float"))
+    copies = [rows.select((F.col("own_id") * 3 + k).alias("vec_id"), v.alias("embedding")) for k, v in enumerate((F.col("embedding"), turned, scaled))]
+    return near_duplicate_vectors(copies[0].unionByName(copies[1]).unionByName(copies[2]), limit=0.95)
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without passages of 13 words that an earlier one has."""
     found = remove_repeats(table(spark, sf_dir, "documents"), width=13)
@@ -146,6 +156,7 @@ def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
+    "embedding_near_copies": embedding_near_copies,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_mixing": op4_mixing,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
@@ -161,6 +172,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op2_embedding_near_dedup": oracles.embedding_dedup(),
+    "embedding_near_copies": oracles.embedding_copies(),
     "op3_substring_dedup": oracles.substring_dedup(),
     "op4_mixing": oracles.mixing(MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS, MIX_SEED, MIX_DEFAULT),
     "op6_line_dedup": oracles.line_dedup(),

@@ -54,6 +54,17 @@ def test_near_duplicates_by_brute_force(spark, monkeypatch, d, chunk):
     assert got == want
 
 
+def test_doubles_are_compared_as_doubles(spark):
+    """Cosines a billionth above and below the limit, which floats cannot tell apart."""
+    rows = [(2 * k + j, v) for k, (c, s) in enumerate([(0.95 + 1e-9, 1), (0.95 - 1e-9, -1)]) for j, v in enumerate([[1.0, 0.0], [c, s * float(np.sqrt(1 - c * c))]])]
+    rows = [(i, [x * (1 if i < 2 else -1) for x in v]) for i, v in rows]
+    found = links(rows, 0.95)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in near_duplicates(df).collect()}
+    assert [(rows[a][0], rows[b][0]) for a, b in found] == [(0, 1)]
+    assert got == {0: (1, 0), 1: (1, 0), 2: (0, 2), 3: (0, 3)}
+
+
 def test_empty_vectors(spark):
     assert near_duplicates(frame(spark, [])).count() == 0
     assert top_k(frame(spark, []), top_k_queries()).count() == 0
