@@ -1,10 +1,13 @@
 """Exact top-k inner products over norm-sorted vectors.
 
-Vectors are ordered by descending length and cut into blocks of bounded size; the
-queries are cut into blocks too. First every query meets the block of the longest
-vectors, which gives it a score that its k-th result cannot fall below. Then it
-meets only blocks whose longest vector can reach that score (Cauchy-Schwarz), and
-within a block goes on in descending length while that holds. There the vectors
+Vectors are ordered by descending length and cut into blocks of bounded size. A
+histogram of the lengths, 256 steps for each doubling, gives the ranges: steps that
+hold little share one, a step that holds much is dealt to more blocks by hash. First
+every query meets one block of the longest vectors, which gives it a score that its
+k-th result cannot fall below, so a length below which no candidate can reach it
+(Cauchy-Schwarz). Queries are grouped by that length, and a candidate is copied only
+to the groups that it can reach. Within a block the search goes on in descending
+length while that holds. There the vectors
 are rotated by the singular vectors of the whole table: the partial sum over the
 leading coordinates plus the product of the residual lengths bounds a score from
 above, and only vectors whose bound reaches the current k-th score are scored,
@@ -31,10 +34,12 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, St
 
 from shipyard.llm.common import ready, written
 
-#: Rows of a block of candidates and of queries.
-CANDIDATES, QUERIES = 16_384, 2048
-#: Ranges of length at most, whatever the number of rows; a longer range is dealt to more blocks.
-RANGES = 4096
+#: Bytes of a block of candidates, and queries to a block: both stand in one task.
+BLOCK_BYTES, QUERIES = 8 << 20, 4096
+#: Steps of the histogram of lengths for each doubling.
+STEPS = 256
+#: The step of a length of 0, below all others.
+LOWEST = -(1 << 30)
 #: Vectors scored between two looks at the bounds.
 STEP = 1024
 #: Leading share of the rotated coordinates in a partial sum.
@@ -74,6 +79,31 @@ def rotations(rows: DataFrame) -> dict[int, np.ndarray]:
     return {d: np.linalg.eigh(m)[1][:, ::-1] for d, m in out.items()}
 
 
+def step_of(norm: Column) -> Column:
+    """The step of a length in the histogram; longer vectors have higher steps."""
+    return F.when(norm > 0, F.floor(F.log2(norm) * STEPS).cast("int")).otherwise(LOWEST)
+
+
+def length_ranges(rows: DataFrame, per: int) -> DataFrame:
+    """``step``, its ``range`` (ascending as lengths fall; 0 holds the longest) and the
+    ``parts`` that the range is dealt to, of about ``per`` rows each."""
+    steps = rows.groupBy("step").agg(F.count("*").alias("n"))
+    above = F.sum("n").over(Window.orderBy(F.desc("step"))) - F.col("n")
+    ranged = steps.withColumn("range", F.floor(above / per))
+    parts = F.greatest(F.lit(1), F.round(F.sum("n").over(Window.partitionBy("range")) / per).cast("int"))
+    return ranged.withColumn("parts", parts).select("step", "range", "parts")
+
+
+def reaches(needs: DataFrame, steps: DataFrame) -> DataFrame:
+    """For each ``need`` (a step) with ``n`` queries: ``reach``, the last range that holds a
+    step not below it, and ``before``, the queries with a higher need."""
+    listed = steps.select(F.col("step").alias("need"), F.lit(0).cast("long").alias("n"), "range")
+    listed = listed.unionByName(needs.select("need", "n", F.lit(None).cast("long").alias("range")))
+    order = Window.orderBy(F.desc("need"), F.col("n"), F.col("range").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
+    found = listed.withColumns({"reach": F.coalesce(F.max("range").over(order), F.lit(0).cast("long")), "before": F.sum("n").over(order) - F.col("n")})
+    return found.where("range IS NULL").select("need", "n", "reach", "before")
+
+
 def by_length(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(length, row numbers, matrix) for each vector length of a list column."""
     column = pa.concat_arrays(column.chunks) if isinstance(column, pa.ChunkedArray) else column
@@ -150,24 +180,14 @@ def top_k(
     """The ``k`` best candidates of each row for which ``queries`` holds:
     ``query_id``, ``rank`` (from 1), ``id_col``, ``score``."""
     ready(vectors.sparkSession)
-    rows = whole_vectors(vectors, scale, id_col, vector_col)
+    rows = whole_vectors(vectors, scale, id_col, vector_col).withColumn("step", step_of(F.col("norm")))
     turns = rotations(rows)
-    total = rows.count()
-    blocks = min(RANGES, max(1, -(-total // CANDIDATES)))
-    # Ranges of descending length; a range that one length overfills is dealt by hash.
-    edges = sorted(set(rows.approxQuantile("norm", [i / blocks for i in range(1, blocks)], 0.01 / blocks))) if blocks > 1 else []
-    at = F.lit(0)
-    if edges:
-        at = F.size(F.filter(F.array(*[F.lit(float(e)) for e in edges]), lambda e: e > F.col("norm")))
-    placed = rows.withColumn("range", at)
-    sizes = placed.groupBy("range").agg(F.ceil(F.count("*") / CANDIDATES).cast("int").alias("parts"), F.max("norm").alias("longest"))
-    sizes = written(sizes, "topk-ranges")
-    candidates = placed.join(sizes, "range").withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts")).cast("int"))
-    asked = rows.where(queries).toDF(*rows.columns)  # columns of its own: it meets ``rows`` again
+    widest = rows.agg(F.max("d")).first()[0] or 1
+    steps = written(length_ranges(rows, max(1, BLOCK_BYTES // (8 * widest))), "topk-steps")
+    # At most as many rows as there are steps, whatever the number of vectors.
+    candidates = rows.join(steps.select("step", "range", "parts"), "step").withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts")).cast("int"))
+    asked = rows.where(queries).toDF(*rows.columns).drop("step")  # columns of its own: it meets ``rows`` again
     groups = max(1, -(-asked.count() // QUERIES))
-    asked = asked.withColumn("group", F.pmod(F.xxhash64("row"), F.lit(groups)).cast("int"))
-    candidates = candidates.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-
     schema = StructType([StructField("query", LongType()), StructField("query_id", LongType()), StructField("id", LongType()), StructField("row", LongType()), StructField("score", LongType())])
 
     def search(q: pa.Table, c: pa.Table) -> pa.Table:
@@ -189,21 +209,26 @@ def top_k(
         left = queries.select(*key, "row", "id", "v", "norm", "floor").groupBy(*key)
         return left.cogroup(some.select(*key, "row", "id", "v", "norm").groupBy(*key)).applyInArrow(search, schema)
 
-    def spread(queries: DataFrame) -> DataFrame:
-        return queries.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-
-    head = sizes.agg(F.min("range")).first()[0] or 0
-    ranges = [r.asDict() for r in sizes.orderBy("range").collect()]  # at most RANGES
-    listed = F.array(*[F.struct(F.lit(r["range"]).alias("range"), F.lit(r["parts"]).alias("parts"), F.lit(r["longest"]).alias("longest")) for r in ranges])
-    none = F.lit(float("-inf"))
-    if not ranges:
-        return rows.select(F.col("id").alias("query_id"), F.lit(1).alias("rank"), F.col("id").alias(id_col), F.lit(0).cast("long").alias("score"))
-    tasks = asked.withColumn("r", F.explode(listed)).select("group", "row", "id", "v", "norm", "r.*")
-    first = written(met(spread(tasks.where(F.col("range") == head).withColumn("floor", none)), candidates.where(F.col("range") == head)), "topk-first")
+    def is_head(yes: bool) -> Column:
+        return (F.col("range") == 0) & (F.col("part") == 0) if yes else (F.col("range") > 0) | (F.col("part") > 0)
+
+    dealt = asked.withColumn("group", F.pmod(F.xxhash64("row"), F.lit(groups)).cast("long"))
+    dealt = dealt.withColumns({"range": F.lit(0).cast("long"), "part": F.lit(0), "floor": F.lit(float("-inf"))})
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long")))
+    first = written(met(dealt, candidates.where(is_head(True)).withColumn("group", every)), "topk-first")
     ranked = Window.partitionBy("query").orderBy(F.desc("score"), "id", "row")
     floors = first.withColumn("n", F.row_number().over(ranked)).where(F.col("n") == k).select(F.col("query").alias("row"), F.col("score").cast("double").alias("floor"))
-    later = tasks.where(F.col("range") != head).join(floors, "row", "left").withColumn("floor", F.coalesce("floor", none))
-    later = later.where(F.col("norm") * F.col("longest") * (1 + 1e-9) + 1e-9 >= F.col("floor"))
-    second = met(spread(later), candidates.where(F.col("range") != head))
+    later = asked.join(floors, "row", "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
+    # The length that a candidate needs; one step less covers rounding.
+    needed = F.when((F.col("norm") > 0) & (F.col("floor") > 1), step_of((F.col("floor") - 1e-6) / F.col("norm")) - 1)
+    later = written(later.withColumn("need", F.coalesce(needed, F.lit(LOWEST))), "topk-floors")
+    reach = written(reaches(later.groupBy("need").agg(F.count("*").alias("n")), steps), "topk-reach")
+    later = later.join(reach, "need").withColumn("group", F.floor((F.col("before") + F.pmod(F.xxhash64("row"), F.col("n"))) / QUERIES))
+    reached = later.groupBy("group").agg(F.max("reach").alias("reach"))
+    pairs = written(reached.withColumn("range", F.explode(F.sequence(F.lit(0).cast("long"), "reach"))).select("group", "range"), "topk-pairs")
+    parts = steps.select("range", "parts").distinct()
+    asking = later.withColumn("range", F.explode(F.sequence(F.lit(0).cast("long"), "reach"))).join(parts, "range")
+    asking = asking.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    second = met(asking.where(is_head(False)), candidates.where(is_head(False)).join(pairs, "range"))
     best = first.unionByName(second).withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k)
     return best.select("query_id", "rank", F.col("id").alias(id_col), "score")

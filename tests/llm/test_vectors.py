@@ -85,7 +85,7 @@ def test_rotation_keeps_distances():
 
 @pytest.mark.parametrize("block", [16_384, 40])
 def test_top_k_by_brute_force(spark, monkeypatch, block):
-    monkeypatch.setattr(topk, "CANDIDATES", block)
+    monkeypatch.setattr(topk, "BLOCK_BYTES", 8 * 16 * block)
     monkeypatch.setattr(topk, "QUERIES", 13 if block < 100 else 2048)
     monkeypatch.setattr(topk, "STEP", 16)
     rows = planted(seed=block) + [(2000 + i, [0.5] * 16) for i in range(90)] + AWKWARD
@@ -105,3 +105,25 @@ def test_top_k_of_an_empty_vector(spark):
     rows = [(7, []), (14, [1.0, 2.0]), (20, []), (21, [3.0, 1.0])]
     got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in top_k(frame(spark, rows), top_k_queries()).collect())
     assert got == [(7, 1, 20, 0), (14, 1, 21, 5 * 64 * 64), (21, 1, 14, 5 * 64 * 64)]
+
+
+def test_candidates_reach_few_groups(spark, monkeypatch):
+    """Where lengths differ, a candidate goes only to the query groups that it can reach."""
+    rng = np.random.default_rng(5)
+    rows = [(i, (rng.normal(size=8) * 2.0 ** (i % 12)).astype(np.float32).tolist()) for i in range(600)]
+    monkeypatch.setattr(topk, "BLOCK_BYTES", 8 * 8 * 64)
+    monkeypatch.setattr(topk, "QUERIES", 10)
+    sent = []
+    plain = topk.reaches
+    monkeypatch.setattr(topk, "reaches", lambda needs, steps: sent.append((plain(needs, steps).collect(), steps.collect())) or plain(needs, steps))
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in top_k(frame(spark, rows), top_k_queries()).collect())
+    whole = {i: np.floor(64 * np.array(v, np.float64)).astype(np.int64) for i, v in rows}
+    want = []
+    for q in range(0, 600, 7):
+        best = sorted((-int(whole[q] @ c), j) for j, c in whole.items() if j != q)[:20]
+        want += [(q, r + 1, j, -s) for r, (s, j) in enumerate(best)]
+    assert got == sorted(want)
+    needs, steps = sent[0]
+    last = max(r["range"] for r in steps)
+    assert last >= 7 and sum(r["n"] for r in needs) == 86
+    assert sum(r["n"] * (r["reach"] + 1) for r in needs) < 0.5 * 86 * (last + 1)
