@@ -38,8 +38,8 @@ from shipyard.llm.graph import components
 from shipyard.llm.simhash import _forest
 
 BLOCKS = 4
-#: Vectors of a chunk; a task holds two.
-CHUNK = 32_768
+#: Numbers in the vectors of a chunk (32,768 vectors of 64); a task holds two chunks.
+CHUNK_NUMBERS = 32_768 * 64
 TILE = 2048
 SLACK = 1e-5
 
@@ -193,7 +193,7 @@ def _links(classes: DataFrame, limit: float, blocks: int) -> DataFrame:
     cells = classes.select("node", "n", "v").mapInArrow(to_cells, cell_schema)
     key = ["size", "block", "cell"]
     # A cell's number of chunks; cells are at most the blocks times the cells across a unit ball.
-    chunks = cells.groupBy(*key).agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"), F.max("home").alias("used")).where("used")
+    chunks = cells.groupBy(*key).agg(F.ceil(F.count("*") * F.col("size") / CHUNK_NUMBERS).cast("int").alias("chunks"), F.max("home").alias("used")).where("used")
     dealt = cells.join(chunks, key).withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     dealt = dealt.select(*key, F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), (F.col("own") > F.col("other")).alias("second"), "home", "node", "n", "v")

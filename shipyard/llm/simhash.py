@@ -7,7 +7,10 @@ Manhattan distance ``d`` there, so a range join on the integer grid of these
 vectors finds every pair. Each class stands in its own cell and visits the cells
 within the distance in one half of the directions; cells compare the full
 fingerprints bit by bit, in blocks, and hand on only a spanning forest of the
-links they find. Components of that forest are the groups.
+links they find. Components of that forest are the groups. A cell with many owners
+is cut into chunks, each two of which are a group of their own, and guests stream
+past the owners, so a task's memory is bounded. Fingerprints without structure
+fill the central cells in proportion, so comparisons there grow with the square.
 
 Work and rows grow with the number of different fingerprints times the fixed
 number of visited cells; copies cost one row each. No pair of documents is ever
@@ -40,6 +43,12 @@ SEGMENTS = 5
 BASE = 64
 #: Classes compared at once within a cell.
 BLOCK = 2048
+#: Owners of a cell that one task compares; a fuller cell is cut into chunks.
+OWNERS = 65_536
+#: Rows that a task holds before it compares them; the guests of one cell may come in several such pieces.
+PIECE = 1 << 18
+#: A cell's chunks are numbered in this base.
+CHUNKS = 1 << 15
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
@@ -139,13 +148,13 @@ def _roots(label: np.ndarray, x: np.ndarray) -> np.ndarray:
         r = up
 
 
-def _cell_links(home: np.ndarray, guests: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of the links home-home and home-guest of one cell."""
+def _cell_links(home: np.ndarray, guests: np.ndarray, distance: int, inner: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the links home-guest of one cell and, if ``inner``, home-home."""
     every = np.r_[home, guests]
     label = np.arange(len(every))
     out_a, out_b = [], []
     for i in range(0, len(home), BLOCK):
-        for j in range(i, len(every), BLOCK):
+        for j in range(i if inner else len(home), len(every), BLOCK):
             near = np.bitwise_count(home[i : i + BLOCK, None] ^ every[None, j : j + BLOCK]) <= distance
             x, y = np.nonzero(near)
             x, y = x + i, y + j
@@ -165,47 +174,65 @@ def near_links(classes: DataFrame, distance: int = 3, segments: int = SEGMENTS)
     for k, mask in enumerate(segments_of(segments)):
         home = home + F.bit_count(F.col("fp").bitwiseAND(F.lit(_signed(mask)).cast("long"))).cast("long") * F.lit(BASE**k)
     steps = F.array(*[F.lit(s).cast("long") for s in steps_within(distance, segments)])
-    cells = classes.select("fp", home.alias("home"), F.explode(steps).alias("step")).select(
-        (F.col("home") + F.col("step")).alias("cell"), (F.col("step") != 0).alias("guest"), "fp"
-    )
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Many rows come of each class, so the classes are spread before that.
+    cells = classes.select("fp", home.alias("home")).repartition(partitions, "fp").select("fp", "home", F.explode(steps).alias("step"))
+    cells = cells.select((F.col("home") + F.col("step")).alias("cell"), (F.col("step") != 0).alias("guest"), "fp")
+    # A full cell's owners are cut into chunks: each two chunks meet, and all guests meet each chunk.
+    full = classes.groupBy(home.alias("cell")).agg(F.ceil(F.count("*") / OWNERS).cast("int").alias("chunks")).where("chunks > 1")
+    full = written(full.withColumn("chunks", F.least("chunks", F.lit(CHUNKS))), "simhash-full")
+    cut = cells.join(full, "cell").withColumn("own", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int"))
+    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    own = F.when(F.col("guest"), F.col("other")).otherwise(F.col("own"))
+    pair = F.least(own, "other") * F.lit(CHUNKS).cast("long") + F.greatest(own, "other")
+    cut = cut.select("cell", pair.alias("pair"), (F.col("guest") | (own > F.col("other"))).alias("guest"), "fp")
+    rest = cells.join(full, "cell", "left_anti").select("cell", F.lit(0).cast("long").alias("pair"), "guest", "fp")
     schema = StructType([StructField("u", LongType()), StructField("v", LongType())])
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Rows come sorted by cell, its own classes first; a cell may go over several batches.
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        # Rows come sorted by cell and pair, owners first; a group may go over several batches.
+        held: list[tuple[np.ndarray, ...]] = []
+
+        def bounds(cell: np.ndarray, pair: np.ndarray) -> np.ndarray:
+            return np.r_[0, np.flatnonzero((cell[1:] != cell[:-1]) | (pair[1:] != pair[:-1])) + 1, len(cell)]
 
-        def links(rows: tuple[np.ndarray, np.ndarray, np.ndarray]) -> Iterator[pa.RecordBatch]:
-            cell, guest, fp = rows
-            cuts = np.r_[np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]]), len(cell)]
+        def links(rows: tuple[np.ndarray, ...], again: bool) -> Iterator[pa.RecordBatch]:
+            cell, pair, guest, fp = rows
             owned = np.r_[0, np.cumsum(~guest)]
             found = []
-            for a, b in itertools.pairwise(cuts.tolist()):
+            for a, b in itertools.pairwise(bounds(cell, pair).tolist() if len(cell) else []):
                 own = int(owned[b] - owned[a])
                 if own and b - a > 1:
-                    u, v = _cell_links(fp[a : a + own], fp[a + own : b], distance)
+                    one, other = divmod(int(pair[a]), CHUNKS)
+                    u, v = _cell_links(fp[a : a + own], fp[a + own : b], distance, one == other and not (again and a == 0))
                     if len(u):
                         found.append((u, v))
             if found:
                 u, v = (np.concatenate(x).view(np.int64) for x in zip(*found, strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=schema.names)
 
-        size = 0
+        size, again = 0, False  # again: the owners of the first group have met each other
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = tuple(batch.column(k).to_numpy(zero_copy_only=False) for k in range(3))
-            held.append((rows[0], rows[1], rows[2].view(np.uint64)))
+            rows = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(4)]
+            held.append((*rows[:3], rows[3].view(np.uint64)))
             size += batch.num_rows
-            if size >= 1 << 17 and rows[0][-1] != held[0][0][0]:
-                cell, guest, fp = (np.concatenate(x) for x in zip(*held, strict=True))
-                cut = int(np.searchsorted(cell, cell[-1]))
-                yield from links((cell[:cut], guest[:cut], fp[:cut]))
-                held, size = [(cell[cut:], guest[cut:], fp[cut:])], len(cell) - cut
+            if size < PIECE:
+                continue
+            whole = tuple(np.concatenate(x) for x in zip(*held, strict=True))
+            last = int(bounds(whole[0], whole[1])[-2])
+            if last:  # all groups but the last are complete
+                yield from links(tuple(x[:last] for x in whole), again)
+                whole, again = tuple(x[last:] for x in whole), False
+            if len(whole[0]) >= PIECE and whole[2][-1]:  # its owners are all here: they stay, these guests go
+                yield from links(whole, again)
+                whole, again = tuple(x[~whole[2]] for x in whole), True
+            held, size = [whole], len(whole[0])
         if held:
-            yield from links(tuple(np.concatenate(x) for x in zip(*held, strict=True)))
+            yield from links(tuple(np.concatenate(x) for x in zip(*held, strict=True)), again)
 
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = cells.repartition(partitions, "cell").sortWithinPartitions("cell", "guest").select("cell", "guest", "fp")
+    dealt = rest.unionByName(cut).repartition(partitions, "cell", "pair").sortWithinPartitions("cell", "pair", "guest")
     return written(dealt.mapInArrow(join, schema), "simhash-links")
 
 

@@ -2,10 +2,12 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from shipyard.llm import simhash
 from shipyard.llm.bytetext import flat
 from shipyard.llm.simhash import BASE, near_duplicates, near_links, segments_of, shingle_fingerprints, steps_within
 from shipyard.llm.xxh import xxh64
@@ -51,7 +53,13 @@ def test_embedding_bounds_the_bits():
             assert abs(cell[0] - cell[1]) in steps
 
 
-def test_links_find_every_component(spark):
+@pytest.mark.parametrize(("owners", "piece"), [(65_536, 1 << 18), (3, 20), (1, 1)])
+def test_links_find_every_component(spark, monkeypatch, owners, piece):
+    """Also where cells are cut into chunks and guests come in pieces."""
+    monkeypatch.setattr(simhash, "OWNERS", owners)
+    monkeypatch.setattr(simhash, "PIECE", piece)
+    monkeypatch.setattr(simhash, "BLOCK", 4 if owners < 5 else 2048)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000" if owners > 5 else "7")
     rng = random.Random(5)
     prints = [rng.getrandbits(64) for _ in range(150)] + [0, 1, 2**64 - 1, 2**63]
     for p in prints[:60]:
@@ -62,6 +70,7 @@ def test_links_find_every_component(spark):
             prints.append(q)
     prints = sorted({p - 2**64 if p >= 2**63 else p for p in prints})
     links = [(r["u"], r["v"]) for r in near_links(spark.createDataFrame([(p,) for p in prints], "fp long")).collect()]
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     near = [(a, b) for i, a in enumerate(prints) for b in prints[i + 1 :] if ((a ^ b) % 2**64).bit_count() <= 3]
     assert all(((a ^ b) % 2**64).bit_count() <= 3 for a, b in links)
     assert roots(links) == roots(near) and len(near) > 100

@@ -39,7 +39,7 @@ def links(rows, limit):
 
 @pytest.mark.parametrize(("d", "chunk"), [(16, 16_384), (16, 20), (5, 30)])
 def test_near_duplicates_by_brute_force(spark, monkeypatch, d, chunk):
-    monkeypatch.setattr(embedding_dedup, "CHUNK", chunk)
+    monkeypatch.setattr(embedding_dedup, "CHUNK_NUMBERS", chunk * d)
     rows = planted(d=d, seed=d + chunk) + AWKWARD
     rows += rows[:3]  # repeated rows
     found = links(rows, 0.95)
