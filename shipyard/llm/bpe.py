@@ -45,6 +45,7 @@ class ByteBpe:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        self._check(spec)
         vocab = spec["model"]["vocab"]
         self.byte_ids = np.array([vocab[c] for c in byte_alphabet()], np.int32)
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in spec["model"]["merges"]]
@@ -57,6 +58,20 @@ class ByteBpe:
         self.classes = np.full(0x110000, UNKNOWN, np.uint8)
         self.memo: dict[bytes, bytes] = {}
 
+    @staticmethod
+    def _check(spec: dict) -> None:
+        """Raises where the file asks for something that this class does not do."""
+        model, split = spec["model"], spec.get("pre_tokenizer") or {}
+        odd = {
+            "model": model.get("type", "BPE") != "BPE" or any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges")),
+            "normalizer": spec.get("normalizer") is not None,
+            "pre_tokenizer": split.get("type") != "ByteLevel" or bool(split.get("add_prefix_space")) or not split.get("use_regex", True),
+            "added_tokens": any(t.get(k) for t in spec.get("added_tokens", []) for k in ("single_word", "lstrip", "rstrip")),
+        }
+        found = [k for k, v in odd.items() if v]
+        if found:
+            raise ValueError(f"not a plain byte-level BPE tokenizer: {', '.join(found)}")
+
     # ------------------------------------------------------------- merge table
     def _fill(self, keys: np.ndarray, merged: np.ndarray) -> None:
         """An open-addressed table of the pairs, at most 1/16 full."""

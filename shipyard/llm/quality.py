@@ -37,6 +37,8 @@ from shipyard.llm.common import ready, text_chunks, written
 LOWER, UPPER, DIGIT, BLANK, LINE, STOP, QUOTE, SYMBOL, WIDE = range(9)
 KINDS = 9
 FOURIER = 256
+#: Labelled documents that the pipeline fits a model on; of more, about so many.
+FIT_ROWS = 250_000
 RIDGE = 1e-3
 BINS = 1024
 #: Share of a score that follows the raw score, so that calibration keeps its order.
@@ -170,6 +172,15 @@ def isotonic(sums: np.ndarray, counts: np.ndarray, at: np.ndarray) -> tuple[np.n
     return np.array([x / c for _, c, x in blocks]), np.array([s / c for s, c, _ in blocks])
 
 
+def to_fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", most: int = FIT_ROWS) -> DataFrame:
+    """The rows of ``docs`` that a model is fitted on: those with a label, of more than
+    ``most`` labelled ids about ``most``, chosen by a hash. That bounds the broadcast ids."""
+    known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).select(id_col).distinct()
+    share = min(1.0, most / max(1, known.count()))
+    known = known.where(F.pmod(F.xxhash64(id_col, F.lit(3)), F.lit(1 << 31)) < int(share * (1 << 31)))
+    return docs.join(F.broadcast(known), id_col, "left_semi")
+
+
 def fit(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", seed: int = 7) -> Model:
     """The model from ``stats`` (id, ``x``) and ``labels`` (id, label 0 or 1)."""
     known = labels.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.avg(F.col(label_col).cast("double")).alias("y")).where("y IS NOT NULL")

@@ -124,3 +124,11 @@ def test_few_sequences_are_used(spark):
 def test_too_long_a_piece():
     with pytest.raises(ValueError, match="does not fit"):
         SumOfSquares(8).place(9)
+
+
+@pytest.mark.parametrize("change", [{"normalizer": {"type": "NFC"}}, {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True}}, {"pre_tokenizer": None}, {"model": {"type": "Unigram"}}])
+def test_other_tokenizers_raise(change):
+    spec = {"model": {"type": "BPE"}, "normalizer": None, "pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}, "added_tokens": []}
+    bpe.ByteBpe._check(spec)
+    with pytest.raises(ValueError, match="byte-level"):
+        bpe.ByteBpe._check({**spec, **change})

@@ -3,36 +3,71 @@ import zlib
 
 import numpy as np
 
-from shipyard.llm.quality import isotonic, quality_scores, scored, statistics
+from shipyard.llm.quality import BINS, FOURIER, ORDER_SHARE, RIDGE, document_statistics, fit, isotonic, quality_scores, scored, statistics, to_fit
 from tests.llm.cases import TEXTS, documents, empty
 
 
+def pooled(s, n, at):
+    """Isotonic regression by its max-min formula: the means of all runs of bins, nothing merged step by step."""
+    k = range(len(s))
+    fitted = [max(min(s[a : b + 1].sum() / n[a : b + 1].sum() for b in k if b >= i) for a in k if a <= i) for i in k]
+    groups = [[i for i in k if abs(fitted[i] - v) < 1e-12] for v in sorted(set(np.round(fitted, 12)))]
+    return np.array([(at[g] * n[g]).sum() / n[g].sum() for g in groups]), np.array([fitted[g[0]] for g in groups])
+
+
 def test_isotonic_by_brute_force():
     rng = np.random.default_rng(2)
-    for _ in range(30):
+    joined = 0
+    for _ in range(60):
         n = rng.integers(1, 6, 8).astype(float)
         s = rng.integers(0, n + 1).astype(float)
-        at = np.arange(8.0)
-        _, values = isotonic(s, n, at)
-        assert (np.diff(values) > 0).all()
-        best = min(
-            sum(float((n[a:b] * (s[a:b] / n[a:b] - s[a:b].sum() / n[a:b].sum()) ** 2).sum()) for a, b in blocks)
-            for blocks in partitions(8)
-            if all(s[a:b].sum() / n[a:b].sum() <= s[b:c].sum() / n[b:c].sum() for (a, b), (_, c) in zip(blocks, blocks[1:], strict=False))
-        )
-        knots, _ = isotonic(s, n, at)
-        edges = np.searchsorted(at, knots)
-        fitted = np.array([values[np.argmin(abs(knots - x))] for x in at]) if len(values) == 8 else None
-        assert edges is not None and (fitted is None or float((n * (s / n - fitted) ** 2).sum()) <= best + 1e-9)
-
-
-def partitions(n):
-    for mask in range(1 << (n - 1)):
-        cuts = [0, *[i + 1 for i in range(n - 1) if mask >> i & 1], n]
-        yield list(zip(cuts[:-1], cuts[1:], strict=True))
-
-
-def table(spark, n=900):
+        at = np.sort(rng.random(8))
+        knots, values = isotonic(s, n, at)
+        want = pooled(s, n, at)
+        assert np.allclose(knots, want[0]) and np.allclose(values, want[1])
+        joined += len(knots) < 8
+    assert joined > 30
+
+
+def test_scores_by_brute_force(spark):
+    """Ridge as least squares over all rows at once, the calibration by the formula above."""
+    docs, labels = table(spark, noise=6)
+    of = {r["doc_id"]: np.array(r["x"]) for r in document_statistics(docs).collect()}
+    y = {r["doc_id"]: r["quality"] for r in labels.collect()}
+    part = {i: zlib.crc32(str(i).encode()) % 3 for i in of}
+    model = fit(document_statistics(docs), labels)
+    x0, y0 = (np.array([v[i] for i in of if part[i] == 0], float) for v in (of, y))
+    center, scale = x0.mean(axis=0), x0.std(axis=0)
+    scale[scale < 1e-9] = 1.0
+
+    def features(x):
+        z = np.clip((x - center) / scale, -8, 8)
+        return np.column_stack([np.sqrt(2 / FOURIER) * np.cos(z @ model.directions + model.phases), np.ones(len(x))])
+
+    shrink = np.sqrt(RIDGE * len(x0) / (FOURIER + 1)) * np.eye(FOURIER + 1)
+    weights = np.linalg.lstsq(np.vstack([features(x0), shrink]), np.r_[y0, np.zeros(FOURIER + 1)], rcond=None)[0]
+    x2, y2 = (np.array([v[i] for i in of if part[i] == 2], float) for v in (of, y))
+    at = np.clip(((features(x2) @ weights + 0.5) / 2 * BINS).astype(int), 0, BINS - 1)
+    bins = np.unique(at)
+    s, n = (np.array([w[at == b].sum() for b in bins]) for w in (y2, np.ones(len(y2))))
+    knots, values = pooled(s, n, -0.5 + (bins + 0.5) / BINS * 2)
+    assert 2 < len(knots) < len(bins)
+    raw = features(np.array(list(of.values()))) @ weights
+    order = 1 / (1 + np.exp(-4 * (np.clip(raw, -10, 10) - 0.5)))
+    want = np.clip((1 - ORDER_SHARE) * np.interp(raw, knots, values) + ORDER_SHARE * order, 0, 1)
+    got = {r["doc_id"]: r["score"] for r in quality_scores(docs, labels).collect()}
+    assert max(abs(got[i] - w) for i, w in zip(of, want, strict=True)) < 1e-6
+
+
+def test_rows_to_fit(spark):
+    docs, labels = table(spark, 400)
+    some = labels.where("doc_id % 2 = 0").unionByName(labels.limit(5))
+    assert {r["doc_id"] for r in to_fit(docs, some).collect()} >= set(range(0, 400, 2))
+    assert to_fit(docs, labels.where("false")).count() == 0
+    assert 60 < to_fit(docs, labels, most=100).count() < 140
+
+
+def table(spark, n=900, noise=0):
     rng = random.Random(1)
     texts, labels = [], []
     for i in range(n):
@@ -40,7 +75,7 @@ def table(spark, n=900):
         words = [rng.choice(["the", "of", "river", "morning", "walked", "house"]) + rng.choice(["", "", "ing", "ed"]) for _ in range(rng.randrange(20, 90))]
         text = " ".join(words).capitalize() + "." if good else " ".join(w.upper() + rng.choice(["$$$", "!!", "***"]) for w in words)
         texts.append((i, text, "en", "s"))
-        labels.append((i, int(good)))
+        labels.append((i, int(good != bool(noise and rng.random() < noise / 100))))
     return documents(spark, texts), spark.createDataFrame(labels, "doc_id long, quality int")
 
 
@@ -74,8 +109,6 @@ def test_awkward_documents(spark):
 
 
 def test_scored_keeps_rows(spark):
-    from shipyard.llm.quality import document_statistics, fit
-
     docs, labels = table(spark, 120)
     model = fit(document_statistics(docs), labels)
     out = scored(docs, model, name="score")
