@@ -18,7 +18,7 @@ from shipyard.llm.common import table, written
 from shipyard.llm.line_dedup import document_key, remove_repeated_chunks
 from shipyard.llm.mixing import mix
 from shipyard.llm.packing import pack, token_pieces
-from shipyard.llm.quality import document_statistics, fit, scored
+from shipyard.llm.quality import document_statistics, fit, scored, to_fit
 from shipyard.llm.queries import BYTE_BPE, MIX_DEFAULT, MIX_SEED, MIX_WEIGHTS, mix_domain
 from shipyard.llm.simhash import SEGMENTS, fingerprints, with_component
 
@@ -28,8 +28,9 @@ MIX_SHARE, MIX_EPOCHS = (9, 10), 1
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier calls good (score of at least 0.5)."""
-    stats = written(document_statistics(docs.select("doc_id", "text")), "statistics")
-    model = fit(stats, table(spark, sf_dir, "labels"))
+    labels = table(spark, sf_dir, "labels")
+    stats = written(document_statistics(to_fit(docs.select("doc_id", "text"), labels)), "statistics")
+    model = fit(stats, labels)
     return scored(docs, model, name="quality_score").where("quality_score >= 0.5").select(docs.columns)
 
 
