@@ -3,11 +3,14 @@
 A window is ``width`` consecutive words. A window goes with that suffix inside it
 whose prefix, the words up to the first uncommon one, has the least hash, so
 neighbouring windows mostly travel together as one short stretch of text. The
-first words of that suffix name the group, so equal windows always meet. A first
-pass sums the bytes of each group: one above ``GROUP_BYTES`` is split into its
-single windows, dealt to as many parts as its size asks for by the hash of all
-their words. There a window costs its text once a batch and a place in the batch
-for each stretch that holds it. Each group sorts its suffixes into a subtree (suffix
+path of a window is that suffix up to the window's end, then the words in front
+of it. The first words of its path name a window's group, so equal windows always
+meet. The prefix is as long as the sizes ask for: it has ``SHORTEST_PREFIX`` words, and
+where the stretches of a group have more than ``GROUP_BYTES``, one word more for its
+windows, and so on up to the whole window. Windows of one stretch whose prefix lies in
+the suffix stay together; the others go on alone. Two passes sum the bytes: one over all
+stretches, one, where a group is full, over the windows of the full groups at all lengths.
+Each group sorts its suffixes into a subtree (suffix
 array and common-prefix lengths, cut off at ``width`` words): the internal nodes
 that deep are the repeated windows, and each learns the smallest id below it.
 
@@ -33,20 +36,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
-from shipyard.llm.bytetext import distinct_spans, flat, gather, mix, span_hash, word_bounds
+from shipyard.llm.bytetext import copy_spans, distinct_spans, flat, gather, mix, span_hash, word_bounds
 from shipyard.llm.common import ready, text_chunks, written
 
 #: A word is common if it makes up this share of all words: at most 1 / COMMON of them.
 COMMON = 1e-3
-#: Words of the longest prefix.
-LONGEST_PREFIX = 4
+#: Words of the shortest prefix, and of the shortest window.
+SHORTEST_PREFIX = 3
+SHORTEST_WINDOW = 5
 #: Text bytes of a batch and of a group's share of the corpus.
 BATCH_BYTES = 4 << 20
-#: Bytes of stretches from which on a group is split; stretches overlap, so a usual group has about three batches.
-GROUP_BYTES = 24 << 20
+#: Bytes of stretches from which on a group's prefix grows; stretches overlap, so a usual group has about three batches.
+GROUP_BYTES = 16 << 20
 #: Compression level of the stretches on their way to the groups.
 LEVEL = 3
 NO_ID = np.iinfo(np.int64).max
+GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
 # ------------------------------------------------------------------ first pass
@@ -83,64 +88,109 @@ def common_words(docs: DataFrame, text_col: str) -> tuple[np.ndarray, int]:
 
 
 # ------------------------------------------------------------------- stretches
-class Stretches:
-    """The words of a batch of documents and the stretches of windows that share a
-    group; the same documents always give the same stretches in the same order."""
+class Windows:
+    """The words of a batch of documents, its windows, and the suffix that each goes with."""
 
-    def __init__(self, texts: pa.ChunkedArray, width: int, common: np.ndarray, groups: int, distinct: bool = True):
+    def __init__(self, texts: pa.ChunkedArray, width: int, common: np.ndarray, groups: int):
+        self.width, self.groups = width, groups
         buf, offsets = flat(texts)
         starts, ends, self.first = word_bounds(buf, offsets)
         self.length = ends - starts
         self.end = np.cumsum(self.length + 1) - 1
         self.begin = self.end - self.length
         self.text = np.full(int(self.end[-1]) if len(starts) else 0, 0x20, np.uint8)
-        self.text[gather(self.begin, self.length)] = buf[gather(starts, self.length)]
+        copy_spans(self.text, self.begin, buf, starts, self.length)
         n = np.diff(self.first)
-        windows = np.maximum(0, n - width + 1)
-        at = gather(self.first[:-1], windows)
+        count = np.maximum(0, n - width + 1)
+        self.at = gather(self.first[:-1], count)
+        #: Per window: its document, the word that its path begins at, the hash of the shortest prefix.
+        self.owner = np.repeat(np.arange(len(n)), count)
+        self.anchor, self.key, self.word = self.at, np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        if not len(self.at):
+            return
+        self.word = word = span_hash(self.text, self.begin, self.end)
+        order = _order(word, np.isin(word, common))
+        least, self.anchor = order[self.at], self.at.copy()
+        for k in range(1, width - SHORTEST_PREFIX + 1):
+            here = order[self.at + k]
+            lower = np.flatnonzero(here < least)
+            least[lower], self.anchor[lower] = here[lower], self.at[lower] + k
+        self.key = _prefix_hashes(word, np.ones(len(word), bool))[0][self.anchor]
+
+    def grown(self, key: np.ndarray, i: np.ndarray, length: int) -> np.ndarray:
+        """The hashes of the first ``length`` words of the paths of the windows ``i``,
+        from ``key``, those of one word less."""
+        at = self.at[i]
+        return mix(key * GOLDEN + self.word[at + (self.anchor[i] - at + length - 1) % self.width])
+
+    def group(self, key: np.ndarray, length: int) -> np.ndarray:
+        """The numbers of the groups of prefixes of ``length`` words. There are more groups
+        of whole windows, since these are sent one by one, with all their words."""
+        many = self.groups * (self.width if length == self.width else 1)
+        return (mix(key) % np.uint64(many)).astype(np.int64) + (length - SHORTEST_PREFIX) * self.groups
+
+
+class Stretches(Windows):
+    """The stretches of windows that share a suffix and a group; the same documents and
+    ``full`` groups always give the same stretches in the same order."""
+
+    def __init__(self, texts: pa.ChunkedArray, width: int, common: np.ndarray, groups: int, full: np.ndarray | None, distinct: bool = True):
+        super().__init__(texts, width, common, groups)
+        at = self.at
         if not len(at):
-            self.window = self.count = self.owner = self.group = self.place = np.zeros(0, np.int64)
-            self.different = np.zeros(0, np.int64)
+            self.window = self.count = self.place = self.different = self.number = self.last = np.zeros(0, np.int64)
             return
-        word = span_hash(self.text, self.begin, self.end)
-        prefix = _prefix_hashes(word, np.isin(word, common))
-        order = mix(prefix ^ np.uint64(0xA24BAED4963EE407))
-        least, anchor = order[at].copy(), at.copy()
-        for k in range(1, width - LONGEST_PREFIX + 1):
-            lower = order[at + k] < least
-            least[lower] = order[at + k][lower]
-            anchor[lower] = at[lower] + k
-        owner = np.repeat(np.arange(len(n)), windows)
-        head = np.r_[True, (anchor[1:] != anchor[:-1]) | (owner[1:] != owner[:-1])]
+        number = self.group(self.key, SHORTEST_PREFIX)
+        i = np.flatnonzero(flagged(full, number))
+        key = self.key[i]
+        for length in range(SHORTEST_PREFIX + 1, width + 1):
+            if not len(i):
+                break
+            key = self.grown(key, i, length)
+            number[i] = self.group(key, length)
+            if length < width:
+                still = flagged(full, number[i])
+                i, key = i[still], key[still]
+        head = np.r_[True, (self.anchor[1:] != self.anchor[:-1]) | (self.owner[1:] != self.owner[:-1]) | (number[1:] != number[:-1])]
         cut = np.flatnonzero(head)
         #: Per stretch: its first window (a word index), its windows, its document, its group.
-        self.window, self.count, self.owner = at[cut], np.diff(np.r_[cut, len(at)]), owner[cut]
-        first_words = _prefix_hashes(word, np.ones(len(word), bool))
-        self.group = (mix(first_words[anchor[cut]]) % np.uint64(groups)).astype(np.int64)
-        self.last = last = self.window + self.count + width - 2
+        self.window, self.count, self.owner = at[cut], np.diff(np.r_[cut, len(at)]), self.owner[cut]
+        self.number = number[cut]
+        self.last = self.window + self.count + width - 2
+        self.at = self.anchor = self.key = self.word = None  # not needed any more; long texts have many
         if not distinct:
             return
-        one, place = distinct_spans(self.text, self.begin[self.window], self.end[last])
+        one, place = distinct_spans(self.text, self.begin[self.window], self.end[self.last])
         # The different stretches in order of their groups; ``place`` numbers them that way.
-        by_group = np.argsort(self.group[one], kind="stable")
+        by_group = np.argsort(self.number[one], kind="stable")
         rank = np.empty(len(one), np.int64)
         rank[by_group] = np.arange(len(one))
         self.different, self.place = one[by_group], rank[place]
 
 
-def _prefix_hashes(word: np.ndarray, common: np.ndarray) -> np.ndarray:
+def _prefix_hashes(word: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The hash of the prefix at each word: up to the first uncommon word, at most
-    ``LONGEST_PREFIX`` words."""
+    ``SHORTEST_PREFIX`` words; and whether all these are common."""
     h, more = mix(word), common.copy()
-    for k in range(1, LONGEST_PREFIX):
+    for k in range(1, SHORTEST_PREFIX):
         i = np.flatnonzero(more[: len(word) - k])
-        if not len(i):
-            break
-        h[i] = mix(h[i] * np.uint64(0x9E3779B97F4A7C15) + word[i + k])
-        going = np.zeros(len(word), bool)
-        going[i] = common[i + k]
-        more = going
-    return h
+        h[i] = mix(h[i] * GOLDEN + word[i + k])
+        more = np.zeros(len(word), bool)
+        more[i] = common[i + k]
+    return h, more
+
+
+def _order(word: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """The rank of the prefix at each word, by hash; those of common words alone come last."""
+    h, all_common = _prefix_hashes(word, common)
+    return (mix(h ^ np.uint64(0xA24BAED4963EE407)) >> np.uint64(1)) | (all_common.astype(np.uint64) << np.uint64(63))
+
+
+def flagged(bits: np.ndarray | None, number: np.ndarray) -> np.ndarray:
+    """Whether the bit of each number is set."""
+    if bits is None:
+        return np.zeros(len(number), bool)
+    return (bits[number >> 3] >> (number & 7).astype(np.uint8)) & np.uint8(1) > 0
 
 
 def _ids(column: pa.ChunkedArray) -> np.ndarray:
@@ -165,80 +215,53 @@ def _binary(text: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> pa.Arr
 
 
 # ---------------------------------------------------------------------- groups
-def large_groups(docs: DataFrame, text_col: str, width: int, common: np.ndarray, groups: int, limit: int) -> DataFrame:
-    """``bucket`` and ``parts`` of the groups whose stretches have more than ``limit``
-    bytes; equal stretches count each time, so no other group is larger."""
-    schema = StructType([StructField("bucket", IntegerType()), StructField("bytes", LongType()), StructField("window_bytes", LongType())])
+def group_sizes(docs: DataFrame, text_col: str, width: int, common: np.ndarray, groups: int, full: np.ndarray | None) -> DataFrame:
+    """``number`` and ``bytes`` of the groups of the shortest prefix, or, given the full ones
+    of these, of the groups of all longer prefixes of their windows. Equal stretches count
+    each time, and windows at all lengths, so no group gets more."""
+    schema = StructType([StructField("number", LongType()), StructField("bytes", LongType())])
+
+    def sums(number: np.ndarray, size: np.ndarray) -> pa.RecordBatch:
+        each, place = np.unique(number, return_inverse=True)
+        total = np.bincount(place, weights=size, minlength=len(each)).astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(each), pa.array(total)], names=schema.names)
 
     def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in text_chunks(batches, text_col):
-            s = Stretches(rows[text_col], width, common, groups, distinct=False)
-            if not len(s.window):
+            if full is None:
+                s = Stretches(rows[text_col], width, common, groups, None, distinct=False)
+                yield sums(s.number, s.end[s.last] - s.begin[s.window])
                 continue
-            at = gather(s.window, s.count)
-            upto = np.r_[0, np.cumsum(s.end[at + width - 1] - s.begin[at])]
-            stop = np.cumsum(s.count)
-            order = np.argsort(s.group, kind="stable")
-            bucket, head = np.unique(s.group[order], return_index=True)
-            size = np.add.reduceat((s.end[s.last] - s.begin[s.window])[order], head)
-            alone = np.add.reduceat((upto[stop] - upto[stop - s.count])[order], head)
-            yield pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), pa.array(size, pa.int64()), pa.array(alone, pa.int64())], names=schema.names)
-
-    each = docs.select(text_col).mapInArrow(sizes, schema)
-    total = each.groupBy("bucket").agg(F.sum("bytes").alias("bytes"), F.sum("window_bytes").alias("alone"))
-    return total.where(F.col("bytes") > limit).select("bucket", F.ceil(F.col("alone") / limit).cast("int").alias("parts"))
-
-
-def split_groups(sent: DataFrame, large: DataFrame, width: int) -> DataFrame:
-    """``sent`` with the ``part`` of each row's group: rows of large groups come as
-    their different windows, each with its smallest id and its places in the row."""
-    schema = StructType([StructField(c, t()) for c, t in (("bucket", IntegerType), ("part", IntegerType), ("batch", IntegerType), ("first", LongType), ("blob", BinaryType))])
-
-    def windows(blob: bytes, parts: int) -> Iterator[tuple[int, bytes]]:
-        rows = _opened(blob)
-        buf, offsets = flat(rows["text"])
-        starts, ends, first = word_bounds(buf, offsets)
-        n = rows["n"].to_numpy().astype(np.int64)
-        at, entry = gather(first[:-1], n), np.repeat(np.arange(len(n)), n)
-        a, b = starts[at], ends[at + width - 1]
-        one, place = distinct_spans(buf, a, b)
-        least = np.full(len(one), NO_ID)
-        np.minimum.at(least, place, rows["id"].to_numpy()[entry])
-        places = np.bincount(place, minlength=len(one))
-        member = np.argsort(place, kind="stable")
-        member_at = np.cumsum(places) - places
-        word_hash = span_hash(buf, starts, ends)
-        path = np.zeros(len(one), np.uint64)
-        for k in range(width):
-            path = mix(path * np.uint64(0x9E3779B97F4A7C15) + word_hash[at[one] + k])
-        part = (path % np.uint64(parts)).astype(np.int64)
-        by_part = np.argsort(part, kind="stable")
-        for some in np.split(by_part, np.flatnonzero(np.diff(part[by_part])) + 1):
-            held = member[gather(member_at[some], places[some])]
-            stops = pa.array(np.r_[0, np.cumsum(places[some])], pa.int32())
-            yield (
-                int(part[some[0]]),
-                _sealed(
-                    text=_binary(buf, a[one[some]], (b - a)[one[some]]),
-                    n=np.ones(len(some), np.uint8),
-                    id=least[some],
-                    entry=pa.ListArray.from_arrays(stops, pa.array(entry[held], pa.int32())),
-                    window=pa.ListArray.from_arrays(stops, pa.array(at[held] - first[entry[held]], pa.uint8())),
-                ),
-            )
-
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
-            parts = rows.column("parts")
-            usual = rows.filter(pc.is_null(parts))
-            zero = pa.array(np.zeros(len(usual), np.int32))
-            yield pa.RecordBatch.from_arrays([usual.column("bucket"), zero, *[usual.column(c) for c in schema.names[2:]]], names=schema.names)
-            for row in rows.filter(pc.is_valid(parts)).to_pylist():
-                for part, blob in windows(row["blob"], row["parts"]):
-                    yield pa.RecordBatch.from_pylist([{**row, "part": part, "blob": blob}], schema=sealed_schema)
-
-    sealed_schema = pa.schema([("bucket", pa.int32()), ("part", pa.int32()), ("batch", pa.int32()), ("first", pa.int64()), ("blob", pa.binary())])
-    return sent.join(large, "bucket", "left").select("bucket", "parts", "batch", "first", "blob").mapInArrow(split, schema)
+            w = Windows(rows[text_col], width, common, groups)
+            i = np.flatnonzero(flagged(full, w.group(w.key, SHORTEST_PREFIX)))
+            key, size = w.key[i], w.end[w.at[i] + width - 1] - w.begin[w.at[i]]
+            for length in range(SHORTEST_PREFIX + 1, width):
+                key = w.grown(key, i, length)
+                yield sums(w.group(key, length), size)
+
+    return docs.select(text_col).mapInArrow(sizes, schema).groupBy("number").agg(F.sum("bytes").alias("bytes"))
+
+
+def full_groups(docs: DataFrame, text_col: str, width: int, common: np.ndarray, groups: int, limit: int) -> np.ndarray | None:
+    """One bit for each group whose prefix has to grow, being of more than ``limit``
+    bytes; None if there is none. That is ``width - SHORTEST_PREFIX`` bits for each
+    ``BATCH_BYTES`` of the corpus: 32 MB at 100 TB for windows of 13 words."""
+    numbers: list[int] = []
+    bits = None
+    for _ in range(2):
+        sizes = group_sizes(docs, text_col, width, common, groups, bits)
+        numbers += [r["number"] for r in sizes.where(F.col("bytes") > limit).select("number").collect()]
+        if not numbers:
+            return None
+        flags = np.zeros((width - SHORTEST_PREFIX) * groups, bool)
+        flags[numbers] = True
+        bits = np.packbits(flags, bitorder="little")
+    return bits
+
+
+def stretches_sent(dealt: DataFrame, send, schema: StructType) -> DataFrame:
+    """One row for each batch and group with the different stretches that the batch has for it."""
+    return dealt.groupBy("batch").applyInArrow(send, schema)
 
 
 # --------------------------------------------------------------------- subtree
@@ -248,7 +271,7 @@ def deep_nodes(words: np.ndarray, at: np.ndarray, width: int) -> tuple[np.ndarra
     of each node's first suffix therein). Suffixes without a partner are left out."""
     path = np.zeros(len(at), np.uint64)
     for k in range(width):
-        path = path * np.uint64(0x9E3779B97F4A7C15) + words[at + k].astype(np.uint64) + np.uint64(1)
+        path = path * GOLDEN + words[at + k].astype(np.uint64) + np.uint64(1)
     _, place, n = np.unique(path, return_inverse=True, return_counts=True)
     some = np.flatnonzero(n[place] > 1)  # a path that occurs once ends in a leaf
     if not len(some):
@@ -272,8 +295,8 @@ def deep_nodes(words: np.ndarray, at: np.ndarray, width: int) -> tuple[np.ndarra
 def remove_repeats(docs: DataFrame, width: int = 13, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: its integer id, ``n_words``, ``n_removed``, and
     ``kept_text``, the words left, joined by one blank."""
-    if width <= LONGEST_PREFIX:
-        raise ValueError(f"windows must be longer than {LONGEST_PREFIX} words")
+    if width < SHORTEST_WINDOW:
+        raise ValueError(f"windows must be longer than {SHORTEST_WINDOW - 1} words")
     spark = ready(docs.sparkSession)
     plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     common, size = common_words(plain, "text")
@@ -281,7 +304,7 @@ def remove_repeats(docs: DataFrame, width: int = 13, id_col: str = "doc_id", tex
     spread = max(groups, int(spark.conf.get("spark.sql.shuffle.partitions")))
     dealt = plain.withColumn("batch", F.pmod(F.xxhash64("id", "text"), F.lit(spread)).cast("int")).repartition("batch")
 
-    sent_schema = StructType([StructField("bucket", IntegerType()), StructField("batch", IntegerType()), StructField("first", LongType()), StructField("blob", BinaryType())])
+    sent_schema = StructType([StructField("number", LongType()), StructField("batch", IntegerType()), StructField("first", LongType()), StructField("blob", BinaryType())])
     back_schema = StructType([StructField("batch", IntegerType()), StructField("first", LongType()), StructField("blob", BinaryType())])
     out_schema = StructType([StructField(id_col, LongType()), StructField("n_words", LongType()), StructField("n_removed", LongType()), StructField("kept_text", StringType())])
 
@@ -291,61 +314,54 @@ def remove_repeats(docs: DataFrame, width: int = 13, id_col: str = "doc_id", tex
     def send(rows: pa.Table) -> pa.Table:
         batch = rows["batch"][0].as_py()
         rows = in_order(rows)
-        s = Stretches(rows["text"], width, common, spread)
+        s = Stretches(rows["text"], width, common, spread, full)
         out = []
         if len(s.window):
             ids = _ids(rows["id"])[s.owner]
             least = np.full(len(s.different), NO_ID)
             np.minimum.at(least, s.place, ids)
             one = s.different
-            group = s.group[one]
+            group = s.number[one]
             cuts = np.r_[np.flatnonzero(np.r_[True, group[1:] != group[:-1]]), len(group)]
             a, b = s.begin[s.window[one]], s.end[s.last[one]]
             for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
                 text = _binary(s.text, a[i:j], (b - a)[i:j])
                 out.append((int(group[i]), batch, i, _sealed(text=text, n=s.count[one[i:j]].astype(np.uint8), id=least[i:j])))
         columns = list(zip(*out, strict=True)) or [[], [], [], []]
-        return pa.table([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.binary())], names=sent_schema.names)
+        return pa.table([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.binary())], names=sent_schema.names)
 
     def answer(rows: pa.Table) -> pa.Table:
         parts = [_opened(b.as_py()) for b in rows["blob"]]
-        sizes = np.array([len(p) for p in parts])
-        entries = pa.concat_tables([p.select(["text", "n", "id"]) for p in parts])
-        places = np.concatenate([pc.list_value_length(p["entry"]).to_numpy() if "entry" in p.column_names else np.ones(len(p), np.int32) for p in parts])
+        base = np.cumsum([0, *[len(p) for p in parts]])
+        entries = pa.concat_tables(parts)
+        del parts
+        n, id_of = entries["n"].to_numpy().astype(np.int64), entries["id"].to_numpy()
         buf, offsets = flat(entries["text"])
         starts, ends, first = word_bounds(buf, offsets)
-        _, words = distinct_spans(buf, starts, ends)
-        n = entries["n"].to_numpy().astype(np.int64)
+        words = distinct_spans(buf, starts, ends)[1].astype(np.int32)
+        del entries, buf, offsets, starts, ends
         at, entry = gather(first[:-1], n), np.repeat(np.arange(len(n)), n)
-        ids = entries["id"].to_numpy()[entry]
+        ids = id_of[entry]
         leaves, node = deep_nodes(words, at, width)
         out = []
-        lowest = ids.copy()
         if len(leaves):
-            lowest[leaves] = np.repeat(np.minimum.reduceat(ids[leaves], node), np.diff(np.r_[node, len(leaves)]))
-        # A window with several places in its row has to be told even what its own row knows.
-        hit = np.flatnonzero((ids > lowest) | (places[entry] > 1))
-        if len(hit):
-            least = lowest[hit]
-            base = np.cumsum(sizes) - sizes
-            part = np.searchsorted(base, entry[hit], "right") - 1
-            cuts = np.searchsorted(part, np.arange(len(parts) + 1))
+            lowest = np.repeat(np.minimum.reduceat(ids[leaves], node), np.diff(np.r_[node, len(leaves)]))
+            lower = ids[leaves] > lowest
+            hit, lowest = leaves[lower], lowest[lower]
+            in_order = np.argsort(hit)
+            hit, lowest = hit[in_order], lowest[in_order]
+            cuts = np.searchsorted(entry[hit], base)
             for k in np.flatnonzero(np.diff(cuts)):
                 i, j = cuts[k], cuts[k + 1]
                 e = entry[hit[i:j]]
-                there, window, lower = e - base[k], at[hit[i:j]] - first[e], least[i:j]
-                if "entry" in parts[k].column_names:
-                    held = parts[k].select(["entry", "window"]).take(there)
-                    lower = np.repeat(lower, places[e])
-                    there, window = (pc.list_flatten(held[c]).to_numpy() for c in ("entry", "window"))
-                blob = _sealed(entry=there.astype(np.int32), window=window.astype(np.uint8), id=lower)
+                blob = _sealed(entry=(e - base[k]).astype(np.int32), window=(at[hit[i:j]] - first[e]).astype(np.uint8), id=lowest[i:j])
                 out.append((rows["batch"][int(k)].as_py(), rows["first"][int(k)].as_py(), blob))
         columns = list(zip(*out, strict=True)) or [[], [], []]
         return pa.table([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.binary())], names=back_schema.names)
 
     def cut_out(rows: pa.Table, answers: pa.Table) -> pa.Table:
         rows = in_order(rows)
-        s = Stretches(rows["text"], width, common, spread)
+        s = Stretches(rows["text"], width, common, spread, full)
         removed = np.zeros(len(s.begin) + 1, np.int64)
         if len(s.window):
             # The smallest id of each window of each different stretch: here, then anywhere.
@@ -368,7 +384,7 @@ def remove_repeats(docs: DataFrame, width: int = 13, id_col: str = "doc_id", tex
         # Words with a blank after each; a document's last blank is left out.
         stop = np.cumsum(length + 1)
         text = np.full(int(stop[-1]) if len(stop) else 0, 0x20, np.uint8)
-        text[gather(stop - length - 1, length)] = s.text[gather(s.begin[keep], length)]
+        copy_spans(text, stop - length - 1, s.text, s.begin[keep], length)
         edge = np.r_[0, stop][kept]
         if len(text):
             last = np.zeros(len(text), bool)
@@ -379,7 +395,6 @@ def remove_repeats(docs: DataFrame, width: int = 13, id_col: str = "doc_id", tex
         n_words = np.diff(s.first)
         return pa.table([rows["id"].combine_chunks(), pa.array(n_words), pa.array(n_words - np.diff(kept)), out], names=out_schema.names)
 
-    large = written(large_groups(plain, "text", width, common, spread, GROUP_BYTES), "large-groups")
-    sent = split_groups(dealt.groupBy("batch").applyInArrow(send, sent_schema), large, width)
-    back = sent.groupBy("bucket", "part").applyInArrow(answer, back_schema)
+    full = full_groups(plain, "text", width, common, spread, GROUP_BYTES)
+    back = stretches_sent(dealt, send, sent_schema).groupBy("number").applyInArrow(answer, back_schema)
     return dealt.groupBy("batch").cogroup(back.groupBy("batch")).applyInArrow(cut_out, out_schema)

@@ -87,21 +87,65 @@ def test_split_groups_give_the_same_result(spark, monkeypatch):
     assert result(remove_repeats(documents(spark), 13)) == brute([(i, t) for i, t, *_ in TEXTS], 13)
 
 
-def test_a_crowded_prefix_is_split(spark, monkeypatch):
-    """What one call of ``answer`` opens stays near the limit, however many windows share a prefix."""
-    limit, opened = 20_000, []
+def _sent(monkeypatch, limit, texts, spark):
+    """Bytes of the stretches that each group opens."""
+    opened = []
     monkeypatch.setattr(substring_dedup, "GROUP_BYTES", limit)
-    split = substring_dedup.split_groups
+    send = substring_dedup.stretches_sent
 
     def kept(*args):
-        opened.append(split(*args))
+        opened.append(send(*args))
         return opened[-1]
 
-    monkeypatch.setattr(substring_dedup, "split_groups", kept)
-    remove_repeats(documents(spark, [(i, t, "en", "s") for i, t in _crowded()]), 13)
+    monkeypatch.setattr(substring_dedup, "stretches_sent", kept)
+    got = result(remove_repeats(documents(spark, [(i, t, "en", "s") for i, t in texts]), 13))
+    assert got == brute(texts, 13)
     sizes = {}
     for r in opened[0].collect():
         text = substring_dedup._opened(r["blob"])["text"]
-        sizes[r["bucket"], r["part"]] = sizes.get((r["bucket"], r["part"]), 0) + sum(len(t.as_py()) for t in text)
-    assert sum(sizes.values()) > 10 * limit and any(part for _, part in sizes)
+        sizes[r["number"]] = sizes.get(r["number"], 0) + sum(len(t.as_py()) for t in text)
+    return sizes
+
+
+def test_a_crowded_prefix_is_split(spark, monkeypatch):
+    """What one call of ``answer`` opens stays near the limit, however many windows share a prefix."""
+    limit = 20_000
+    sizes = _sent(monkeypatch, limit, _crowded(), spark)
+    assert sum(sizes.values()) > 10 * limit and max(sizes) >= int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert max(sizes.values()) < 2 * limit
+
+
+def test_the_prefix_grows_only_where_it_is_crowded(spark, monkeypatch):
+    """Most windows keep the shortest prefix; those behind a frequent phrase have a longer one, few the whole window."""
+    rng = random.Random(11)
+    word = lambda: f"w{rng.randrange(30000)}"
+    phrases = ["in the far north", "one of the many", "as well as all", "it has to be"]
+    texts = [(i, " ".join([*[word() for _ in range(60)], phrases[i % 4], *[word() for _ in range(30)]])) for i in range(400)]
+    texts += [(1000 + i, texts[i][1]) for i in range(0, 400, 9)]
+    monkeypatch.setattr(substring_dedup, "BATCH_BYTES", 4_000)
+    monkeypatch.setattr(substring_dedup, "COMMON", 0.5)
+    sizes = _sent(monkeypatch, 14_000, texts, spark)
+    groups = -(-sum(len(t) for _, t in texts) // 4_000)
+    short = sum(n for g, n in sizes.items() if g < groups)
+    grown = sum(n for g, n in sizes.items() if groups <= g < 10 * groups)
+    assert short > grown > 0
+    assert max(sizes.values()) < 2 * 14_000
+
+
+def test_growing_prefixes_name_equal_windows_alike():
+    import numpy as np
+    import pyarrow as pa
+
+    rng = random.Random(2)
+    shared = " ".join(rng.choice("abcdef") for _ in range(40))
+    texts = pa.chunked_array([[f"x y {shared} z", shared, f"{shared} {shared}"]])
+    w = substring_dedup.Windows(texts, 7, np.zeros(0, np.uint64), 50)
+    rows = [bytes(w.text[w.begin[a] : w.end[a + 6]]) for a in w.at]
+    key, every = w.key, np.arange(len(w.at))
+    for length in range(4, 8):
+        key = w.grown(key, every, length)
+        seen = {}
+        for row, k in zip(rows, key.tolist(), strict=True):
+            assert seen.setdefault(row, k) == k
+    # Two windows may only share a whole path if it begins at another word of theirs.
+    assert len(set(zip(key.tolist(), (w.anchor - w.at).tolist(), strict=True))) == len(set(rows)) < len(rows)
