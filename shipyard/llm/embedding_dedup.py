@@ -25,6 +25,7 @@ gives an empty table.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -193,8 +194,10 @@ def _links(classes: DataFrame, limit: float, blocks: int) -> DataFrame:
     cells = classes.select("node", "n", "v").mapInArrow(to_cells, cell_schema)
     key = ["size", "block", "cell"]
     # A cell's number of chunks; cells are at most the blocks times the cells across a unit ball.
-    chunks = cells.groupBy(*key).agg(F.ceil(F.count("*") * F.col("size") / CHUNK_NUMBERS).cast("int").alias("chunks"), F.max("home").alias("used")).where("used")
-    dealt = cells.join(chunks, key).withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+    held = cells.groupBy(*key).agg(F.count("*").alias("rows"), F.ceil(F.count("*") * F.col("size") / CHUNK_NUMBERS).cast("int").alias("chunks"), F.max("home").alias("used"))
+    chunks = written(held.where("used"), "vector-cells")
+    tasks = _tasks(chunks)
+    dealt = cells.join(chunks.drop("rows"), key).withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     dealt = dealt.select(*key, F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), (F.col("own") > F.col("other")).alias("second"), "home", "node", "n", "v")
     out_schema = StructType([StructField("u", LongType()), StructField("v", LongType()), StructField("n", LongType())])
@@ -216,4 +219,13 @@ def _links(classes: DataFrame, limit: float, blocks: int) -> DataFrame:
             n = [*count[hit].tolist(), *[None] * len(forest[0])]
         return pa.table([pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(n, pa.int64())], names=out_schema.names)
 
-    return dealt.groupBy(*key, "a", "b").applyInArrow(compare, out_schema)
+    # By number, which AQE leaves alone: it would put groups together by their bytes, whose work is the square of their rows.
+    return dealt.repartition(tasks, *key, "a", "b").groupBy(*key, "a", "b").applyInArrow(compare, out_schema)
+
+
+def _tasks(chunks: DataFrame) -> int:
+    """Tasks to compare the chunks in: two for each pair of full chunks, and enough for
+    the numbers that they hold, so that no task's share grows with the data."""
+    pairs = F.col("rows") * F.col("size") / CHUNK_NUMBERS
+    total = chunks.agg(F.sum(pairs * pairs).alias("pairs"), F.sum(pairs * F.col("chunks")).alias("chunks")).first()
+    return max(chunks.sparkSession.sparkContext.defaultParallelism, *(math.ceil(x or 0) for x in total))

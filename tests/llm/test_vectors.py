@@ -127,3 +127,14 @@ def test_candidates_reach_few_groups(spark, monkeypatch):
     last = max(r["range"] for r in steps)
     assert last >= 7 and sum(r["n"] for r in needs) == 86
     assert sum(r["n"] * (r["reach"] + 1) for r in needs) < 0.5 * 86 * (last + 1)
+
+
+def test_tasks_grow_with_the_pairs_compared(spark, monkeypatch):
+    """Chunks are dealt to tasks by the pairs they hold, not by their bytes: no task's share grows with the data."""
+    rng = np.random.default_rng(4)
+    rows = [(i, int(1), rng.normal(size=8).tolist()) for i in range(400)]
+    classes = spark.createDataFrame(rows, "node long, n long, v array<float>")
+    monkeypatch.setattr(embedding_dedup, "CHUNK_NUMBERS", 8 * 40)
+    few = embedding_dedup._links(classes.where("node < 100"), 0.95, 4).rdd.getNumPartitions()
+    many = embedding_dedup._links(classes, 0.95, 4).rdd.getNumPartitions()
+    assert many > 8 * few / 2 and many > 50
