@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
-from shipyard.llm.bytetext import copy_spans, distinct_spans, flat, gather, mix, span_hash, word_bounds
+from shipyard.llm.bytetext import coded, copy_spans, distinct_spans, flat, gather, mix, span_hash, word_bounds
 from shipyard.llm.common import ready, text_chunks, written
 
 #: A word is common if it makes up this share of all words: at most 1 / COMMON of them.
@@ -49,7 +49,7 @@ BATCH_BYTES = 4 << 20
 #: Bytes of stretches from which on a group's prefix grows; stretches overlap, so a usual group has about three batches.
 GROUP_BYTES = 16 << 20
 #: Compression level of the stretches on their way to the groups.
-LEVEL = 3
+LEVEL = 2
 NO_ID = np.iinfo(np.int64).max
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -64,7 +64,8 @@ def word_statistics(docs: DataFrame, text_col: str, share: float = COMMON) -> Da
         for rows in text_chunks(batches, text_col):
             buf, offsets = flat(rows[text_col])
             starts, ends, _ = word_bounds(buf, offsets)
-            hashes, n = np.unique(span_hash(buf, starts, ends), return_counts=True)
+            hashes, place, _ = coded(span_hash(buf, starts, ends))
+            n = np.bincount(place, minlength=len(hashes))
             often = n >= share * len(starts)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -109,13 +110,9 @@ class Windows:
         if not len(self.at):
             return
         self.word = word = span_hash(self.text, self.begin, self.end)
-        order = _order(word, np.isin(word, common))
-        least, self.anchor = order[self.at], self.at.copy()
-        for k in range(1, width - SHORTEST_PREFIX + 1):
-            here = order[self.at + k]
-            lower = np.flatnonzero(here < least)
-            least[lower], self.anchor[lower] = here[lower], self.at[lower] + k
-        self.key = _prefix_hashes(word, np.ones(len(word), bool))[0][self.anchor]
+        order = _order(word, _among(word, common))
+        self.anchor = self.at + _least_of(order, width - SHORTEST_PREFIX + 1)[self.at]
+        self.key = _first_hashes(word)[self.anchor]
 
     def grown(self, key: np.ndarray, i: np.ndarray, length: int) -> np.ndarray:
         """The hashes of the first ``length`` words of the paths of the windows ``i``,
@@ -180,6 +177,40 @@ def _prefix_hashes(word: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np
     return h, more
 
 
+def _first_hashes(word: np.ndarray) -> np.ndarray:
+    """The hash of the first ``SHORTEST_PREFIX`` words at each word, of fewer at the end."""
+    h = mix(word)
+    for k in range(1, min(SHORTEST_PREFIX, len(word))):
+        h[:-k] = mix(h[:-k] * GOLDEN + word[k:])
+    return h
+
+
+def _least_of(order: np.ndarray, n: int) -> np.ndarray:
+    """Where among the ``n`` ranks from each place on the first smallest one is; for the
+    places that have as many."""
+    least, at, size = order, np.zeros(len(order), np.int8), 1
+    while size < n:  # two runs of ``size``, which overlap the last time
+        step = min(size, n - size)
+        lower = least[step:] < least[:-step]
+        at = np.where(lower, at[step:] + np.int8(step), at[:-step])
+        least = np.where(lower, least[step:], least[:-step])
+        size += step
+    return at
+
+
+def _among(word: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """Whether each hash is one of the different ``some``: tables by the low bits, one unless these clash."""
+    low = np.uint64((1 << 16) - 1)
+    hit, at = np.zeros(len(word), bool), (word & low).astype(np.int64)
+    while len(some):
+        _, one = np.unique(some & low, return_index=True)
+        table = np.arange(1, (1 << 16) + 1, dtype=np.uint64)  # no hash in a free place has its low bits
+        table[(some[one] & low).astype(np.int64)] = some[one]
+        hit |= table[at] == word
+        some = np.delete(some, one)
+    return hit
+
+
 def _order(word: np.ndarray, common: np.ndarray) -> np.ndarray:
     """The rank of the prefix at each word, by hash; those of common words alone come last."""
     h, all_common = _prefix_hashes(word, common)
@@ -272,8 +303,8 @@ def deep_nodes(words: np.ndarray, at: np.ndarray, width: int) -> tuple[np.ndarra
     path = np.zeros(len(at), np.uint64)
     for k in range(width):
         path = path * GOLDEN + words[at + k].astype(np.uint64) + np.uint64(1)
-    _, place, n = np.unique(path, return_inverse=True, return_counts=True)
-    some = np.flatnonzero(n[place] > 1)  # a path that occurs once ends in a leaf
+    _, place, _ = coded(path)
+    some = np.flatnonzero(np.bincount(place)[place] > 1)  # a path that occurs once ends in a leaf
     if not len(some):
         return some, some
     each = int(63 // max(1, int(words.max()).bit_length()))

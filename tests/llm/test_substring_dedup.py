@@ -149,3 +149,29 @@ def test_growing_prefixes_name_equal_windows_alike():
             assert seen.setdefault(row, k) == k
     # Two windows may only share a whole path if it begins at another word of theirs.
     assert len(set(zip(key.tolist(), (w.anchor - w.at).tolist(), strict=True))) == len(set(rows)) < len(rows)
+
+
+def test_the_anchor_is_the_first_least_rank_and_common_words_are_found():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 3, 7, 11, 18):
+        order = rng.integers(0, 9, 200).astype(np.uint64)
+        got = substring_dedup._least_of(order, n)
+        assert [int(x) for x in got[: 200 - n + 1]] == [int(np.argmin(order[i : i + n])) for i in range(200 - n + 1)]
+    word = rng.integers(0, 1 << 18, 5000).astype(np.uint64)
+    some = np.unique(word[:300])  # more than one of the same low bits
+    assert (substring_dedup._among(word, some) == np.isin(word, some)).all()
+    assert not substring_dedup._among(word, some[:0]).any()
+
+
+def test_codes_name_values_in_the_order_in_which_they_come():
+    import numpy as np
+
+    from shipyard.llm.bytetext import coded
+
+    values = np.random.default_rng(8).integers(0, 60, 500).astype(np.uint64)
+    distinct, place, first = coded(values)
+    assert (distinct[place] == values).all() and (values[first] == distinct).all()
+    assert [int(x) for x in distinct] == list(dict.fromkeys(values.tolist()))
+    assert [len(x) for x in coded(values[:0])] == [0, 0, 0]
