@@ -117,3 +117,27 @@ def test_an_interrupted_build_starts_afresh(spark, tmp_path, monkeypatch):
     assert not wh.exists(spark, gold.STATE_TABLE)
     gold.build_shipments_incremental(spark, wh, START + timedelta(days=3))
     assert stored(spark, wh) == expected(spark, wh) and gold.shipments(spark, wh).first().weight_kg == 4.0
+
+
+def test_changed_keys_come_from_one_aggregation(spark, wh, monkeypatch):
+    """Rows that either side has more often give their keys; equal rows, nulls included, do not."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    def two_ways(self, other):
+        raise AssertionError("each direction would aggregate all rows")
+
+    monkeypatch.setattr(DataFrame, "exceptAll", two_ways)
+    schema = "day string, k long, v string"
+    old = spark.createDataFrame([("d1", 1, "a"), ("d1", 2, None), ("d1", 3, "a"), ("d1", 4, "a"), ("d1", 4, "a"), ("d2", 9, "a")], schema)
+    new = spark.createDataFrame([("d1", 1, "a"), ("d1", 2, None), ("d1", 3, "b"), ("d1", 4, "a"), ("d1", 5, None)], schema)
+    days = spark.createDataFrame([("d1",)], "day string")
+    wh.overwrite(old, "gold.parts", ["day"])
+    changed = gold._replaced(wh, days, old, new, "gold.parts", "day", ["k"])
+    assert sorted(r.k for r in changed.collect()) == [3, 4, 5]
+
+
+def test_long_generated_methods_are_not_fused(spark):
+    """HotSpot would only interpret them."""
+    from shipyard.session import prepare
+
+    assert int(prepare(spark).conf.get("spark.sql.codegen.hugeMethodLimit")) == 8000
