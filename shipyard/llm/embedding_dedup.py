@@ -1,20 +1,19 @@
-"""Near-duplicate vectors by a subspace pigeonhole join.
+"""Near-duplicate vectors by comparing strips of vectors near each other.
 
 Unit vectors with a cosine of at least ``t`` lie within the squared distance
 ``2 - 2t``. A random rotation (signs and a Walsh-Hadamard transform) spreads that
-distance over all coordinates; cut into blocks, at least one block of the two
-vectors lies within that block's proportional part of it. Each block is a range
-join of its own: cells as wide as the block's distance along its first coordinate,
-each vector at home in one cell and a guest in the one below. Cells compare blocks
-in tiles, and every pair within the budget is verified at once with all
-components in double precision. A pair is counted in the first block that finds
-it, so the union over the blocks needs no list of pairs: a task hands on link
-counts and a spanning forest.
-
-Equal vectors are one class from the start. A full cell is cut into chunks of
-bounded size, and each pair of chunks is a group of its own, so no group grows
-with the data. In high dimensions without structure the join still compares a
-share of all pairs, in tasks of bounded size: the work is quadratic, its rows are not.
+distance over all coordinates. The vectors are sorted by one of these and written
+once, in strips of bounded size; a strip knows the ranges of a few coordinates. A
+pair of strips whose ranges lie further apart is left out, all others are compared in
+tiles: one product in single precision finds the candidates, which are verified at
+once with all components in double precision.
+
+A task reads two files of strips and compares each strip of one with each of the
+other, so a vector is neither copied nor shuffled for the strips that it meets: what
+is on disk grows with the vectors. A task hands on link counts and a spanning
+forest. Equal vectors are one class from the start. In high dimensions without
+structure nearly all pairs are compared, in tasks of bounded size: the work and the
+reading are quadratic, rows and disk are not.
 
 Vectors that are null, zero or hold null or non-finite components link with
 nothing (``n_links`` 0, a component of their own), as do rows with a null id
@@ -25,22 +24,25 @@ gives an empty table.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, BooleanType, FloatType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType, FloatType, IntegerType, LongType, StructField, StructType
 
-from shipyard.llm.common import ready, written
+from shipyard.llm.common import ready, scratch, written
 from shipyard.llm.graph import components
 from shipyard.llm.simhash import _forest
+from shipyard.session import one_file_per_task
 
+#: Coordinates whose ranges a strip knows.
 BLOCKS = 4
-#: Numbers in the vectors of a chunk (32,768 vectors of 64); a task holds two chunks.
+#: Numbers in the vectors of a file of strips (32,768 vectors of 64); a task reads two files.
 CHUNK_NUMBERS = 32_768 * 64
+#: Strips of a file.
+STRIPS = 8
 TILE = 2048
 SLACK = 1e-5
 
@@ -64,70 +66,29 @@ def rotated(units: np.ndarray, seed: int = 11) -> np.ndarray:
     return out / np.sqrt(size)
 
 
-def block_columns(size: int, blocks: int) -> list[slice]:
-    cuts = [round(size * k / blocks) for k in range(blocks + 1)]
-    return [slice(a, b) for a, b in zip(cuts[:-1], cuts[1:], strict=True) if b > a]
-
-
-def _vectors(column: pa.ChunkedArray | pa.Array, size: int) -> np.ndarray:
-    """Rows of ``size`` floats or doubles each, as doubles."""
-    raw = b"".join(column.to_pylist())
-    return np.frombuffer(raw, np.float64 if len(raw) == 8 * size * len(column) else np.float32).reshape(len(column), -1).astype(np.float64)
-
-
-class Members:
-    def __init__(self, rows: pa.Table, blocks: int):
-        self.node = rows["node"].to_numpy()
-        self.n = rows["n"].to_numpy()
-        self.home = rows["home"].to_numpy(zero_copy_only=False) if isinstance(rows["home"], pa.Array) else rows["home"].combine_chunks().to_numpy(zero_copy_only=False)
-        raw = _vectors(rows["v"], rows["size"][0].as_py() if len(rows) else 1)
-        self.unit = unit_rows(raw)
-        self.turned = rotated(self.unit)
-        self.parts = block_columns(self.turned.shape[1], blocks)
-
-
-def cell_links(left: Members, right: Members, same: bool, block: int, limit: float) -> tuple[np.ndarray, np.ndarray, tuple[list[int], list[int]]]:
-    """(links counted at each left member, at each right member, a forest of them as
-    indices of left members followed by right members) of the pairs whose first block is ``block``."""
-    whole = 2 - 2 * limit
-    size = left.turned.shape[1]
-    budget = [whole * (p.stop - p.start) / size + 1e-12 for p in left.parts]
-    part = left.parts[block]
-    x, y = left.turned[:, part], right.turned[:, part]
-    # One product holds a pair's half distance: x y - x x / 2 - y y / 2.
-    one = lambda v: (v * v).sum(axis=1, keepdims=True) / 2
-    ones = lambda v: np.ones((len(v), 1))
-    x32 = np.hstack([x, -one(x), ones(x)]).astype(np.float32)
-    y32 = np.ascontiguousarray(np.hstack([y, ones(y), -one(y)]).astype(np.float32).T)
-    least = np.float32(-(budget[block] + SLACK) / 2)
-    count_x, count_y = np.zeros(len(x), np.int64), np.zeros(len(y), np.int64)
-    label, forest = np.arange(len(x) + (0 if same else len(y))), ([], [])
+def _vectors(blob: bytes, count: int, size: int) -> np.ndarray:
+    """``count`` rows of ``size`` floats or doubles each, as doubles."""
+    return np.frombuffer(blob, np.float64 if len(blob) == 8 * size * count else np.float32).reshape(count, size).astype(np.float64)
+
+
+def strip_links(x: np.ndarray, y: np.ndarray, same: bool, limit: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (row of ``x``, row of ``y``) of unit vectors with a cosine of at least ``limit``,
+    a bounded number at a time; within one strip each pair once."""
+    # A sum of single products is off by a unit of its last place a product at most.
+    least = np.float32(limit - max(SLACK, 2e-7 * x.shape[1]))
+    x32, y32 = x.astype(np.float32), np.ascontiguousarray(y.astype(np.float32).T)
     for i in range(0, len(x), TILE):
         for j in range(i if same else 0, len(y), TILE):
             near = x32[i : i + TILE] @ y32[:, j : j + TILE] >= least
             a, b = np.divmod(np.flatnonzero(near), near.shape[1])
             a, b = a + i, b + j
-            seen = left.home[a] | right.home[b]
-            a, b = a[seen], b[seen]
             if same:
                 a, b = a[a < b], b[a < b]
-            for k in range(0, len(a), 1 << 18):  # verified exactly, a bounded number at a time
+            for k in range(0, len(a), 1 << 18):  # verified exactly
                 p, q = a[k : k + (1 << 18)], b[k : k + (1 << 18)]
-                linked = (left.unit[p] * right.unit[q]).sum(axis=1) >= limit
-                p, q = p[linked], q[linked]
-                gaps = (left.turned[p] - right.turned[q]) ** 2
-                first = np.ones(len(p), bool)
-                for earlier in range(block):
-                    first &= gaps[:, left.parts[earlier]].sum(axis=1) > budget[earlier]
-                first &= gaps[:, part].sum(axis=1) <= budget[block]
-                p, q = p[first], q[first]
-                if len(p):
-                    np.add.at(count_x, p, right.n[q])
-                    np.add.at(count_y, q, left.n[p])
-                    u, v = _forest(p, q if same else q + len(x), len(label), label)
-                    forest[0].extend(u)
-                    forest[1].extend(v)
-    return count_x, count_y, forest
+                linked = (x[p] * y[q]).sum(axis=1) >= limit
+                if linked.any():
+                    yield p[linked], q[linked]
 
 
 def near_duplicates(vectors: DataFrame, limit: float = 0.95, blocks: int = BLOCKS, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -139,17 +100,20 @@ def near_duplicates(vectors: DataFrame, limit: float = 0.95, blocks: int = BLOCK
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<float>" if single else "array<double>").alias("v"))
     fine = F.col("id").isNotNull() & F.col("v").isNotNull() & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
     rows = rows.withColumn("part", F.coalesce(fine, F.lit(False)))
-    grouped = rows.where("part").groupBy("v").agg(F.min("id").alias("least"), F.count("*").alias("n"))
+    # Vectors are told apart, and their rows found again, by a digest: they themselves are sent twice only.
+    zero = F.lit(0).cast("float" if single else "double")  # makes -0.0 0.0
+    digest = F.unhex(F.sha2(F.concat_ws(",", F.transform("v", lambda x: (x + zero).cast("string"))), 256))
+    grouped = rows.where("part").groupBy("v").agg(F.min("id").alias("least"), F.count("*").alias("n")).withColumn("digest", digest)
     classes = written(grouped.withColumn("node", F.monotonically_increasing_id()), "vector-classes")
     found = written(_links(classes, limit, blocks), "vector-links")
 
     linked = components(found.where("v IS NOT NULL").select("u", "v"))
     counts = found.where("v IS NULL").groupBy("u").agg(F.sum("n").alias("others"))
-    rooted = classes.join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = classes.drop("v").join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
     of_root = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     of_class = rooted.join(of_root, "root").join(counts.withColumnRenamed("u", "node"), "node", "left")
-    of_class = of_class.select("v", "component_id", (F.coalesce("others", F.lit(0)) + F.col("n") - 1).alias("n_links"))
-    joined = rows.where("part").join(of_class, "v").select("id", "n_links", "component_id")
+    of_class = of_class.select("digest", "component_id", (F.coalesce("others", F.lit(0)) + F.col("n") - 1).alias("n_links"))
+    joined = rows.where("part").select("id", digest.alias("digest")).join(of_class, "digest").select("id", "n_links", "component_id")
     alone = rows.where("NOT part").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     return joined.unionByName(alone).select(
         F.col("id").alias(id_col), "n_links", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept")
@@ -158,74 +122,124 @@ def near_duplicates(vectors: DataFrame, limit: float = 0.95, blocks: int = BLOCK
 
 def _links(classes: DataFrame, limit: float, blocks: int) -> DataFrame:
     """(``u``, null, links counted at it here) and (``u``, ``v``, null), a link of a forest."""
-    whole = 2 - 2 * limit
-    cell_schema = StructType(
-        [
-            StructField("size", IntegerType()),
-            StructField("block", IntegerType()),
-            StructField("cell", IntegerType()),
-            StructField("home", BooleanType()),
-            StructField("node", LongType()),
-            StructField("n", LongType()),
-            StructField("v", BinaryType()),
-        ]
-    )
+    strips = _strips(classes, blocks)
+    left = strips.select(*[F.col(c).alias(f"l_{c}") for c in strips.columns])
+    right = strips.select(*[F.col(c).alias(f"r_{c}") for c in strips.columns])
+    apart = sum((F.greatest(F.lit(0.0), F.col("r_low")[k] - F.col("l_high")[k], F.col("l_low")[k] - F.col("r_high")[k]) ** 2 for k in range(blocks)), F.lit(0.0))
+    met = (F.col("l_size") == F.col("r_size")) & (F.col("l_strip") <= F.col("r_strip")) & (apart <= 2 - 2 * limit + SLACK)
+    # Every file with every file, read again by each task: no strip goes through a shuffle.
+    pairs = left.join(right.hint("shuffle_replicate_nl"), met).select(*[f"{s}_{c}" for s in "lr" for c in ("strip", "size", "node", "n", "v")])
+    out_schema = StructType([StructField("u", LongType()), StructField("v", LongType()), StructField("n", LongType())])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The strips that the task has met: their first place in what follows, and their unit vectors.
+        begin: dict[int, int] = {}
+        units: dict[tuple[str, int], np.ndarray] = {}
+        node, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        count, label, forest = np.zeros(0, np.int64), np.zeros(0, np.int64), ([], [])
+        for batch in batches:
+            for row in batch.to_pylist():
+                ends = []
+                for side in "lr":
+                    strip, size = row[f"{side}_strip"], row[f"{side}_size"]
+                    if strip not in begin:
+                        begin[strip] = len(node)
+                        node = np.r_[node, np.frombuffer(row[f"{side}_node"], np.int64)]
+                        n = np.r_[n, np.frombuffer(row[f"{side}_n"], np.int64)]
+                        count = np.r_[count, np.zeros(len(node) - len(count), np.int64)]
+                        label = np.r_[label, np.arange(len(label), len(node))]
+                    if (side, strip) not in units:
+                        if side == "l":  # right strips come again for each left one
+                            units = {k: x for k, x in units.items() if k[0] == "r"}
+                        elif len(units) > 2 * STRIPS:
+                            units = {k: x for k, x in units.items() if k[0] == "l"}
+                        units[side, strip] = unit_rows(_vectors(row[f"{side}_v"], len(row[f"{side}_n"]) // 8, size))
+                    ends.append((begin[strip], units[side, strip]))
+                (at, x), (to, y) = ends
+                for p, q in strip_links(x, y, at == to, limit):
+                    p, q = p + at, q + to
+                    np.add.at(count, p, n[q])
+                    np.add.at(count, q, n[p])
+                    u, v = _forest(p, q, len(label), label)
+                    forest[0].extend(u)
+                    forest[1].extend(v)
+        hit = np.flatnonzero(count)
+        u = [*node[hit].tolist(), *node[forest[0]].tolist()] if len(hit) else []
+        v = [*[None] * len(hit), *node[forest[1]].tolist()] if len(hit) else []
+        m = [*count[hit].tolist(), *[None] * len(forest[0])]
+        yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(m, pa.int64())], names=out_schema.names)
+
+    return pairs.mapInArrow(compare, out_schema)
+
+
+def _strips(classes: DataFrame, blocks: int) -> DataFrame:
+    """``classes`` written once as strips of vectors of one length, sorted by a coordinate,
+    ``STRIPS`` of them a file, which a task reads as a whole."""
+    spark = classes.sparkSession
+    kind = np.float32 if classes.schema["v"].dataType.elementType == FloatType() else np.float64
+    sorted_schema = StructType([StructField("size", IntegerType()), StructField("x", ArrayType(DoubleType())), *[classes.schema[c] for c in ("node", "n", "v")]])
 
-    def to_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            node, n, v = batch.column(0), batch.column(1), batch.column(2)
+            v = batch.column(2)
             values, lengths = v.flatten().to_numpy(zero_copy_only=False), np.diff(v.offsets.to_numpy())
             starts = np.cumsum(lengths) - lengths
             for d in np.unique(lengths):
                 pick = np.flatnonzero(lengths == d)
-                raw = values[starts[pick][:, None] + np.arange(d)]
-                turned = rotated(unit_rows(raw.astype(np.float64)))
-                names, weights = node.take(pa.array(pick)), n.take(pa.array(pick))
-                blob = pa.array([x.tobytes() for x in raw], pa.binary())
-                for b, part in enumerate(block_columns(turned.shape[1], blocks)):
-                    width = np.sqrt(whole * (part.stop - part.start) / turned.shape[1]) + SLACK
-                    cell = np.floor(turned[:, part.start] / width).astype(np.int32)
-                    for home in (True, False):
-                        same = [pa.array(np.full(len(pick), x, np.int32)) for x in (d, b)]
-                        yield pa.RecordBatch.from_arrays(
-                            [*same, pa.array(cell if home else cell - 1), pa.array(np.full(len(pick), home)), names, weights, blob], names=cell_schema.names
-                        )
-
-    cells = classes.select("node", "n", "v").mapInArrow(to_cells, cell_schema)
-    key = ["size", "block", "cell"]
-    # A cell's number of chunks; cells are at most the blocks times the cells across a unit ball.
-    held = cells.groupBy(*key).agg(F.count("*").alias("rows"), F.ceil(F.count("*") * F.col("size") / CHUNK_NUMBERS).cast("int").alias("chunks"), F.max("home").alias("used"))
-    chunks = written(held.where("used"), "vector-cells")
-    tasks = _tasks(chunks)
-    dealt = cells.join(chunks.drop("rows"), key).withColumn("own", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    dealt = dealt.select(*key, F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), (F.col("own") > F.col("other")).alias("second"), "home", "node", "n", "v")
-    out_schema = StructType([StructField("u", LongType()), StructField("v", LongType()), StructField("n", LongType())])
+                turned = rotated(unit_rows(values[starts[pick][:, None] + np.arange(d)].astype(np.float64)))
+                seen = np.zeros((len(pick), blocks))
+                seen[:, : min(blocks, turned.shape[1])] = turned[:, :blocks]
+                taken = batch.take(pa.array(pick))
+                x = pa.ListArray.from_arrays(pa.array(np.arange(len(pick) + 1) * blocks, pa.int32()), pa.array(seen.ravel()))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(pick), d, np.int32)), x, *taken.columns], names=sorted_schema.names)
+
+    turned = classes.select("node", "n", "v").mapInArrow(turn, sorted_schema)
+    numbers = classes.agg(F.sum(F.size("v"))).first()[0] or 0
+    # Parts of a few files each, so that few files are not full.
+    ranged = turned.repartitionByRange(max(1, numbers // (4 * CHUNK_NUMBERS)), "size", F.col("x")[0], "node").sortWithinPartitions("size", F.col("x")[0])
+    strip_schema = StructType(
+        [
+            StructField("size", IntegerType()),
+            StructField("low", ArrayType(DoubleType())),
+            StructField("high", ArrayType(DoubleType())),
+            StructField("node", BinaryType()),
+            StructField("n", BinaryType()),
+            StructField("v", BinaryType()),
+        ]
+    )
 
-    def compare(rows: pa.Table) -> pa.Table:
-        block = rows["block"][0].as_py()
-        second = rows["second"].combine_chunks().to_numpy(zero_copy_only=False)
-        same = rows["a"][0].as_py() == rows["b"][0].as_py()
-        left = Members(rows.filter(pa.array(~second)), blocks)
-        right = left if same else Members(rows.filter(pa.array(second)), blocks)
-        u, v, n = [], [], []
-        if len(left.node) and len(right.node):
-            count_x, count_y, forest = cell_links(left, right, same, block, limit)
-            every = left.node if same else np.r_[left.node, right.node]
-            count = count_x + count_y if same else np.r_[count_x, count_y]
-            hit = np.flatnonzero(count)
-            u = [*every[hit].tolist(), *every[forest[0]].tolist()]
-            v = [*[None] * len(hit), *every[forest[1]].tolist()]
-            n = [*count[hit].tolist(), *[None] * len(forest[0])]
-        return pa.table([pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(n, pa.int64())], names=out_schema.names)
-
-    # By number, which AQE leaves alone: it would put groups together by their bytes, whose work is the square of their rows.
-    return dealt.repartition(tasks, *key, "a", "b").groupBy(*key, "a", "b").applyInArrow(compare, out_schema)
-
-
-def _tasks(chunks: DataFrame) -> int:
-    """Tasks to compare the chunks in: two for each pair of full chunks, and enough for
-    the numbers that they hold, so that no task's share grows with the data."""
-    pairs = F.col("rows") * F.col("size") / CHUNK_NUMBERS
-    total = chunks.agg(F.sum(pairs * pairs).alias("pairs"), F.sum(pairs * F.col("chunks")).alias("chunks")).first()
-    return max(chunks.sparkSession.sparkContext.defaultParallelism, *(math.ceil(x or 0) for x in total))
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        rows = size = 0
+
+        def packed() -> pa.RecordBatch:
+            x, node, n, v = (pa.concat_tables(held)[c].combine_chunks() for c in ("x", "node", "n", "v"))
+            seen = x.flatten().to_numpy().reshape(rows, blocks)
+            blobs = [a.to_numpy(zero_copy_only=False).astype(t).tobytes() for a, t in ((node, np.int64), (n, np.int64), (v.flatten(), kind))]
+            columns = [[size], [seen.min(axis=0).tolist()], [seen.max(axis=0).tolist()], *([b] for b in blobs)]
+            types = [pa.int32(), pa.list_(pa.float64()), pa.list_(pa.float64()), pa.binary(), pa.binary(), pa.binary()]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=strip_schema.names)
+
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            sizes = table["size"].to_numpy()
+            at = 0
+            while at < len(sizes):
+                if rows and sizes[at] != size:
+                    yield packed()
+                    held, rows = [], 0
+                size = int(sizes[at])
+                most = max(1, CHUNK_NUMBERS // (STRIPS * size))
+                take = min(most - rows, int(np.searchsorted(sizes[at:], size, "right")))
+                held.append(table.slice(at, take))
+                rows, at = rows + take, at + take
+                if rows == most:
+                    yield packed()
+                    held, rows = [], 0
+        if rows:
+            yield packed()
+
+    strips = ranged.mapInArrow(pack, strip_schema).withColumn("strip", F.monotonically_increasing_id())
+    path = scratch(spark, "vector-strips")
+    strips.write.option("maxRecordsPerFile", STRIPS).parquet(path)
+    return one_file_per_task(spark).read.schema(strips.schema).parquet(path)

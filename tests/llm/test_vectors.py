@@ -138,3 +138,30 @@ def test_tasks_grow_with_the_pairs_compared(spark, monkeypatch):
     few = embedding_dedup._links(classes.where("node < 100"), 0.95, 4).rdd.getNumPartitions()
     many = embedding_dedup._links(classes, 0.95, 4).rdd.getNumPartitions()
     assert many > 8 * few / 2 and many > 50
+
+
+def test_vectors_are_on_disk_once_and_strips_are_not_shuffled(spark, monkeypatch):
+    """However many strips a vector meets, it is written once; pairs of strips come from files."""
+    rng = np.random.default_rng(5)
+    rows = [(i, 1, rng.normal(size=8).tolist()) for i in range(400)]
+    classes = spark.createDataFrame(rows, "node long, n long, v array<float>")
+    monkeypatch.setattr(embedding_dedup, "CHUNK_NUMBERS", 8 * 40)
+    strips = embedding_dedup._strips(classes, 4).collect()
+    held = [np.frombuffer(s["node"], np.int64).tolist() for s in strips]
+    assert sorted(sum(held, [])) == list(range(400)) and max(map(len, held)) == 5
+    assert all(len(s["v"]) == 4 * 8 * len(k) for s, k in zip(strips, held, strict=True))
+    plan = embedding_dedup._links(classes, 0.95, 4)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Exchange" not in plan
+
+
+def test_pairs_of_a_strip_with_itself_come_once():
+    x = unit_rows(np.random.default_rng(6).normal(size=(300, 6)))
+    pairs = [(p.tolist(), q.tolist()) for p, q in embedding_dedup.strip_links(x, x, True, 0.9)]
+    got = sorted((a, b) for p, q in pairs for a, b in zip(p, q, strict=True))
+    assert got == [(a, b) for a in range(300) for b in range(a + 1, 300) if (x[a] * x[b]).sum() >= 0.9]
+
+
+def test_zeros_of_both_signs_are_equal(spark):
+    rows = [(1, [0.0, 1.0, 2.0]), (2, [-0.0, 1.0, 2.0]), (3, [0.0, -1.0, 2.0])]
+    got = sorted(tuple(r) for r in near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect())
+    assert got == [(1, 1, 1, True), (2, 1, 1, False), (3, 0, 3, True)]
