@@ -141,3 +141,14 @@ def test_long_generated_methods_are_not_fused(spark):
     from shipyard.session import prepare
 
     assert int(prepare(spark).conf.get("spark.sql.codegen.hugeMethodLimit")) == 8000
+
+
+def test_held_tables_have_a_known_size(spark):
+    """Days and keys between the steps are small tables to the planner, so that joins with them can broadcast."""
+    from shipyard.session import held
+
+    days = held(spark.range(5).selectExpr("DATE '2026-01-01' + CAST(id AS INT) AS event_day"))
+    assert days.count() == 5 and days.schema["event_day"].dataType.simpleString() == "date"
+    scans = spark.range(1000).selectExpr("DATE '2026-01-01' AS event_day", "id")
+    plan = scans.join(days, "event_day", "left_semi")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
