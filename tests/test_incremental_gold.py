@@ -149,6 +149,6 @@ def test_held_tables_have_a_known_size(spark):
 
     days = held(spark.range(5).selectExpr("DATE '2026-01-01' + CAST(id AS INT) AS event_day"))
     assert days.count() == 5 and days.schema["event_day"].dataType.simpleString() == "date"
-    scans = spark.range(1000).selectExpr("DATE '2026-01-01' AS event_day", "id")
+    scans = spark.range(1000).selectExpr("DATE '2026-01-01' + CAST(id AS INT) AS event_day", "id")
     plan = scans.join(days, "event_day", "left_semi")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
